@@ -302,7 +302,7 @@ ORACLE: dict[str, str] = {
           CAST(target AS DOUBLE) AS target, higher_is_better,
           CASE WHEN kpi = 'reject_rate_pct' THEN (SELECT r FROM lrate) <= target
                WHEN higher_is_better THEN v >= target ELSE v <= target END AS met
-        FROM report""".replace(", lrc AS", "lrc AS", 0),
+        FROM report""",
         kpi=True,
     ),
     "existing_ids": _q(
@@ -362,3 +362,117 @@ ORACLE: dict[str, str] = {
         kpi=True,
     ),
 }
+
+
+# ---- profile ---------------------------------------------------------------------------
+
+_LABELLED = _RAW_ORDER + ["reject_reason", "label"]
+
+
+def _fblank(c: str) -> str:
+    return f"coalesce(upper({_strip(c)}) IN ('', 'NAN', 'NONE'), TRUE)"
+
+
+_NUMERIC = ["latency_ms_num", "hour", "ts_invalid", "latency_negative", "self_event",
+            "n_missing_fields", "dup_notification_id", "missing_post_id", "missing_comment_id"]
+
+FEATURES_CTE = f""",
+feats AS (
+  SELECT row_ord, notification_id,
+    {", ".join(f"upper({_strip(c)}) AS {c}" for c in ["event_type", "device", "delivery_channel", "priority", "status", "country", "app_version"])},
+    latency_num AS latency_ms_num,
+    CAST(hour(created_ts) AS INTEGER) AS hour,
+    CAST(created_ts IS NULL AS INTEGER) AS ts_invalid,
+    CAST(coalesce(latency_num < 0, FALSE) AS INTEGER) AS latency_negative,
+    CAST(user_id IS NOT NULL AND source_user_id IS NOT NULL AND user_id = source_user_id AS INTEGER) AS self_event,
+    CAST({" + ".join(f"CAST({_fblank(c)} AS INTEGER)" for c in ["notification_id", "event_id", "user_id", "source_user_id", "app_version"])} AS INTEGER) AS n_missing_fields,
+    CAST(id_copies > 1 AND NOT {_fblank("notification_id")} AS INTEGER) AS dup_notification_id,
+    CAST({_fblank("post_id")} AS INTEGER) AS missing_post_id,
+    CAST({_fblank("comment_id")} AS INTEGER) AS missing_comment_id,
+    label
+  FROM tagged
+)"""
+
+
+def _corr(a: str, b: str) -> str:
+    x = (f"corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) "
+         f"FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL)")
+    return f"CASE WHEN isnan({x}) THEN NULL ELSE round({x}, 2) + 0.0 END"
+
+
+_CORR_VARS = _NUMERIC + ["label"]
+_CORR_SQL = " UNION ALL ".join(
+    f"SELECT '{a}' AS var_a, '{b}' AS var_b, {_corr(a, b)} AS corr FROM feats"
+    for a in _CORR_VARS for b in _CORR_VARS
+)
+
+
+def _mode_sql(col: str, source: str) -> str:
+    return (f"(SELECT {col} FROM (SELECT {col}, count(*) AS n FROM {source} WHERE {col} IS NOT NULL "
+            f"GROUP BY {col}) ORDER BY n DESC, {col} ASC LIMIT 1)")
+
+
+ORACLE.update({
+    "labelled_rows": _q(f"SELECT {', '.join(_LABELLED)}, row_ord, batch_id FROM tagged"),
+    "model_features": _q(FEATURES_CTE + "\nSELECT * FROM feats"),
+    "duplicate_id_rows": _q(
+        f"SELECT notification_id, row_ord, id_copies, label FROM tagged WHERE id_copies > 1 AND NOT {_fblank('notification_id')}"
+    ),
+    "exact_duplicates": _q(
+        f"""SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT {', '.join(_LABELLED)} FROM tagged)) AS distinct_rows,
+          count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(_LABELLED)} FROM tagged)) AS exact_duplicates
+        FROM tagged"""
+    ),
+    "label_distribution": _q(
+        "SELECT label, count(*) AS rows, round(100.0 * count(*) / sum(count(*)) OVER (), 1) AS pct FROM tagged GROUP BY label"
+    ),
+    "null_profile": _q(
+        "SELECT * FROM (" + " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+            f"round(100.0 * count(*) FILTER (WHERE {c} IS NULL) / count(*), 1) AS null_pct FROM tagged"
+            for c in _LABELLED
+        ) + ") WHERE nulls > 0"
+    ),
+    "latency_stats": _q(
+        f"""SELECT 0 AS measure_order, 'mean' AS measure, round(avg(latency_num), 1) AS latency_ms FROM tagged
+        UNION ALL SELECT 1, 'median', round(quantile_cont(latency_num, 0.5), 1) FROM tagged
+        UNION ALL SELECT 2, 'mode', round({_mode_sql('latency_num', 'tagged')}, 1)
+        UNION ALL SELECT 3, 'min', round(min(latency_num), 1) FROM tagged
+        UNION ALL SELECT 4, 'p25', round(quantile_cont(latency_num, 0.25), 1) FROM tagged
+        UNION ALL SELECT 5, 'p75', round(quantile_cont(latency_num, 0.75), 1) FROM tagged
+        UNION ALL SELECT 6, 'max', round(max(latency_num), 1) FROM tagged"""
+    ),
+    "category_modes": _q(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS variable, {_mode_sql(c, 'tagged')} AS mode"
+            for c in ["event_type", "device", "delivery_channel", "priority", "status", "country"]
+        )
+    ),
+    "priority_counts": _q(
+        "SELECT priority, count(*) AS rows FROM tagged WHERE priority IS NOT NULL GROUP BY priority"
+    ),
+    "latency_histogram": _q(
+        """, lim AS (SELECT min(latency_num) AS lo, max(latency_num) AS hi, count(latency_num) AS n FROM tagged),
+        binned AS (
+          SELECT CAST(least(40, coalesce(floor((latency_num - lo) / nullif(hi - lo, 0) * 40), 0) + 1) AS INTEGER) AS bin
+          FROM tagged, lim WHERE latency_num IS NOT NULL
+        ),
+        cnt AS (SELECT bin, count(*) AS rows FROM binned GROUP BY bin)
+        SELECT CAST(g.bin AS INTEGER) AS bin,
+          round(lo + (g.bin - 1) * (hi - lo) / 40, 4) AS bin_start,
+          round(lo + g.bin * (hi - lo) / 40, 4) AS bin_end,
+          coalesce(cnt.rows, 0) AS rows
+        FROM lim, range(1, 41) g(bin) LEFT JOIN cnt ON cnt.bin = g.bin
+        WHERE lim.n > 0"""
+    ),
+    "reject_rate_by_priority": _q(
+        "SELECT priority, count(*) AS rows, round(avg(label), 4) AS reject_rate FROM tagged WHERE priority IS NOT NULL GROUP BY priority"
+    ),
+    "correlation_matrix": _q(FEATURES_CTE + "\n" + _CORR_SQL),
+    "label_correlation_rank": _q(
+        FEATURES_CTE + f""", cm AS ({_CORR_SQL})
+        SELECT var_a AS feature, corr,
+          CAST(row_number() OVER (ORDER BY abs(corr) DESC NULLS LAST, var_a) AS INTEGER) AS abs_rank
+        FROM cm WHERE var_b = 'label' AND var_a <> 'label'"""
+    ),
+})

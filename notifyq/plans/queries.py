@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from notifyq import schema as S
 from notifyq.functions.protect import FernetKey, fernet_decrypt, generate_key
 from notifyq.functions.text import mask_id
-from notifyq.operators import clean, kpis, load, validate
+from notifyq.operators import clean, kpis, load, profile, validate
 from notifyq.plans.run import Run
 from notifyq.sources.fixtures import raw_notifications
 from notifyq.sources.files import latest_batch_id
@@ -264,6 +264,75 @@ def q_run_summary(spark, sf_dir):
     return kpis.combine_rows(counts, audit, alerts)
 
 
+# ---- profile -------------------------------------------------------------------------------
+
+
+def q_labelled_rows(spark, sf_dir):
+    """S7, U3, P23."""
+    return profile.labelled_rows(make_run(spark, sf_dir).tagged)
+
+
+def q_model_features(spark, sf_dir):
+    """M1, P17, P19-P21."""
+    return profile.model_features(make_run(spark, sf_dir).tagged)
+
+
+def q_duplicate_id_rows(spark, sf_dir):
+    """D3."""
+    return profile.duplicate_id_rows(make_run(spark, sf_dir).tagged)
+
+
+def q_exact_duplicates(spark, sf_dir):
+    """D2."""
+    return profile.exact_duplicates(profile.labelled_rows(make_run(spark, sf_dir).tagged))
+
+
+def q_label_distribution(spark, sf_dir):
+    """A13."""
+    return profile.label_distribution(make_run(spark, sf_dir).tagged)
+
+
+def q_null_profile(spark, sf_dir):
+    """A14, C6, T2."""
+    return profile.null_profile(make_run(spark, sf_dir).tagged)
+
+
+def q_latency_stats(spark, sf_dir):
+    """A15."""
+    return profile.latency_stats(make_run(spark, sf_dir).tagged)
+
+
+def q_category_modes(spark, sf_dir):
+    """A16."""
+    return profile.category_modes(make_run(spark, sf_dir).tagged)
+
+
+def q_priority_counts(spark, sf_dir):
+    """A18."""
+    return profile.value_counts(make_run(spark, sf_dir).tagged, "priority")
+
+
+def q_latency_histogram(spark, sf_dir):
+    """A19."""
+    return profile.latency_histogram(make_run(spark, sf_dir).tagged)
+
+
+def q_reject_rate_by_priority(spark, sf_dir):
+    """A20, T3."""
+    return profile.reject_rate_by(make_run(spark, sf_dir).tagged, "priority")
+
+
+def q_correlation_matrix(spark, sf_dir):
+    """A21."""
+    return profile.correlation_matrix(profile.model_features(make_run(spark, sf_dir).tagged))
+
+
+def q_label_correlation_rank(spark, sf_dir):
+    """A22, T3."""
+    feats = profile.model_features(make_run(spark, sf_dir).tagged)
+    return profile.label_correlation_rank(profile.correlation_matrix(feats))
+
+
 QUERIES: dict[str, QueryFn] = {
     "raw_notifications": q_raw_notifications,
     "latest_batch": q_latest_batch,
@@ -294,4 +363,17 @@ QUERIES: dict[str, QueryFn] = {
     "reject_audit": q_reject_audit,
     "table_counts": q_table_counts,
     "run_summary": q_run_summary,
+    "labelled_rows": q_labelled_rows,
+    "model_features": q_model_features,
+    "duplicate_id_rows": q_duplicate_id_rows,
+    "exact_duplicates": q_exact_duplicates,
+    "label_distribution": q_label_distribution,
+    "null_profile": q_null_profile,
+    "latency_stats": q_latency_stats,
+    "category_modes": q_category_modes,
+    "priority_counts": q_priority_counts,
+    "latency_histogram": q_latency_histogram,
+    "reject_rate_by_priority": q_reject_rate_by_priority,
+    "correlation_matrix": q_correlation_matrix,
+    "label_correlation_rank": q_label_correlation_rank,
 }
