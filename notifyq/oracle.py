@@ -476,3 +476,28 @@ ORACLE.update({
         FROM cm WHERE var_b = 'label' AND var_a <> 'label'"""
     ),
 })
+
+
+# ---- model -------------------------------------------------------------------------------
+
+_SPLIT_CTE = """,
+ranked AS (
+  SELECT row_ord, label,
+    row_number() OVER (PARTITION BY label ORDER BY md5(concat_ws(':', '42', CAST(row_ord AS VARCHAR))), row_ord) AS rk,
+    count(*) OVER (PARTITION BY label) AS n
+  FROM tagged
+),
+splits AS (
+  SELECT row_ord, label, CASE WHEN rk <= round(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM ranked
+)"""
+
+ORACLE.update({
+    "stratified_split": _q(_SPLIT_CTE + "\nSELECT * FROM splits"),
+    "class_weights": _q(
+        _SPLIT_CTE + """
+        SELECT label, count(*) AS rows,
+          round((SELECT count(*) FROM splits WHERE split = 'train') * 1.0
+            / ((SELECT count(DISTINCT label) FROM splits WHERE split = 'train') * count(*)), 6) AS class_weight
+        FROM splits WHERE split = 'train' GROUP BY label"""
+    ),
+})

@@ -333,6 +333,77 @@ def q_label_correlation_rank(spark, sf_dir):
     return profile.label_correlation_rank(profile.correlation_matrix(feats))
 
 
+# ---- model ---------------------------------------------------------------------------------
+
+# Trees per forest in the registered queries (the API default is 300).
+QUERY_TREES = 30
+_MODEL_RUNS: dict = {}
+
+
+def _model_run(spark, sf_dir):
+    """Fit once per (session, input) in this process; the fit is the expensive part."""
+    from notifyq.plans.model import train_models
+
+    key = (id(spark), sf_dir)
+    if key not in _MODEL_RUNS:
+        feats = profile.model_features(make_run(spark, sf_dir).tagged)
+        _MODEL_RUNS[key] = train_models(feats, num_trees=QUERY_TREES)
+    return _MODEL_RUNS[key]
+
+
+def q_stratified_split(spark, sf_dir):
+    """M2: exact stratified 80/20 split."""
+    from notifyq.plans.model import stratified_split
+
+    feats = profile.model_features(make_run(spark, sf_dir).tagged)
+    return stratified_split(feats).select(S.ROW_ORD, "label", "split")
+
+
+def q_class_weights(spark, sf_dir):
+    """Balanced weights over the training rows."""
+    from notifyq.plans.model import class_weights, stratified_split
+
+    feats = profile.model_features(make_run(spark, sf_dir).tagged)
+    train = stratified_split(feats).where(F.col("split") == "train")
+    return class_weights(train).select("label", "rows", F.round("class_weight", 6).alias("class_weight"))
+
+
+def q_model_comparison(spark, sf_dir):
+    """The three classifiers on the test rows."""
+    return _model_run(spark, sf_dir).comparison()
+
+
+def q_best_model(spark, sf_dir):
+    """The model with the best F1."""
+    cmp = _model_run(spark, sf_dir).comparison()
+    return cmp.agg(F.max_by("model", "f1").alias("model"), F.max("f1").alias("f1"))
+
+
+def q_confusion_matrix(spark, sf_dir):
+    """M14, M15 inputs."""
+    from notifyq.plans.model import confusion_matrix
+
+    run = _model_run(spark, sf_dir)
+    return confusion_matrix(run.scored_test())
+
+
+def q_roc_points(spark, sf_dir):
+    """M16."""
+    from notifyq.plans.model import roc_points
+
+    run = _model_run(spark, sf_dir)
+    return roc_points(run.scored_test())
+
+
+def q_scored_rows(spark, sf_dir):
+    """Every labelled row scored by the chosen model."""
+    from notifyq.plans.model import score
+
+    run = _model_run(spark, sf_dir)
+    feats = profile.model_features(make_run(spark, sf_dir).tagged)
+    return score(run.models[run.best], feats)
+
+
 QUERIES: dict[str, QueryFn] = {
     "raw_notifications": q_raw_notifications,
     "latest_batch": q_latest_batch,
@@ -376,4 +447,11 @@ QUERIES: dict[str, QueryFn] = {
     "reject_rate_by_priority": q_reject_rate_by_priority,
     "correlation_matrix": q_correlation_matrix,
     "label_correlation_rank": q_label_correlation_rank,
+    "stratified_split": q_stratified_split,
+    "class_weights": q_class_weights,
+    "model_comparison": q_model_comparison,
+    "best_model": q_best_model,
+    "confusion_matrix": q_confusion_matrix,
+    "roc_points": q_roc_points,
+    "scored_rows": q_scored_rows,
 }
