@@ -501,3 +501,40 @@ ORACLE.update({
         FROM splits WHERE split = 'train' GROUP BY label"""
     ),
 })
+
+_CATALOGUE = [
+    ("missing_notification_id", "notification_id_missing", "event_id % 97 = 5"),
+    ("duplicate_notification_id", "dup_id", "event_id % 101 = 7 AND event_id % 97 <> 5"),
+    ("unknown_event_type", "event_type_domain", "event_type = 'error' AND event_id % 5 = 0"),
+    ("self_event", "self_event", "event_id % 89 = 3"),
+    ("missing_source_user", "source_user_id_missing", "event_id % 83 = 11 AND event_id % 89 <> 3"),
+    ("missing_post_id", "post_id_required",
+     "event_id % 61 = 2 AND (event_type IN ('click', 'view', 'purchase') OR (event_type = 'error' AND event_id % 5 <> 0))"),
+    ("missing_comment_id", "comment_id_required", "event_type = 'purchase' AND event_id % 53 = 4"),
+    ("bad_timestamp", "bad_ts", "event_id % 67 = 9"),
+    ("future_timestamp", "created_at_future", "event_id % 71 = 13 AND event_id % 67 <> 9"),
+    ("missing_timestamp", "created_at_missing", "event_id % 173 = 1 AND event_id % 67 <> 9 AND event_id % 71 <> 13"),
+    ("unknown_device", "device_domain", "event_id % 79 = 17"),
+    ("unknown_channel", "delivery_channel_domain", "event_id % 73 = 21"),
+    ("unknown_priority", "priority_domain", "event_id % 59 = 8"),
+    ("non_boolean_seen", "seen_not_boolean", "event_id % 109 = 30"),
+    ("unknown_status", "status_domain", "event_id % 107 = 40"),
+    ("missing_app_version", "app_version_missing", "event_id % 103 = 6"),
+    ("old_app_version_sent", "sent_app_version_too_old",
+     "event_id % 47 = 20 AND event_id % 103 <> 6 AND event_id % 10 < 7 AND event_id % 107 <> 40"),
+    ("unknown_country", "country_domain", "event_id % 113 = 50"),
+    ("negative_latency", "latency_negative", "event_id % 127 = 60"),
+]
+
+ORACLE["anomaly_recall"] = _q(
+    ", cat AS (" + " UNION ALL ".join(
+        f"SELECT CAST(event_id AS BIGINT) AS row_ord, '{n}' AS anomaly, '{c}' AS expected_code FROM events WHERE {w}"
+        for n, c, w in _CATALOGUE
+    ) + """)
+    SELECT anomaly, expected_code, count(*) AS injected,
+      count(*) FILTER (WHERE t.reject_reason IS NOT NULL) AS rejected,
+      count(*) FILTER (WHERE list_contains(string_split(coalesce(t.reject_reason, ''), '; '), expected_code)) AS caught,
+      round(count(*) FILTER (WHERE list_contains(string_split(coalesce(t.reject_reason, ''), '; '), expected_code)) / count(*), 4) AS recall
+    FROM cat LEFT JOIN tagged t USING (row_ord)
+    GROUP BY anomaly, expected_code"""
+)

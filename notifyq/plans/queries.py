@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from notifyq import schema as S
 from notifyq.functions.protect import FernetKey, fernet_decrypt, generate_key
 from notifyq.functions.text import mask_id
-from notifyq.operators import clean, kpis, load, profile, validate
+from notifyq.operators import anomalies, clean, kpis, load, profile, validate
 from notifyq.plans.run import Run
-from notifyq.sources.fixtures import raw_notifications
+from notifyq.sources.fixtures import raw_notifications, read_events
 from notifyq.sources.files import latest_batch_id
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -333,6 +333,12 @@ def q_label_correlation_rank(spark, sf_dir):
     return profile.label_correlation_rank(profile.correlation_matrix(feats))
 
 
+def q_anomaly_recall(spark, sf_dir):
+    """The generator's anomaly catalogue against the rejects."""
+    cat = anomalies.catalogue_from_events(read_events(spark, sf_dir))
+    return anomalies.anomaly_recall(cat, make_run(spark, sf_dir).tagged)
+
+
 # ---- model ---------------------------------------------------------------------------------
 
 # Trees per forest in the registered queries (the API default is 300).
@@ -447,6 +453,7 @@ QUERIES: dict[str, QueryFn] = {
     "reject_rate_by_priority": q_reject_rate_by_priority,
     "correlation_matrix": q_correlation_matrix,
     "label_correlation_rank": q_label_correlation_rank,
+    "anomaly_recall": q_anomaly_recall,
     "stratified_split": q_stratified_split,
     "class_weights": q_class_weights,
     "model_comparison": q_model_comparison,
