@@ -1,0 +1,214 @@
+"""Operational run: ingest -> clean -> validate -> load -> KPIs, writing every table.
+
+Tables live under one root folder, which must be shared storage on a cluster:
+
+    stage/tagged/run_id=.../outcome=valid|clean|validate   K3, K5, K6 (one write)
+    rejected/stage=...                                      K4, K6, K9 (append, idempotent)
+    destination/batch_id=...                                K8, K11 (append, idempotent)
+    load_audit/                                             K10
+    runs/clean_metrics, runs/validation_report, runs/kpis   K7 (append; "latest" = max_by)
+    manifest/                                               K2
+
+The tagged rows are written once per run, partitioned by outcome: this cuts the lineage
+(a lost executor recomputes from that table, not from the raw scan and dedup join) and
+both sinks read their partition instead of recomputing the tagging twice. Re-running the
+same input changes nothing: destination rows are anti-joined on ``notification_id``,
+reject rows on ``(batch_id, stage, row_ord)`` (the reference appended them again, Q9).
+Parquet appends are not transactional, so one writer per root is assumed.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import time
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from notifyq import schema as S
+from notifyq.functions.protect import FernetKey
+from notifyq.operators import clean, kpis, load, validate
+from notifyq.plans.run import Run
+
+
+@dataclass(frozen=True)
+class Tables:
+    root: str
+
+    def path(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name}"
+
+    @property
+    def destination(self) -> str:
+        return self.path("destination")
+
+    @property
+    def rejected(self) -> str:
+        return self.path("rejected")
+
+    @property
+    def load_audit(self) -> str:
+        return self.path("load_audit")
+
+    @property
+    def kpis(self) -> str:
+        return self.path("runs/kpis")
+
+    @property
+    def clean_metrics(self) -> str:
+        return self.path("runs/clean_metrics")
+
+    @property
+    def validation_report(self) -> str:
+        return self.path("runs/validation_report")
+
+    @property
+    def manifest(self) -> str:
+        return self.path("manifest")
+
+    def tagged(self, run_id: str) -> str:
+        return self.path(f"stage/tagged/run_id={run_id}")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf).exists(p)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    if path_exists(spark, path):
+        return spark.read.parquet(path)
+    return spark.createDataFrame([], schema)
+
+
+DEST_SCHEMA = T.StructType(
+    [f for f in S.VALID_SCHEMA.fields if f.name not in ("user_id", "source_user_id")]
+    + [
+        T.StructField("user_id_enc", T.StringType()),
+        T.StructField("source_user_id_enc", T.StringType()),
+        T.StructField(S.ROW_ORD, T.LongType()),
+        T.StructField("loaded_at", T.TimestampNTZType()),
+        T.StructField(S.BATCH_ID, T.StringType()),
+    ]
+)
+
+REJECT_SCHEMA = T.StructType(
+    [
+        T.StructField("notification_id", T.StringType()),
+        T.StructField("reject_reason", T.StringType()),
+        T.StructField("payload", T.StringType()),
+        T.StructField(S.ROW_ORD, T.LongType()),
+        T.StructField(S.BATCH_ID, T.StringType()),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("rejected_at", T.TimestampNTZType()),
+        T.StructField("stage", T.StringType()),
+    ]
+)
+
+
+def _now_literal(ts: dt.datetime):
+    return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
+def run_batch(
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    key: str | FernetKey,
+    run_id: str | None = None,
+    as_of: str = S.DEFAULT_AS_OF,
+    source: str = "",
+) -> Row:
+    """Run every stage over ``raw`` and write the tables under ``root``; returns the run
+    summary row (A12). ``run_id`` names the run (P24: passed in, not read per stage)."""
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+    run_id = run_id or now.strftime("%Y%m%d_%H%M%S")
+    k = key if isinstance(key, FernetKey) else FernetKey(key)
+    t = Tables(root)
+    run = Run(raw, as_of=as_of, key=k, issued_at=int(time.time()))
+
+    # Clean + validate, written once (K3, K5, K6).
+    outcome = F.coalesce(F.col("stage"), F.lit("valid"))
+    run.tagged.withColumn("outcome", outcome).write.mode("overwrite").partitionBy("outcome").parquet(
+        t.tagged(run_id)
+    )
+    tagged = spark.read.parquet(t.tagged(run_id))
+
+    # Rejects with reason and payload (K4, K6, K9), idempotent per row.
+    rej = load.reject_audit(validate.rejects(tagged)).withColumn("run_id", F.lit(run_id)).withColumn(
+        "rejected_at", _now_literal(now)
+    )
+    if S.ROW_ORD in rej.columns and isinstance(rej.schema[S.ROW_ORD].dataType, T.StructType):
+        rej = rej.withColumn(S.ROW_ORD, F.xxhash64(S.ROW_ORD))
+    seen = read_or_empty(spark, t.rejected, REJECT_SCHEMA).select(S.BATCH_ID, "stage", S.ROW_ORD)
+    rej.join(seen, [S.BATCH_ID, "stage", S.ROW_ORD], "left_anti").select(
+        *[f.name for f in REJECT_SCHEMA.fields]
+    ).write.mode("append").partitionBy("stage").parquet(t.rejected)
+
+    # Load (J1, J2, K8, K10): audit from the same destination snapshot as the insert.
+    valid = validate.typed_valid(tagged)
+    if isinstance(valid.schema[S.ROW_ORD].dataType, T.StructType):
+        valid = valid.withColumn(S.ROW_ORD, F.xxhash64(S.ROW_ORD))
+    protected = load.protect_ids(valid, k, run.issued_at)
+    dest = read_or_empty(spark, t.destination, DEST_SCHEMA)
+    audit = load.load_audit(protected, dest, source=source or run_id).withColumn(
+        "run_id", F.lit(run_id)
+    ).withColumn("loaded_at", _now_literal(now))
+    audit_row = audit.first()
+    spark.createDataFrame([audit_row], audit.schema).write.mode("append").parquet(t.load_audit)
+    load.new_rows(protected, dest).withColumn("loaded_at", _now_literal(now)).select(
+        *[f.name for f in DEST_SCHEMA.fields]
+    ).write.mode("append").partitionBy(S.BATCH_ID).parquet(t.destination)
+
+    # Stage metrics (A1, A2 -> K7).
+    stamp = [F.lit(run_id).alias("run_id"), _now_literal(now).alias("computed_at")]
+    clean.clean_metrics(tagged).select(*stamp, "*").write.mode("append").parquet(t.clean_metrics)
+    validate.validation_report(tagged).select(*stamp, "*").write.mode("append").parquet(
+        t.validation_report
+    )
+
+    # KPIs over the destination after the load (A3-A9 -> K7, versioned by run).
+    destination = spark.read.parquet(t.destination)
+    report = kpis.kpi_report(kpis.kpi_values(destination, kpis.run_counts(tagged)))
+    report.select(*stamp, "*").write.mode("append").parquet(t.kpis)
+    met = kpis.kpi_alerts(spark.read.parquet(t.kpis).where(F.col("run_id") == run_id)).first()
+
+    counts = kpis.run_counts(tagged).first()
+    return Row(
+        run_id=run_id,
+        rows_in=counts["rows_initial"],
+        clean_removed=counts["clean_removed"],
+        validation_rejected=counts["validation_rejected"],
+        valid=audit_row["rows_in"],
+        rows_inserted=audit_row["rows_inserted"],
+        rows_already_present=audit_row["rows_already_present"],
+        destination_total=audit_row["destination_total"],
+        kpis_met=met["met_text"],
+    )
+
+
+def latest_kpis(spark: SparkSession, root: str) -> DataFrame:
+    """K7 "latest": per KPI, the row of the most recent run."""
+    runs = spark.read.parquet(Tables(root).kpis)
+    row = F.struct(*[c for c in runs.columns if c != "kpi"])
+    return runs.groupBy("kpi").agg(F.max_by(row, F.col("computed_at")).alias("_r")).select("kpi", "_r.*")
+
+
+def reset_tables(spark: SparkSession, root: str) -> None:
+    """Empty destination, rejected and load_audit (explicit call only)."""
+    t = Tables(root)
+    spark.createDataFrame([], DEST_SCHEMA).write.mode("overwrite").parquet(t.destination)
+    spark.createDataFrame([], REJECT_SCHEMA).write.mode("overwrite").parquet(t.rejected)
+    if path_exists(spark, t.load_audit):
+        schema = spark.read.parquet(t.load_audit).schema
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(t.load_audit)
+
+
+def write_model_outputs(comparison: DataFrame, correlation: DataFrame, out_dir: str) -> None:
+    """Model metrics as JSON, correlation matrix as CSV (small, coalesced to 1)."""
+    comparison.coalesce(1).write.mode("overwrite").json(f"{out_dir}/metrics")
+    correlation.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out_dir}/correlation")
