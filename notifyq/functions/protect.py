@@ -17,7 +17,7 @@ import os
 import struct
 import time
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notifyq.functions.text import mask_id  # noqa: F401  (re-exported: P13)
@@ -103,3 +103,61 @@ def fernet_decrypt(c: str | Column, key: str | FernetKey) -> Column:
     plain = F.try_aes_decrypt(iv_ct, F.lit(bytearray(k.encryption)), F.lit("CBC"), F.lit("PKCS"))
     ok = (F.substring(raw, 1, 1) == F.lit(bytearray([FERNET_VERSION]))) & (mac == k.hmac(body))
     return F.when(ok, F.decode(plain, "UTF-8"))
+
+
+def encrypt_columns(
+    df: DataFrame,
+    columns: list[str],
+    key: str | FernetKey,
+    issued_at: int | None = None,
+    row_key: str | None = None,
+    run_nonce: bytes | None = None,
+    suffix: str = "_enc",
+) -> DataFrame:
+    """Add ``<c><suffix>`` Fernet tokens for each column, in two projections.
+
+    ``fernet_encrypt`` as one expression uses the token body twice (once emitted, once
+    under the HMAC); here the body is a column first, so Catalyst keeps it computed once
+    per value (it does not inline expensive expressions that are referenced twice).
+    """
+    k = key if isinstance(key, FernetKey) else FernetKey(key)
+    ts = int(time.time()) if issued_at is None else int(issued_at)
+    nonce = os.urandom(16) if run_nonce is None else run_nonce
+    header = bytearray(struct.pack(">BQ", FERNET_VERSION, ts))
+    staged = df
+    for c in columns:
+        text = F.encode(F.col(c).cast("string"), "UTF-8")
+        parts = [F.lit(bytearray(nonce))]
+        if row_key is not None:
+            parts.append(F.encode(F.coalesce(F.col(row_key).cast("string"), F.lit("")), "UTF-8"))
+            parts.append(F.lit(bytearray(b"\x00")))
+        parts.append(text)
+        iv = F.substring(k.iv_hmac(F.concat(*parts)), 1, 16)
+        iv_ct = F.aes_encrypt(text, F.lit(bytearray(k.encryption)), F.lit("CBC"), F.lit("PKCS"), iv)
+        staged = staged.withColumn(f"_body_{c}", F.when(F.col(c).isNotNull(), F.concat(F.lit(header), iv_ct)))
+    for c in columns:
+        body = F.col(f"_body_{c}")
+        token = F.concat(body, k.hmac(body))
+        staged = staged.withColumn(
+            f"{c}{suffix}", F.translate(F.regexp_replace(F.base64(token), r"[\r\n]", ""), "+/", "-_")
+        )
+    return staged.drop(*[f"_body_{c}" for c in columns])
+
+
+def decrypt_columns(df: DataFrame, mapping: dict[str, str], key: str | FernetKey) -> DataFrame:
+    """Add plain-text columns ``{out: token_column}``; the decoded bytes are staged as a
+    column so they are decoded once per value."""
+    k = key if isinstance(key, FernetKey) else FernetKey(key)
+    staged = df
+    for out, src in mapping.items():
+        staged = staged.withColumn(f"_raw_{out}", F.unbase64(F.translate(F.col(src), "-_", "+/")))
+    for out in mapping:
+        raw = F.col(f"_raw_{out}")
+        n = F.octet_length(raw)
+        body = F.substring(raw, 1, n - 32)
+        mac = F.substring(raw, n - 31, 32)
+        iv_ct = F.substring(raw, 10, n - 9 - 32)
+        plain = F.try_aes_decrypt(iv_ct, F.lit(bytearray(k.encryption)), F.lit("CBC"), F.lit("PKCS"))
+        ok = (F.substring(raw, 1, 1) == F.lit(bytearray([FERNET_VERSION]))) & (mac == k.hmac(body))
+        staged = staged.withColumn(out, F.when(ok, F.decode(plain, "UTF-8")))
+    return staged.drop(*[f"_raw_{out}" for out in mapping])

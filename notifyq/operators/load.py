@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from notifyq import schema as S
-from notifyq.functions.protect import FernetKey, fernet_encrypt
+from notifyq.functions.protect import FernetKey, encrypt_columns
 from notifyq.functions.text import mask_id
 
 ID = "notification_id"
@@ -26,14 +26,8 @@ CIPHER_NAME = "Fernet"
 
 def protect_ids(valid: DataFrame, key: str | FernetKey, issued_at: int | None = None) -> DataFrame:
     """P12 + P14: encrypt user ids into ``*_enc`` columns and drop the clear text."""
-    k = key if isinstance(key, FernetKey) else FernetKey(key)
-    return (
-        valid.withColumn("user_id_enc", fernet_encrypt("user_id", k, issued_at, row_key=ID))
-        .withColumn(
-            "source_user_id_enc", fernet_encrypt("source_user_id", k, issued_at, row_key=ID)
-        )
-        .drop("user_id", "source_user_id")
-    )
+    out = encrypt_columns(valid, ["user_id", "source_user_id"], key, issued_at, row_key=ID)
+    return out.drop("user_id", "source_user_id")
 
 
 def destination_ids(destination: DataFrame) -> DataFrame:

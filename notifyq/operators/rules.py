@@ -102,10 +102,15 @@ def default_rules(as_of: str = S.DEFAULT_AS_OF) -> list[Rule]:
     ]
 
 
-def reason_column(rules: Sequence[Rule]) -> Column:
-    """Every failing code, joined with '; ' in rule order; null when none fails."""
+def reason_text(rules: Sequence[Rule]) -> Column:
+    """Every failing code, joined with '; ' in rule order; '' when none fails."""
     parts = [F.when(F.coalesce(r.fails, F.lit(False)), F.lit(r.code)) for r in rules]
-    return F.nullif(F.concat_ws("; ", *parts), F.lit(""))
+    return F.concat_ws("; ", *parts)
+
+
+def reason_column(rules: Sequence[Rule]) -> Column:
+    """``reason_text`` with null for a row that passes every rule."""
+    return F.nullif(reason_text(rules), F.lit(""))
 
 
 def rule_codes(rules: Sequence[Rule]) -> list[str]:

@@ -13,8 +13,13 @@ _TS_RE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}$"
 _NUM_RE = r"^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 
 
+_WS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004"
+       "\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
 def _strip(c: str) -> str:
-    return f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+    """Python str.strip(): trim every Unicode whitespace character from both ends."""
+    return f"trim({c}, '{_WS}')"
 
 
 # Raw notification rows from events (FIXTURES.md section 3).

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notifyq import schema as S
-from notifyq.functions.protect import FernetKey, fernet_decrypt, generate_key
+from notifyq.functions.protect import FernetKey, decrypt_columns, generate_key
 from notifyq.functions.text import mask_id
 from notifyq.operators import anomalies, clean, kpis, load, profile, validate
 from notifyq.plans.run import Run
@@ -197,13 +197,12 @@ def q_destination_rows(spark, sf_dir):
     """Destination after load with the relational coercions; cipher columns
     shown as their decrypted round trip so the oracle can check them."""
     run = make_run(spark, sf_dir)
-    d = load.destination_coercions(run.destination)
-    k = run.key
-    return d.select(
-        *[c for c in d.columns if c not in ("user_id_enc", "source_user_id_enc")],
-        fernet_decrypt("user_id_enc", k).alias("user_id_decrypted"),
-        fernet_decrypt("source_user_id_enc", k).alias("source_user_id_decrypted"),
+    d = decrypt_columns(
+        load.destination_coercions(run.destination),
+        {"user_id_decrypted": "user_id_enc", "source_user_id_decrypted": "source_user_id_enc"},
+        run.key,
     )
+    return d.drop("user_id_enc", "source_user_id_enc")
 
 
 def q_encrypted_rows(spark, sf_dir):

@@ -33,6 +33,14 @@ RAW_COLUMNS = [
     "latency_ms",
 ]
 
+# Characters stripped from both ends of every text value: the characters Python's
+# ``str.strip()`` treats as whitespace (the cleaning step strips with it).
+STRIP_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Category columns that cleaning upper-cases.
 UPPER_COLUMNS = ["event_type", "device", "delivery_channel", "priority", "status", "country"]
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for a session this package creates itself. On a cluster the submit
 # command's values win because ``SparkSession.builder`` only sets keys that are given
@@ -80,3 +80,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="notifyq-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A file with one row group is one task however many cores there are, and the
+    clean/validate projection is CPU work. Only in that case the rows are dealt
+    round-robin over ``defaultParallelism`` partitions (a deterministic exchange: Spark
+    sorts before a round-robin repartition, so retried tasks see the same rows). Large
+    inputs already have more splits than cores and pass through untouched -- no shuffle
+    is added at scale. The split count comes from file listing, not from a job.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

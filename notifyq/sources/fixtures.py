@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notifyq import schema as S
+from notifyq.session import spread_small_input
 
 
 def _pad(c: Column, n: int) -> Column:
@@ -93,7 +94,11 @@ def raw_from_events(events: DataFrame) -> DataFrame:
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The driver's events table, only the columns the notification rows use."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", "ts", "user_id", "event_type", "value"
+    )
+    return spread_small_input(events)
 
 
 def raw_notifications(spark: SparkSession, sf_dir: str) -> DataFrame:
