@@ -62,9 +62,11 @@ class Run:
         return latest_batch_id(self.raw)
 
     def _in_latest(self, df: DataFrame, latest: bool) -> DataFrame:
-        how = "left_semi" if latest else "left_anti"
-        # One-row side: a broadcast of a single value is size-bounded by construction.
-        return df.join(F.broadcast(self.latest_batch), S.BATCH_ID, how)
+        # A scalar subquery: Spark runs the one-value aggregate once and the test is a
+        # plain filter (and a partition filter on a batch_id-partitioned table).
+        newest = self.latest_batch.scalar()
+        cond = F.col(S.BATCH_ID) == newest if latest else F.col(S.BATCH_ID) < newest
+        return df.where(cond)
 
     @cached_property
     def protected_valid(self) -> DataFrame:
@@ -75,10 +77,24 @@ class Run:
         """What the earlier daily runs loaded: valid rows of all but the newest batch."""
         return self._in_latest(self.protected_valid, latest=False)
 
+    @cached_property
+    def prior_ids(self) -> DataFrame:
+        return self._in_latest(self.valid, latest=False).select("notification_id")
+
     @cached_property
     def destination(self) -> DataFrame:
-        """The destination after this run's idempotent load of every valid row."""
-        return load.load_into(self.protected_valid, self.prior_destination)
+        """The destination after this run's idempotent load (prior rows + new rows).
+
+        Earlier runs loaded the valid rows of the earlier batches, so those rows are
+        present; a row of the newest batch is inserted unless its id is already there
+        (J2). One left join of the incoming rows with the loaded ids gives both, instead
+        of a union of two separately computed branches.
+        """
+        present = self.prior_ids.withColumn("_present", F.lit(True))
+        flagged = self.protected_valid.join(present, "notification_id", "left")
+        newest = self.latest_batch.scalar()
+        keep = (F.col(S.BATCH_ID) < newest) | F.col("_present").isNull()
+        return flagged.where(keep).drop("_present")
 
     # ---- KPIs ------------------------------------------------------------------------------
     @cached_property
