@@ -53,6 +53,13 @@ def q_latest_batch(spark, sf_dir):
     ).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_file_manifest(spark, sf_dir):
+    """K2: manifest (SHA-256, bytes, parsed rows) of the landing file the rows come from."""
+    from notifyq.sources.manifest import file_manifest
+
+    return file_manifest(spark, f"{sf_dir}/events.parquet", fmt="parquet")
+
+
 # ---- clean -------------------------------------------------------------------------------
 
 
@@ -412,6 +419,7 @@ def q_scored_rows(spark, sf_dir):
 QUERIES: dict[str, QueryFn] = {
     "raw_notifications": q_raw_notifications,
     "latest_batch": q_latest_batch,
+    "file_manifest": q_file_manifest,
     "normalised_rows": q_normalised_rows,
     "clean_metrics": q_clean_metrics,
     "clean_rejects": q_clean_rejects,
