@@ -416,6 +416,21 @@ def q_scored_rows(spark, sf_dir):
     return score(run.models[run.best], feats)
 
 
+def q_classification_report(spark, sf_dir):
+    """Per-class report of the chosen model on the test rows."""
+    from notifyq.plans.model import classification_report
+
+    return classification_report(_model_run(spark, sf_dir))
+
+
+def q_model_run_record(spark, sf_dir):
+    """The model run record."""
+    from notifyq.plans.model import run_record
+
+    run = _model_run(spark, sf_dir)
+    return run_record(run, profile.labelled_rows(make_run(spark, sf_dir).tagged))
+
+
 QUERIES: dict[str, QueryFn] = {
     "raw_notifications": q_raw_notifications,
     "latest_batch": q_latest_batch,
@@ -468,4 +483,6 @@ QUERIES: dict[str, QueryFn] = {
     "confusion_matrix": q_confusion_matrix,
     "roc_points": q_roc_points,
     "scored_rows": q_scored_rows,
+    "classification_report": q_classification_report,
+    "model_run_record": q_model_run_record,
 }
