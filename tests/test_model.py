@@ -23,3 +23,18 @@ def test_train_evaluate_save_reload(spark, workdir):
     a = score(run.models[run.best], feats).orderBy("row_ord").collect()
     b = score(reloaded, feats).orderBy("row_ord").collect()
     assert a == b
+
+
+def test_model_outputs_written_and_read_back(spark, workdir):
+    from notifyq.operators.profile import correlation_matrix
+    from notifyq.plans.pipeline import write_model_outputs
+    from notifyq.sources.files import read_json_documents
+
+    feats = model_features(make_run(spark, SF0001).tagged)
+    run = train_models(feats, names=["decision_tree"])
+    out = f"{workdir}/outputs"
+    write_model_outputs(run.comparison(), correlation_matrix(feats), out)
+    metrics = read_json_documents(spark, f"{out}/metrics")
+    assert metrics.count() == 1 and metrics.first()["model"] == "decision_tree"
+    corr = spark.read.option("header", True).csv(f"{out}/correlation")
+    assert corr.count() == 100

@@ -62,3 +62,14 @@ def test_run_batch_end_to_end_and_idempotent(spark, workdir):
     assert all(len(r.sha256) == 64 for r in m)
     reset_tables(spark, root)
     assert spark.read.parquet(t.destination).count() == 0
+
+
+def test_land_raw_partitions_by_batch(spark, workdir):
+    from notifyq.sources.manifest import land_raw
+
+    landing = _write_landing(spark, workdir)
+    out = os.path.join(workdir, "raw_table")
+    land_raw(read_raw_csv(spark, landing).drop("row_ord"), out)
+    parts = sorted(d for d in os.listdir(out) if d.startswith("batch_id="))
+    assert parts == ["batch_id=notifications_20240115", "batch_id=notifications_20240130"]
+    assert spark.read.parquet(out).count() == 1000
