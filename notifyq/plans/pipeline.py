@@ -3,7 +3,7 @@
 Tables live under one root folder, which must be shared storage on a cluster:
 
     stage/tagged/run_id=.../outcome=valid|clean|validate   K3, K5, K6 (one write)
-    rejected/stage=...                                      K4, K6, K9 (append, idempotent)
+    rejected/stage=.../batch_id=...                         K4, K6, K9 (append, idempotent)
     destination/batch_id=...                                K8, K11 (append, idempotent)
     load_audit/                                             K10
     runs/clean_metrics, runs/validation_report, runs/kpis   K7 (append; "latest" = max_by)
@@ -144,10 +144,17 @@ def run_batch(
     )
     if S.ROW_ORD in rej.columns and isinstance(rej.schema[S.ROW_ORD].dataType, T.StructType):
         rej = rej.withColumn(S.ROW_ORD, F.xxhash64(S.ROW_ORD))
-    seen = read_or_empty(spark, t.rejected, REJECT_SCHEMA).select(S.BATCH_ID, "stage", S.ROW_ORD)
+    # Only this run's landing batches can hold the same rows again: the batch list (one
+    # entry per landing file of the run) becomes a partition filter on the reject history.
+    batches = [r[0] for r in tagged.select(S.BATCH_ID).distinct().collect()]
+    seen = (
+        read_or_empty(spark, t.rejected, REJECT_SCHEMA)
+        .where(F.col(S.BATCH_ID).isin(batches))
+        .select(S.BATCH_ID, "stage", S.ROW_ORD)
+    )
     rej.join(seen, [S.BATCH_ID, "stage", S.ROW_ORD], "left_anti").select(
         *[f.name for f in REJECT_SCHEMA.fields]
-    ).write.mode("append").partitionBy("stage").parquet(t.rejected)
+    ).write.mode("append").partitionBy("stage", S.BATCH_ID).parquet(t.rejected)
 
     # Load (J1, J2, K8, K10): audit from the same destination snapshot as the insert.
     valid = validate.typed_valid(tagged)
