@@ -48,9 +48,10 @@ def q_raw_notifications(spark, sf_dir):
 def q_latest_batch(spark, sf_dir):
     """The newest landing batch and its row count."""
     raw = make_run(spark, sf_dir).raw
-    return raw.join(F.broadcast(latest_batch_id(raw)), S.BATCH_ID, "left_semi").groupBy(
-        S.BATCH_ID
-    ).agg(F.count(F.lit(1)).alias("rows"))
+    newest = latest_batch_id(raw).scalar()
+    return raw.where(F.col(S.BATCH_ID) == newest).groupBy(S.BATCH_ID).agg(
+        F.count(F.lit(1)).alias("rows")
+    )
 
 
 def q_file_manifest(spark, sf_dir):
