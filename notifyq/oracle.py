@@ -341,13 +341,13 @@ ORACLE: dict[str, str] = {
     ),
     "reject_audit": _q(
         """SELECT notification_id, stage, reject_reason,
-          to_json(struct_pack(notification_id := notification_id, event_id := event_id,
+          CAST(to_json(struct_pack(notification_id := notification_id, event_id := event_id,
             event_type := event_type,
             user_id := CASE WHEN user_id IS NOT NULL THEN coalesce(substr(user_id, 1, 1), '') || '***' END,
             source_user_id := CASE WHEN source_user_id IS NOT NULL THEN coalesce(substr(source_user_id, 1, 1), '') || '***' END,
             post_id := post_id, comment_id := comment_id, created_at := created_at, device := device,
             delivery_channel := delivery_channel, priority := priority, seen := seen, status := status,
-            app_version := app_version, country := country, latency_ms := latency_ms)) AS payload,
+            app_version := app_version, country := country, latency_ms := latency_ms)) AS VARCHAR) AS payload,
           row_ord, batch_id
         FROM tagged WHERE reject_reason IS NOT NULL"""
     ),
