@@ -23,13 +23,13 @@ import datetime as dt
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notifyq import schema as S
 from notifyq.functions.protect import FernetKey
-from notifyq.operators import clean, kpis, load, validate
+from notifyq.operators import kpis, load, validate
 from notifyq.plans.run import Run
 
 
@@ -110,6 +110,20 @@ REJECT_SCHEMA = T.StructType(
 )
 
 
+AUDIT_SCHEMA = T.StructType(
+    [
+        T.StructField("source_file", T.StringType()),
+        T.StructField("rows_in", T.LongType()),
+        T.StructField("rows_inserted", T.LongType()),
+        T.StructField("rows_already_present", T.LongType()),
+        T.StructField("destination_total", T.LongType()),
+        T.StructField("cipher", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+        T.StructField("loaded_at", T.TimestampNTZType()),
+    ]
+)
+
+
 def _now_literal(ts: dt.datetime):
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
@@ -131,11 +145,24 @@ def run_batch(
     t = Tables(root)
     run = Run(raw, as_of=as_of, key=k, issued_at=int(time.time()))
 
-    # Clean + validate, written once (K3, K5, K6).
-    outcome = F.coalesce(F.col("stage"), F.lit("valid"))
-    run.tagged.withColumn("outcome", outcome).write.mode("overwrite").partitionBy("outcome").parquet(
-        t.tagged(run_id)
+    # Clean + validate, written once (K3, K5, K6). Every stage count is observed in
+    # the same job (DataFrame.observe), so no count re-reads the table.
+    tag_obs = Observation("tagging")
+    observed = run.tagged.withColumn("outcome", F.coalesce(F.col("stage"), F.lit("valid"))).observe(
+        tag_obs,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(F.col("stage") == S.STAGE_CLEAN).alias("clean_removed"),
+        F.count_if(F.col("clean_reason") == S.CLEAN_DUP).alias("duplicates"),
+        F.count_if(F.col("clean_reason") == S.CLEAN_BAD_TS).alias("bad_timestamps"),
+        F.count_if(F.col("seen").isNotNull() & F.col("seen_bool").isNull()).alias("bad_seen"),
+        F.count_if(F.col("latency_ms").isNotNull() & F.col("latency_num").isNull()).alias("bad_latency"),
+        F.count_if(F.col("stage") == S.STAGE_VALIDATE).alias("validation_rejected"),
+        F.count_if(F.col("label") == 0).alias("valid"),
+        # One entry per landing batch of the run (a handful of files).
+        F.collect_set(S.BATCH_ID).alias("batches"),
     )
+    observed.write.mode("overwrite").partitionBy("outcome").parquet(t.tagged(run_id))
+    st = tag_obs.get
     tagged = spark.read.parquet(t.tagged(run_id))
 
     # Rejects with reason and payload (K4, K6, K9), idempotent per row.
@@ -144,57 +171,84 @@ def run_batch(
     )
     if S.ROW_ORD in rej.columns and isinstance(rej.schema[S.ROW_ORD].dataType, T.StructType):
         rej = rej.withColumn(S.ROW_ORD, F.xxhash64(S.ROW_ORD))
-    # Only this run's landing batches can hold the same rows again: the batch list (one
-    # entry per landing file of the run) becomes a partition filter on the reject history.
-    batches = [r[0] for r in tagged.select(S.BATCH_ID).distinct().collect()]
+    # Only this run's landing batches can hold the same rows again: the batch list
+    # becomes a partition filter on the reject history.
     seen = (
         read_or_empty(spark, t.rejected, REJECT_SCHEMA)
-        .where(F.col(S.BATCH_ID).isin(batches))
+        .where(F.col(S.BATCH_ID).isin(list(st["batches"])))
         .select(S.BATCH_ID, "stage", S.ROW_ORD)
     )
+    # ``rebalance``: AQE sizes the output tasks per partition value (splitting a hot
+    # batch, merging small ones), so the table gets few, well-sized files.
     rej.join(seen, [S.BATCH_ID, "stage", S.ROW_ORD], "left_anti").select(
         *[f.name for f in REJECT_SCHEMA.fields]
-    ).write.mode("append").partitionBy("stage", S.BATCH_ID).parquet(t.rejected)
+    ).hint("rebalance", "stage", S.BATCH_ID).write.mode("append").partitionBy("stage", S.BATCH_ID).parquet(
+        t.rejected
+    )
 
-    # Load (J1, J2, K8, K10): audit from the same destination snapshot as the insert.
+    # Load (J1, J2, K8, K10): the insert count is observed on the anti-join that writes
+    # the rows, so the audit describes exactly what was inserted.
     valid = validate.typed_valid(tagged)
     if isinstance(valid.schema[S.ROW_ORD].dataType, T.StructType):
         valid = valid.withColumn(S.ROW_ORD, F.xxhash64(S.ROW_ORD))
     protected = load.protect_ids(valid, k, run.issued_at)
     dest = read_or_empty(spark, t.destination, DEST_SCHEMA)
-    audit = load.load_audit(protected, dest, source=source or run_id).withColumn(
-        "run_id", F.lit(run_id)
-    ).withColumn("loaded_at", _now_literal(now))
-    audit_row = audit.first()
-    spark.createDataFrame([audit_row], audit.schema).write.mode("append").parquet(t.load_audit)
+    before = dest.count()
+    load_obs = Observation("load")
     load.new_rows(protected, dest).withColumn("loaded_at", _now_literal(now)).select(
         *[f.name for f in DEST_SCHEMA.fields]
-    ).write.mode("append").partitionBy(S.BATCH_ID).parquet(t.destination)
-
-    # Stage metrics (A1, A2 -> K7).
-    stamp = [F.lit(run_id).alias("run_id"), _now_literal(now).alias("computed_at")]
-    clean.clean_metrics(tagged).select(*stamp, "*").write.mode("append").parquet(t.clean_metrics)
-    validate.validation_report(tagged).select(*stamp, "*").write.mode("append").parquet(
-        t.validation_report
+    ).observe(load_obs, F.count(F.lit(1)).alias("inserted")).hint("rebalance", S.BATCH_ID).write.mode(
+        "append"
+    ).partitionBy(S.BATCH_ID).parquet(t.destination)
+    inserted = load_obs.get["inserted"]
+    audit_row = Row(
+        source_file=source or run_id,
+        rows_in=st["valid"],
+        rows_inserted=inserted,
+        rows_already_present=st["valid"] - inserted,
+        destination_total=before + inserted,
+        cipher=load.CIPHER_NAME,
+        run_id=run_id,
+        loaded_at=now,
     )
+    spark.createDataFrame([audit_row], AUDIT_SCHEMA).write.mode("append").parquet(t.load_audit)
+
+    # Stage metrics (A1, A2 -> K7) from the observed counts.
+    reached = st["rows_in"] - st["clean_removed"]
+    spark.createDataFrame(
+        [(run_id, now, st["rows_in"], reached, st["duplicates"], st["bad_timestamps"], st["bad_seen"], st["bad_latency"])],
+        "run_id string, computed_at timestamp_ntz, rows_in bigint, rows_out bigint, duplicates bigint, "
+        "bad_timestamps bigint, bad_seen bigint, bad_latency bigint",
+    ).write.mode("append").parquet(t.clean_metrics)
+    valid_pct = round(100.0 * (reached - st["validation_rejected"]) / reached, 2) if reached else 0.0
+    spark.createDataFrame(
+        [(run_id, now, reached, reached - st["validation_rejected"], st["validation_rejected"], valid_pct)],
+        "run_id string, computed_at timestamp_ntz, total bigint, valid bigint, rejected bigint, valid_pct double",
+    ).write.mode("append").parquet(t.validation_report)
 
     # KPIs over the destination after the load (A3-A9 -> K7, versioned by run).
+    counts = spark.createDataFrame(
+        [(st["rows_in"], st["clean_removed"], st["validation_rejected"])],
+        "rows_initial bigint, clean_removed bigint, validation_rejected bigint",
+    )
     destination = spark.read.parquet(t.destination)
-    report = kpis.kpi_report(kpis.kpi_values(destination, kpis.run_counts(tagged)))
-    report.select(*stamp, "*").write.mode("append").parquet(t.kpis)
-    met = kpis.kpi_alerts(spark.read.parquet(t.kpis).where(F.col("run_id") == run_id)).first()
+    report = kpis.kpi_report(kpis.kpi_values(destination, counts))
+    rows = report.collect()  # five rows
+    spark.createDataFrame(rows, report.schema).select(
+        F.lit(run_id).alias("run_id"), _now_literal(now).alias("computed_at"), "*"
+    ).write.mode("append").parquet(t.kpis)
+    met = sum(1 for r in rows if r["met"])
 
-    counts = kpis.run_counts(tagged).first()
     return Row(
         run_id=run_id,
-        rows_in=counts["rows_initial"],
-        clean_removed=counts["clean_removed"],
-        validation_rejected=counts["validation_rejected"],
-        valid=audit_row["rows_in"],
-        rows_inserted=audit_row["rows_inserted"],
-        rows_already_present=audit_row["rows_already_present"],
-        destination_total=audit_row["destination_total"],
-        kpis_met=met["met_text"],
+        rows_in=st["rows_in"],
+        clean_removed=st["clean_removed"],
+        validation_rejected=st["validation_rejected"],
+        valid=st["valid"],
+        rows_inserted=inserted,
+        rows_already_present=st["valid"] - inserted,
+        destination_total=before + inserted,
+        kpis_met=f"{met}/{len(rows)}",
     )
 
 
