@@ -80,8 +80,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A run table with its known schema (an empty write leaves no file to infer from)."""
     if path_exists(spark, path):
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
 
@@ -110,18 +111,30 @@ REJECT_SCHEMA = T.StructType(
 )
 
 
-AUDIT_SCHEMA = T.StructType(
-    [
-        T.StructField("source_file", T.StringType()),
-        T.StructField("rows_in", T.LongType()),
-        T.StructField("rows_inserted", T.LongType()),
-        T.StructField("rows_already_present", T.LongType()),
-        T.StructField("destination_total", T.LongType()),
-        T.StructField("cipher", T.StringType()),
-        T.StructField("run_id", T.StringType()),
-        T.StructField("loaded_at", T.TimestampNTZType()),
-    ]
-)
+TAG_METRICS = [
+    ("rows_in", lambda: F.count(F.lit(1))),
+    ("clean_removed", lambda: F.count_if(F.col("stage") == S.STAGE_CLEAN)),
+    ("duplicates", lambda: F.count_if(F.col("clean_reason") == S.CLEAN_DUP)),
+    ("bad_timestamps", lambda: F.count_if(F.col("clean_reason") == S.CLEAN_BAD_TS)),
+    ("bad_seen", lambda: F.count_if(F.col("seen").isNotNull() & F.col("seen_bool").isNull())),
+    ("bad_latency", lambda: F.count_if(F.col("latency_ms").isNotNull() & F.col("latency_num").isNull())),
+    ("validation_rejected", lambda: F.count_if(F.col("stage") == S.STAGE_VALIDATE)),
+    ("valid", lambda: F.count_if(F.col("label") == 0)),
+    # One entry per landing batch of the run (a handful of files).
+    ("batches", lambda: F.collect_set(S.BATCH_ID)),
+]
+
+
+def _observed(obs: Observation, table: DataFrame) -> dict:
+    """Metrics observed during the write; if the optimizer removed the observed node
+    (an empty input becomes an empty relation), aggregate the written table instead."""
+    try:
+        got = obs.get
+        if got:
+            return dict(got)
+    except Exception:  # noqa: BLE001 -- no metrics were produced
+        pass
+    return table.agg(*[f().alias(n) for n, f in TAG_METRICS]).first().asDict()
 
 
 def _now_literal(ts: dt.datetime):
@@ -149,21 +162,11 @@ def run_batch(
     # the same job (DataFrame.observe), so no count re-reads the table.
     tag_obs = Observation("tagging")
     observed = run.tagged.withColumn("outcome", F.coalesce(F.col("stage"), F.lit("valid"))).observe(
-        tag_obs,
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(F.col("stage") == S.STAGE_CLEAN).alias("clean_removed"),
-        F.count_if(F.col("clean_reason") == S.CLEAN_DUP).alias("duplicates"),
-        F.count_if(F.col("clean_reason") == S.CLEAN_BAD_TS).alias("bad_timestamps"),
-        F.count_if(F.col("seen").isNotNull() & F.col("seen_bool").isNull()).alias("bad_seen"),
-        F.count_if(F.col("latency_ms").isNotNull() & F.col("latency_num").isNull()).alias("bad_latency"),
-        F.count_if(F.col("stage") == S.STAGE_VALIDATE).alias("validation_rejected"),
-        F.count_if(F.col("label") == 0).alias("valid"),
-        # One entry per landing batch of the run (a handful of files).
-        F.collect_set(S.BATCH_ID).alias("batches"),
+        tag_obs, *[f().alias(n) for n, f in TAG_METRICS]
     )
     observed.write.mode("overwrite").partitionBy("outcome").parquet(t.tagged(run_id))
-    st = tag_obs.get
-    tagged = spark.read.parquet(t.tagged(run_id))
+    tagged = spark.read.schema(observed.schema).parquet(t.tagged(run_id))
+    st = _observed(tag_obs, tagged)
 
     # Rejects with reason and payload (K4, K6, K9), idempotent per row.
     rej = load.reject_audit(validate.rejects(tagged)).withColumn("run_id", F.lit(run_id)).withColumn(
@@ -186,32 +189,23 @@ def run_batch(
         t.rejected
     )
 
-    # Load (J1, J2, K8, K10): the insert count is observed on the anti-join that writes
-    # the rows, so the audit describes exactly what was inserted.
+    # Load (J1, J2, K8, K10): the audit is one aggregate over the same destination
+    # snapshot the insert reads (single writer per root).
     valid = validate.typed_valid(tagged)
     if isinstance(valid.schema[S.ROW_ORD].dataType, T.StructType):
         valid = valid.withColumn(S.ROW_ORD, F.xxhash64(S.ROW_ORD))
     protected = load.protect_ids(valid, k, run.issued_at)
     dest = read_or_empty(spark, t.destination, DEST_SCHEMA)
-    before = dest.count()
-    load_obs = Observation("load")
+    audit = load.load_audit(protected, dest, source=source or run_id).withColumn(
+        "run_id", F.lit(run_id)
+    ).withColumn("loaded_at", _now_literal(now))
+    audit_row = audit.first()
+    spark.createDataFrame([audit_row], audit.schema).write.mode("append").parquet(t.load_audit)
     load.new_rows(protected, dest).withColumn("loaded_at", _now_literal(now)).select(
         *[f.name for f in DEST_SCHEMA.fields]
-    ).observe(load_obs, F.count(F.lit(1)).alias("inserted")).hint("rebalance", S.BATCH_ID).write.mode(
-        "append"
-    ).partitionBy(S.BATCH_ID).parquet(t.destination)
-    inserted = load_obs.get["inserted"]
-    audit_row = Row(
-        source_file=source or run_id,
-        rows_in=st["valid"],
-        rows_inserted=inserted,
-        rows_already_present=st["valid"] - inserted,
-        destination_total=before + inserted,
-        cipher=load.CIPHER_NAME,
-        run_id=run_id,
-        loaded_at=now,
-    )
-    spark.createDataFrame([audit_row], AUDIT_SCHEMA).write.mode("append").parquet(t.load_audit)
+    ).hint("rebalance", S.BATCH_ID).write.mode("append").partitionBy(S.BATCH_ID).parquet(t.destination)
+    inserted = audit_row["rows_inserted"]
+    before = audit_row["destination_total"] - inserted
 
     # Stage metrics (A1, A2 -> K7) from the observed counts.
     reached = st["rows_in"] - st["clean_removed"]
@@ -231,7 +225,7 @@ def run_batch(
         [(st["rows_in"], st["clean_removed"], st["validation_rejected"])],
         "rows_initial bigint, clean_removed bigint, validation_rejected bigint",
     )
-    destination = spark.read.parquet(t.destination)
+    destination = read_or_empty(spark, t.destination, DEST_SCHEMA)
     report = kpis.kpi_report(kpis.kpi_values(destination, counts))
     rows = report.collect()  # five rows
     spark.createDataFrame(rows, report.schema).select(

@@ -73,3 +73,12 @@ def test_land_raw_partitions_by_batch(spark, workdir):
     parts = sorted(d for d in os.listdir(out) if d.startswith("batch_id="))
     assert parts == ["batch_id=notifications_20240115", "batch_id=notifications_20240130"]
     assert spark.read.parquet(out).count() == 1000
+
+
+def test_run_batch_on_an_empty_file(spark, workdir):
+    p = os.path.join(workdir, "landing", "notifications_20240201.csv")
+    os.makedirs(os.path.dirname(p))
+    with open(p, "w") as f:
+        f.write(",".join(S.RAW_COLUMNS) + "\n")
+    s = run_batch(spark, read_raw_csv(spark, os.path.dirname(p)), os.path.join(workdir, "t"), generate_key(), run_id="e")
+    assert (s.rows_in, s.valid, s.rows_inserted, s.destination_total) == (0, 0, 0, 0)
