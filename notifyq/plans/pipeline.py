@@ -23,7 +23,7 @@ import datetime as dt
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,18 +125,6 @@ TAG_METRICS = [
 ]
 
 
-def _observed(obs: Observation, table: DataFrame) -> dict:
-    """Metrics observed during the write; if the optimizer removed the observed node
-    (an empty input becomes an empty relation), aggregate the written table instead."""
-    try:
-        got = obs.get
-        if got:
-            return dict(got)
-    except Exception:  # noqa: BLE001 -- no metrics were produced
-        pass
-    return table.agg(*[f().alias(n) for n, f in TAG_METRICS]).first().asDict()
-
-
 def _now_literal(ts: dt.datetime):
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
@@ -158,15 +146,16 @@ def run_batch(
     t = Tables(root)
     run = Run(raw, as_of=as_of, key=k, issued_at=int(time.time()))
 
-    # Clean + validate, written once (K3, K5, K6). Every stage count is observed in
-    # the same job (DataFrame.observe), so no count re-reads the table.
-    tag_obs = Observation("tagging")
-    observed = run.tagged.withColumn("outcome", F.coalesce(F.col("stage"), F.lit("valid"))).observe(
-        tag_obs, *[f().alias(n) for n, f in TAG_METRICS]
-    )
-    observed.write.mode("overwrite").partitionBy("outcome").parquet(t.tagged(run_id))
-    tagged = spark.read.schema(observed.schema).parquet(t.tagged(run_id))
-    st = _observed(tag_obs, tagged)
+    # Clean + validate, written once (K3, K5, K6); the stage counts are one aggregate
+    # over the written table, which reads only the few columns they need.
+    # (DataFrame.observe would save that scan, but an observed session can no longer
+    # serialize pyspark.ml models that keep a training summary.)
+    run.tagged.withColumn("outcome", F.coalesce(F.col("stage"), F.lit("valid"))).write.mode(
+        "overwrite"
+    ).partitionBy("outcome").parquet(t.tagged(run_id))
+    written = T.StructType(run.tagged.schema.fields + [T.StructField("outcome", T.StringType())])
+    tagged = spark.read.schema(written).parquet(t.tagged(run_id))
+    st = tagged.agg(*[f().alias(n) for n, f in TAG_METRICS]).first().asDict()
 
     # Rejects with reason and payload (K4, K6, K9), idempotent per row.
     rej = load.reject_audit(validate.rejects(tagged)).withColumn("run_id", F.lit(run_id)).withColumn(
@@ -207,7 +196,7 @@ def run_batch(
     inserted = audit_row["rows_inserted"]
     before = audit_row["destination_total"] - inserted
 
-    # Stage metrics (A1, A2 -> K7) from the observed counts.
+    # Stage metrics (A1, A2 -> K7) from the stage counts.
     reached = st["rows_in"] - st["clean_removed"]
     spark.createDataFrame(
         [(run_id, now, st["rows_in"], reached, st["duplicates"], st["bad_timestamps"], st["bad_seen"], st["bad_latency"])],
