@@ -5,15 +5,17 @@ Tables live under one root folder, which must be shared storage on a cluster:
     stage/tagged/run_id=.../outcome=valid|clean|validate   K3, K5, K6 (one write)
     rejected/stage=.../batch_id=...                         K4, K6, K9 (append, idempotent)
     destination/batch_id=...                                K8, K11 (append, idempotent)
-    load_audit/                                             K10
-    runs/clean_metrics, runs/validation_report, runs/kpis   K7 (append; "latest" = max_by)
+    load_audit/run_id=...                                   K10 (one partition per run)
+    runs/{clean_metrics,validation_report,kpis}/run_id=...  K7 ("latest" = max_by)
     manifest/                                               K2
 
 The tagged rows are written once per run, partitioned by outcome: this cuts the lineage
 (a lost executor recomputes from that table, not from the raw scan and dedup join) and
 both sinks read their partition instead of recomputing the tagging twice. Re-running the
 same input changes nothing: destination rows are anti-joined on ``notification_id``,
-reject rows on ``(batch_id, stage, row_ord)`` (the reference appended them again, Q9).
+reject rows on ``(batch_id, stage, row_ord)`` (the reference appended them again, Q9),
+and a retried run replaces its own audit, metric and KPI rows (dynamic partition
+overwrite of its ``run_id``).
 Parquet appends are not transactional, so one writer per root is assumed.
 """
 
@@ -125,6 +127,13 @@ TAG_METRICS = [
 ]
 
 
+def _write_run_row(df: DataFrame, path: str) -> DataFrame:
+    """Append the rows of one run, replacing that run's earlier rows if it is retried:
+    partitioned by ``run_id`` with dynamic partition overwrite."""
+    df.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("run_id").parquet(path)
+    return df
+
+
 def _now_literal(ts: dt.datetime):
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
@@ -189,7 +198,7 @@ def run_batch(
         "run_id", F.lit(run_id)
     ).withColumn("loaded_at", _now_literal(now))
     audit_row = audit.first()
-    spark.createDataFrame([audit_row], audit.schema).write.mode("append").parquet(t.load_audit)
+    _write_run_row(spark.createDataFrame([audit_row], audit.schema), t.load_audit)
     load.new_rows(protected, dest).withColumn("loaded_at", _now_literal(now)).select(
         *[f.name for f in DEST_SCHEMA.fields]
     ).hint("rebalance", S.BATCH_ID).write.mode("append").partitionBy(S.BATCH_ID).parquet(t.destination)
@@ -202,12 +211,12 @@ def run_batch(
         [(run_id, now, st["rows_in"], reached, st["duplicates"], st["bad_timestamps"], st["bad_seen"], st["bad_latency"])],
         "run_id string, computed_at timestamp_ntz, rows_in bigint, rows_out bigint, duplicates bigint, "
         "bad_timestamps bigint, bad_seen bigint, bad_latency bigint",
-    ).write.mode("append").parquet(t.clean_metrics)
+    ).transform(lambda d: _write_run_row(d, t.clean_metrics))
     valid_pct = round(100.0 * (reached - st["validation_rejected"]) / reached, 2) if reached else 0.0
     spark.createDataFrame(
         [(run_id, now, reached, reached - st["validation_rejected"], st["validation_rejected"], valid_pct)],
         "run_id string, computed_at timestamp_ntz, total bigint, valid bigint, rejected bigint, valid_pct double",
-    ).write.mode("append").parquet(t.validation_report)
+    ).transform(lambda d: _write_run_row(d, t.validation_report))
 
     # KPIs over the destination after the load (A3-A9 -> K7, versioned by run).
     counts = spark.createDataFrame(
@@ -219,7 +228,7 @@ def run_batch(
     rows = report.collect()  # five rows
     spark.createDataFrame(rows, report.schema).select(
         F.lit(run_id).alias("run_id"), _now_literal(now).alias("computed_at"), "*"
-    ).write.mode("append").parquet(t.kpis)
+    ).transform(lambda d: _write_run_row(d, t.kpis))
     met = sum(1 for r in rows if r["met"])
 
     return Row(

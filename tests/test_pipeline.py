@@ -82,3 +82,15 @@ def test_run_batch_on_an_empty_file(spark, workdir):
         f.write(",".join(S.RAW_COLUMNS) + "\n")
     s = run_batch(spark, read_raw_csv(spark, os.path.dirname(p)), os.path.join(workdir, "t"), generate_key(), run_id="e")
     assert (s.rows_in, s.valid, s.rows_inserted, s.destination_total) == (0, 0, 0, 0)
+
+
+def test_retried_run_replaces_its_own_run_rows(spark, workdir):
+    landing = _write_landing(spark, workdir)
+    root = os.path.join(workdir, "tables")
+    key = generate_key()
+    for _ in range(2):  # the same run id twice, as after a driver failure
+        run_batch(spark, read_raw_csv(spark, landing), root, key, run_id="r1")
+    t = Tables(root)
+    assert spark.read.parquet(t.load_audit).count() == 1
+    assert spark.read.parquet(t.kpis).count() == 5
+    assert spark.read.parquet(t.destination).count() == 664
