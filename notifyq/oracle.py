@@ -221,7 +221,11 @@ ORACLE: dict[str, str] = {
     "latest_batch": _q(
         "SELECT batch_id, count(*) AS rows FROM raw WHERE batch_id = (SELECT batch_id FROM latest) GROUP BY batch_id"
     ),
-    "normalised_rows": _q("SELECT * FROM norm"),
+    "normalised_rows": _q(
+        f"""SELECT {RAW_COLS}, CAST(seen_bool AS DOUBLE) AS seen_bool,
+          strftime(created_ts, '%Y-%m-%d %H:%M:%S') AS created_ts, latency_num, row_ord, batch_id
+        FROM norm"""
+    ),
     "clean_metrics": _q(
         """SELECT count(*) AS rows_in,
           count(*) FILTER (WHERE clean_reason IS NULL) AS rows_out,
@@ -239,7 +243,12 @@ ORACLE: dict[str, str] = {
           SELECT *, row_number() OVER (PARTITION BY notification_id ORDER BY row_ord) AS rn
           FROM norm WHERE notification_id IS NOT NULL) WHERE rn = 1"""
     ),
-    "valid_rows": _q("SELECT * FROM valid"),
+    "valid_rows": _q(
+        """SELECT notification_id, event_id, event_type, user_id, source_user_id, post_id, comment_id,
+          strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, device, delivery_channel, priority,
+          seen, status, app_version, country, CAST(latency_ms AS DOUBLE) AS latency_ms, row_ord, batch_id
+        FROM valid"""
+    ),
     "validation_rejects": _q(
         f"SELECT {RAW_COLS}, row_ord, batch_id, stage, reject_reason FROM tagged WHERE stage = 'validate'"
     ),
@@ -314,13 +323,15 @@ ORACLE: dict[str, str] = {
         "SELECT notification_id FROM valid WHERE notification_id IN (SELECT notification_id FROM prior_dest)"
     ),
     "idempotent_load": _q(
-        """SELECT notification_id, event_id, event_type, post_id, comment_id, created_at, device,
-          delivery_channel, priority, seen, status, app_version, country, latency_ms, row_ord, batch_id
+        """SELECT notification_id, event_id, event_type, post_id, comment_id,
+          strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, device, delivery_channel, priority,
+          seen, status, app_version, country, CAST(latency_ms AS DOUBLE) AS latency_ms, row_ord, batch_id
         FROM valid WHERE notification_id NOT IN (SELECT notification_id FROM prior_dest)"""
     ),
     "destination_rows": _q(
         """SELECT notification_id, event_id, event_type, nullif(trim(post_id), '') AS post_id,
-          nullif(trim(comment_id), '') AS comment_id, created_at, device, delivery_channel, priority,
+          nullif(trim(comment_id), '') AS comment_id, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
+          device, delivery_channel, priority,
           coalesce(seen, FALSE) AS seen, status, app_version, country, coalesce(latency_ms, 0) AS latency_ms,
           row_ord, batch_id, user_id AS user_id_decrypted, source_user_id AS source_user_id_decrypted
         FROM dest"""
@@ -419,7 +430,7 @@ def _mode_sql(col: str, source: str) -> str:
 
 ORACLE.update({
     "labelled_rows": _q(f"SELECT {', '.join(_LABELLED)}, row_ord, batch_id FROM tagged"),
-    "model_features": _q(FEATURES_CTE + "\nSELECT * FROM feats"),
+    "model_features": _q(FEATURES_CTE + "\nSELECT * REPLACE (CAST(hour AS DOUBLE) AS hour) FROM feats"),
     "duplicate_id_rows": _q(
         f"SELECT notification_id, row_ord, id_copies, label FROM tagged WHERE id_copies > 1 AND NOT {_fblank('notification_id')}"
     ),

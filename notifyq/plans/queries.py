@@ -33,6 +33,18 @@ def _query_key() -> FernetKey:
     return FernetKey(generate_key())
 
 
+def engine_neutral(df: DataFrame, timestamps=(), nullable_numbers=()) -> DataFrame:
+    """Present a query result so that every engine and client library sees the same
+    values: timestamps as ``yyyy-MM-dd HH:mm:ss`` text, nullable integer/boolean columns
+    as double (a nullable int is float64 in one DataFrame library and a masked Int32 in
+    another). Only the registered query output is affected; library frames stay typed."""
+    for c in timestamps:
+        df = df.withColumn(c, F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss"))
+    for c in nullable_numbers:
+        df = df.withColumn(c, F.col(c).cast("double"))
+    return df
+
+
 def make_run(spark: SparkSession, sf_dir: str) -> Run:
     return Run(raw_notifications(spark, sf_dir), key=_query_key(), issued_at=QUERY_ISSUED_AT)
 
@@ -66,7 +78,9 @@ def q_file_manifest(spark, sf_dir):
 
 def q_normalised_rows(spark, sf_dir):
     """P1-P6."""
-    return make_run(spark, sf_dir).normalised
+    return engine_neutral(
+        make_run(spark, sf_dir).normalised, timestamps=["created_ts"], nullable_numbers=["seen_bool"]
+    )
 
 
 def q_clean_metrics(spark, sf_dir):
@@ -91,7 +105,9 @@ def q_first_per_id(spark, sf_dir):
 
 def q_valid_rows(spark, sf_dir):
     """C3, P10, P11, K5."""
-    return make_run(spark, sf_dir).valid
+    return engine_neutral(
+        make_run(spark, sf_dir).valid, timestamps=["created_at"], nullable_numbers=["latency_ms"]
+    )
 
 
 def q_validation_rejects(spark, sf_dir):
@@ -196,9 +212,10 @@ def q_existing_ids(spark, sf_dir):
 def q_idempotent_load(spark, sf_dir):
     """Rows this load inserts (clear-text columns only; ids are protected)."""
     run = make_run(spark, sf_dir)
-    return load.new_rows(run.protected_valid, run.prior_destination).drop(
+    rows = load.new_rows(run.protected_valid, run.prior_destination).drop(
         "user_id_enc", "source_user_id_enc"
     )
+    return engine_neutral(rows, timestamps=["created_at"], nullable_numbers=["latency_ms"])
 
 
 def q_destination_rows(spark, sf_dir):
@@ -210,7 +227,7 @@ def q_destination_rows(spark, sf_dir):
         {"user_id_decrypted": "user_id_enc", "source_user_id_decrypted": "source_user_id_enc"},
         run.key,
     )
-    return d.drop("user_id_enc", "source_user_id_enc")
+    return engine_neutral(d.drop("user_id_enc", "source_user_id_enc"), timestamps=["created_at"])
 
 
 def q_encrypted_rows(spark, sf_dir):
@@ -281,7 +298,7 @@ def q_labelled_rows(spark, sf_dir):
 
 def q_model_features(spark, sf_dir):
     """M1, P17, P19-P21."""
-    return profile.model_features(make_run(spark, sf_dir).tagged)
+    return engine_neutral(profile.model_features(make_run(spark, sf_dir).tagged), nullable_numbers=["hour"])
 
 
 def q_duplicate_id_rows(spark, sf_dir):
