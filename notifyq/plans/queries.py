@@ -195,7 +195,7 @@ def q_kpi_latest(spark, sf_dir):
     """K7 with the reference's scope (Q10): the newest batch's run -- reject rate from that
     batch's rows, the other KPIs from the whole (cumulative) destination."""
     run = make_run(spark, sf_dir)
-    latest_tagged = run.tagged.join(F.broadcast(run.latest_batch), S.BATCH_ID, "left_semi")
+    latest_tagged = run.tagged.where(F.col(S.BATCH_ID) == run.latest_batch.scalar())
     values = kpis.kpi_values(run.destination, kpis.run_counts(latest_tagged))
     return kpis.kpi_report(kpis.combine_rows(values, run.latest_batch), keep=[S.BATCH_ID])
 
