@@ -63,8 +63,10 @@ def fernet_encrypt(
     row_key: str | Column | None = None,
     run_nonce: bytes | None = None,
 ) -> Column:
-    """Null-safe Fernet token of a text column.
+    """Null-safe Fernet token of a text column (P12), as one Column expression.
 
+    For whole DataFrames prefer ``encrypt_columns``, which stages the token body as a
+    column so it is computed once (here it appears twice: emitted and under the HMAC).
     The IV is the first 16 bytes of an HMAC (keyed by a hash of the key) over a per-run
     random nonce, ``row_key`` and the plain text. It is unpredictable without the key,
     unique per row and run, and -- unlike a random draw inside ``aes_encrypt`` -- the

@@ -51,10 +51,9 @@ def latest_batch_id(df: DataFrame) -> DataFrame:
 
 
 def only_latest_batch(df: DataFrame) -> DataFrame:
-    """Rows of the newest batch: a semi join with the one-row max, which Catalyst
-    turns into a broadcast of a single value (and a partition filter on a
-    ``batch_id``-partitioned table)."""
-    return df.join(F.broadcast(latest_batch_id(df)), S.BATCH_ID, "left_semi")
+    """Rows of the newest batch: a filter against a scalar subquery (the one-value max),
+    i.e. a partition filter on a ``batch_id``-partitioned table, not a join."""
+    return df.where(F.col(S.BATCH_ID) == latest_batch_id(df).scalar())
 
 
 def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
