@@ -77,9 +77,13 @@ def exact_duplicates(labelled: DataFrame, columns: Sequence[str] = LABELLED_COLU
 
 
 def label_distribution(labelled: DataFrame) -> DataFrame:
-    """Rows per label and the share of the total."""
-    total = labelled.agg(F.count(F.lit(1))).scalar()
-    return labelled.groupBy("label").agg(F.count(F.lit(1)).alias("rows")).select(
+    """Rows per label and the share of the total. The total is a window over the
+    grouped result (one row per label), so the rows are scanned once."""
+    from pyspark.sql import Window
+
+    counts = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    total = F.sum("rows").over(Window.partitionBy(F.lit(0)))
+    return counts.select(
         "label", "rows", F.round(F.col("rows") * F.lit(100.0).cast("double") / total, 1).alias("pct")
     )
 
@@ -159,15 +163,17 @@ def latency_histogram(tagged: DataFrame, bins: int = S.HISTOGRAM_BINS) -> DataFr
     bin is listed, empty ones with 0."""
     lat = F.col("latency_num")
     values = tagged.where(lat.isNotNull())
-    lo = values.agg(F.min(lat)).scalar()
-    hi = values.agg(F.max(lat)).scalar()
+    # One scalar subquery for both bounds (each subquery is a pass over the input).
+    bounds = values.agg(F.struct(F.min(lat).alias("lo"), F.max(lat).alias("hi"))).scalar()
+    lo, hi = bounds["lo"], bounds["hi"]
     width = (hi - lo) / F.lit(bins)
     pos = F.coalesce(F.floor(F.try_divide(lat - lo, hi - lo) * bins), F.lit(0))
     counts = values.select(F.least(F.lit(bins), pos + 1).cast("int").alias("bin")).groupBy("bin").agg(
         F.count(F.lit(1)).alias("rows")
     )
-    # One row per bin, derived from the (one-row) aggregate so an empty input has none.
-    grid = values.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 0).select(
+    # One row per bin, derived from the bin counts (the same aggregate, so Spark reuses
+    # its exchange) -- an empty input has no bins.
+    grid = counts.agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 0).select(
         F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")
     )
     return (
