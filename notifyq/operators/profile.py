@@ -187,32 +187,46 @@ def latency_histogram(tagged: DataFrame, bins: int = S.HISTOGRAM_BINS) -> DataFr
     )
 
 
-def _pair_corr(a: Column, b: Column) -> Column:
-    both = a.isNotNull() & b.isNotNull()
-    cov = F.covar_samp(F.when(both, a), F.when(both, b))
-    sa = F.stddev_samp(F.when(both, a))
-    sb = F.stddev_samp(F.when(both, b))
-    return F.try_divide(cov, sa * sb)
-
-
 def correlation_matrix(features: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlation, 2 digits, null for zero variance.
 
-    One global aggregate of (covariance, two deviations) per pair; ``try_divide`` keeps
-    zero variance from raising under ANSI mode (plain ``corr`` raises there).
+    Each row yields one (pair, a, b) record per column pair (55 for ten columns) inside
+    its task; records with a null in either column are dropped (pairwise-complete), and
+    a group-by on the pair computes covariance and the two deviations. Partial
+    aggregation leaves 55 groups per task, so only those cross the shuffle.
+    ``try_divide`` makes zero variance null instead of an ANSI error (``corr`` raises).
     """
     cols = list(columns) if columns is not None else S.NUMERIC_FEATURES + ["label"]
-    aggs = []
-    for i, a in enumerate(cols):
-        for j in range(i, len(cols)):
-            aggs.append(_pair_corr(F.col(a).cast("double"), F.col(cols[j]).cast("double")).alias(f"_p{i}_{j}"))
-    row = features.agg(*aggs)
-    items = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            name = f"_p{min(i, j)}_{max(i, j)}"
-            items.append(F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), (F.round(F.col(name), 2) + F.lit(0.0)).alias("corr")))
-    return row.select(F.inline(F.array(*items)))
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("i"),
+                F.lit(j).alias("j"),
+                F.col(a).cast("double").alias("a"),
+                F.col(cols[j]).cast("double").alias("b"),
+            )
+            for i, a in enumerate(cols)
+            for j in range(i, len(cols))
+        ]
+    )
+    per_pair = (
+        features.select(F.inline(pairs))
+        .where(F.col("a").isNotNull() & F.col("b").isNotNull())
+        .groupBy("i", "j")
+        .agg(F.try_divide(F.covar_samp("a", "b"), F.stddev_samp("a") * F.stddev_samp("b")).alias("c"))
+    )
+    names = F.array(*[F.lit(c) for c in cols])
+    fwd = F.struct(F.col("i").alias("x"), F.col("j").alias("y"), F.col("c"))
+    rev = F.struct(F.col("j").alias("x"), F.col("i").alias("y"), F.col("c"))
+    # The full symmetric matrix: every off-diagonal pair in both orders.
+    full = per_pair.select(
+        F.inline(F.when(F.col("i") == F.col("j"), F.array(fwd)).otherwise(F.array(fwd, rev)))
+    )
+    return full.select(
+        F.element_at(names, F.col("x") + 1).alias("var_a"),
+        F.element_at(names, F.col("y") + 1).alias("var_b"),
+        (F.round(F.col("c"), 2) + F.lit(0.0)).alias("corr"),
+    )
 
 
 def label_correlation_rank(matrix: DataFrame, target: str = "label") -> DataFrame:
