@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     # HotSpot does not JIT-compile methods over 8000 bytes; the rule projections are
     # wide, so let Spark split such stages instead of running them interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Checkpoint files (ranking) are removed once their DataFrame is garbage-collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     # Keys for the id cipher are passed as literals; keep them out of plan strings.
