@@ -55,20 +55,17 @@ def load_audit(
 ) -> DataFrame:
     """Rows in, inserted, already present and destination total after load.
 
-    One left join flags present rows; the destination count is a separate aggregate over
-    the id column. The two one-row results are combined by union + max, not a join.
+    One full outer join of the incoming ids with the destination ids gives all three
+    counts in one aggregate (incoming rows, rows on both sides, destination rows), so
+    each side is read once; ids are unique on both sides (the destination's key, and
+    the deduplicated valid rows).
     """
-    present = destination_ids(destination).withColumn("_present", F.lit(True))
-    flagged = batch.select(ID).join(present, ID, "left")
-    incoming = flagged.agg(
-        F.count(F.lit(1)).alias("rows_in"),
-        F.count_if(F.col("_present").isNotNull()).alias("rows_already_present"),
-    )
-    existing = destination_ids(destination).agg(F.count(F.lit(1)).alias("destination_before"))
-    row = incoming.unionByName(existing, allowMissingColumns=True).agg(
-        F.max("rows_in").alias("rows_in"),
-        F.max("rows_already_present").alias("rows_already_present"),
-        F.max("destination_before").alias("destination_before"),
+    incoming = batch.select(F.col(ID).alias("_in"))
+    present = destination_ids(destination).select(F.col(ID).alias("_dest"))
+    row = incoming.join(present, F.col("_in") == F.col("_dest"), "full_outer").agg(
+        F.count("_in").alias("rows_in"),
+        F.count_if(F.col("_in").isNotNull() & F.col("_dest").isNotNull()).alias("rows_already_present"),
+        F.count("_dest").alias("destination_before"),
     )
     return row.select(
         F.lit(source).alias("source_file"),
