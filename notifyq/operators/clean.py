@@ -95,13 +95,15 @@ def tag_clean(norm: DataFrame) -> DataFrame:
     return j.withColumn("clean_reason", reason).drop("_first_ord")
 
 
-def first_per_id(norm: DataFrame) -> DataFrame:
+def first_per_id(norm: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """D1 as a table: the surviving (first) row of every non-null id.
 
-    ``min_by`` keeps, per id, the whole row with the smallest ``row_ord``; the partial
-    aggregate keeps one candidate per id per split, so hot ids stay cheap.
+    ``min_by`` keeps, per id, the row with the smallest ``row_ord`` (only ``columns``, by
+    default all); the partial aggregate keeps one candidate per id per split, so hot ids
+    stay cheap and only the requested columns travel through the shuffle.
     """
-    row = F.struct(*[c for c in norm.columns if c != ID])
+    keep = columns if columns is not None else [c for c in norm.columns if c != ID]
+    row = F.struct(*[c for c in keep if c != ID])
     return (
         norm.where(F.col(ID).isNotNull())
         .groupBy(ID)

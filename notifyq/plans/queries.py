@@ -95,9 +95,8 @@ def q_clean_rejects(spark, sf_dir):
 
 def q_first_per_id(spark, sf_dir):
     """The surviving first copy of every id."""
-    return clean.first_per_id(make_run(spark, sf_dir).normalised).select(
-        "notification_id", S.ROW_ORD, "event_id", "created_at", S.BATCH_ID
-    )
+    cols = [S.ROW_ORD, "event_id", "created_at", S.BATCH_ID]
+    return clean.first_per_id(make_run(spark, sf_dir).normalised, cols).select("notification_id", *cols)
 
 
 # ---- validate ----------------------------------------------------------------------------
