@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from notifyq import schema as S
 from notifyq.functions.protect import FernetKey
-from notifyq.plans.pipeline import run_batch
+from notifyq.plans.runner import run_batch
 from notifyq.session import checkpoint_dir
 
 

@@ -27,7 +27,7 @@ def test_train_evaluate_save_reload(spark, workdir):
 
 def test_model_outputs_written_and_read_back(spark, workdir):
     from notifyq.operators.profile import correlation_matrix
-    from notifyq.plans.pipeline import write_model_outputs
+    from notifyq.plans.runner import write_model_outputs
     from notifyq.sources.files import read_json_documents
 
     feats = model_features(make_run(spark, SF0001).tagged)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF0001
 from notifyq import schema as S
 from notifyq.functions.protect import generate_key
-from notifyq.plans.pipeline import Tables, latest_kpis, reset_tables, run_batch
+from notifyq.plans.runner import Tables, latest_kpis, reset_tables, run_batch
 from notifyq.sources.files import latest_batch_id, read_raw_csv
 from notifyq.sources.fixtures import raw_notifications
 from notifyq.sources.manifest import file_manifest

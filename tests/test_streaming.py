@@ -2,9 +2,9 @@ import os
 
 from conftest import SF0001
 from notifyq.functions.protect import generate_key
-from notifyq.plans.pipeline import Tables
+from notifyq.plans.runner import Tables
 from notifyq.streaming.incremental import start_incremental_runs
-from test_pipeline import _write_landing
+from test_runner import _write_landing
 
 
 def test_incremental_runs_each_file_once(spark, workdir):
