@@ -94,3 +94,18 @@ def test_retried_run_replaces_its_own_run_rows(spark, workdir):
     assert spark.read.parquet(t.load_audit).count() == 1
     assert spark.read.parquet(t.kpis).count() == 5
     assert spark.read.parquet(t.destination).count() == 664
+
+
+def test_command_line_run_and_kpis(spark, workdir, capsys):
+    from notifyq.__main__ import main
+
+    landing = _write_landing(spark, workdir)
+    key_file = os.path.join(workdir, "key")
+    with open(key_file, "w") as f:
+        f.write(generate_key())
+    root = os.path.join(workdir, "cli")
+    assert main(["run", "--landing", landing, "--root", root, "--key-file", key_file, "--run-id", "c1"]) == 0
+    out = capsys.readouterr().out
+    assert "rows_inserted: 664" in out and "kpis_met: 2/5" in out
+    assert main(["kpis", "--root", root]) == 0
+    assert "p95_latency_ms" in capsys.readouterr().out
