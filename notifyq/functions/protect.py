@@ -126,7 +126,7 @@ def encrypt_columns(
     ts = int(time.time()) if issued_at is None else int(issued_at)
     nonce = os.urandom(16) if run_nonce is None else run_nonce
     header = bytearray(struct.pack(">BQ", FERNET_VERSION, ts))
-    staged = df
+    bodies = {}
     for c in columns:
         text = F.encode(F.col(c).cast("string"), "UTF-8")
         parts = [F.lit(bytearray(nonce))]
@@ -136,23 +136,23 @@ def encrypt_columns(
         parts.append(text)
         iv = F.substring(k.iv_hmac(F.concat(*parts)), 1, 16)
         iv_ct = F.aes_encrypt(text, F.lit(bytearray(k.encryption)), F.lit("CBC"), F.lit("PKCS"), iv)
-        staged = staged.withColumn(f"_body_{c}", F.when(F.col(c).isNotNull(), F.concat(F.lit(header), iv_ct)))
+        bodies[f"_body_{c}"] = F.when(F.col(c).isNotNull(), F.concat(F.lit(header), iv_ct))
+    tokens = {}
     for c in columns:
         body = F.col(f"_body_{c}")
         token = F.concat(body, k.hmac(body))
-        staged = staged.withColumn(
-            f"{c}{suffix}", F.translate(F.regexp_replace(F.base64(token), r"[\r\n]", ""), "+/", "-_")
-        )
-    return staged.drop(*[f"_body_{c}" for c in columns])
+        tokens[f"{c}{suffix}"] = F.translate(F.regexp_replace(F.base64(token), r"[\r\n]", ""), "+/", "-_")
+    return df.withColumns(bodies).withColumns(tokens).drop(*bodies)
 
 
 def decrypt_columns(df: DataFrame, mapping: dict[str, str], key: str | FernetKey) -> DataFrame:
     """Add plain-text columns ``{out: token_column}``; the decoded bytes are staged as a
     column so they are decoded once per value."""
     k = key if isinstance(key, FernetKey) else FernetKey(key)
-    staged = df
-    for out, src in mapping.items():
-        staged = staged.withColumn(f"_raw_{out}", F.unbase64(F.translate(F.col(src), "-_", "+/")))
+    staged = df.withColumns(
+        {f"_raw_{out}": F.unbase64(F.translate(F.col(src), "-_", "+/")) for out, src in mapping.items()}
+    )
+    plain_cols = {}
     for out in mapping:
         raw = F.col(f"_raw_{out}")
         n = F.octet_length(raw)
@@ -161,5 +161,5 @@ def decrypt_columns(df: DataFrame, mapping: dict[str, str], key: str | FernetKey
         iv_ct = F.substring(raw, 10, n - 9 - 32)
         plain = F.try_aes_decrypt(iv_ct, F.lit(bytearray(k.encryption)), F.lit("CBC"), F.lit("PKCS"))
         ok = (F.substring(raw, 1, 1) == F.lit(bytearray([FERNET_VERSION]))) & (mac == k.hmac(body))
-        staged = staged.withColumn(out, F.when(ok, F.decode(plain, "UTF-8")))
-    return staged.drop(*[f"_raw_{out}" for out in mapping])
+        plain_cols[out] = F.when(ok, F.decode(plain, "UTF-8"))
+    return staged.withColumns(plain_cols).drop(*[f"_raw_{out}" for out in mapping])

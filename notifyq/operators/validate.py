@@ -25,16 +25,20 @@ def tag_validation(clean_tagged: DataFrame, rules: Sequence[Rule] | None = None)
     # Two projections on purpose: ``nullif(x, '')`` expands to ``if(x = '', null, x)``;
     # with ``x`` a column, Catalyst keeps the 21-rule text built once per row.
     out = clean_tagged.withColumn("_reasons", F.when(passed_clean, reason_text(rules)))
-    out = out.withColumn("validation_reason", F.nullif(F.col("_reasons"), F.lit(""))).drop("_reasons")
-    reject = F.coalesce(F.col("clean_reason"), F.col("validation_reason"))
+    v_reason = F.nullif(F.col("_reasons"), F.lit(""))
+    reject = F.coalesce(F.col("clean_reason"), v_reason)
     stage = F.when(F.col("clean_reason").isNotNull(), F.lit(S.STAGE_CLEAN)).when(
-        F.col("validation_reason").isNotNull(), F.lit(S.STAGE_VALIDATE)
-    )
-    return (
-        out.withColumn("reject_reason", reject)
-        .withColumn("stage", stage)
-        .withColumn("label", F.col("reject_reason").isNotNull().cast("int"))
+        v_reason.isNotNull(), F.lit(S.STAGE_VALIDATE)
     )
+    # One projection for the derived columns (each withColumn would re-analyse the plan).
+    return out.withColumns(
+        {
+            "validation_reason": v_reason,
+            "reject_reason": reject,
+            "stage": stage,
+            "label": reject.isNotNull().cast("int"),
+        }
+    ).drop("_reasons")
 
 
 def typed_valid(tagged: DataFrame) -> DataFrame:
