@@ -3,6 +3,9 @@
     python -m notifyq run   --landing DIR_OR_GLOB --root TABLES --key-file KEY [--as-of TS]
     python -m notifyq watch --landing DIR --root TABLES --key-file KEY   # each new file once
     python -m notifyq kpis  --root TABLES                                # latest KPI report
+    python -m notifyq stage clean-validate --landing L --root T --run-id R  # one stage on
+    python -m notifyq stage load --root T --run-id R --key-file KEY         #   stored inputs
+    python -m notifyq stage kpis --root T --run-id R
     python -m notifyq new-key                                            # print a Fernet key
 
 ``--master`` is only for local use; under spark-submit the cluster's settings apply.
@@ -33,6 +36,14 @@ def main(argv: list[str] | None = None) -> int:
     p = sub.add_parser("kpis")
     p.add_argument("--root", required=True)
     p.add_argument("--master", default=None)
+    p = sub.add_parser("stage")
+    p.add_argument("name", choices=["clean-validate", "load", "kpis"])
+    p.add_argument("--root", required=True)
+    p.add_argument("--run-id", required=True)
+    p.add_argument("--landing", default=None)
+    p.add_argument("--key-file", default=None)
+    p.add_argument("--as-of", default=None)
+    p.add_argument("--master", default=None)
     sub.add_parser("new-key")
     args = ap.parse_args(argv)
 
@@ -53,6 +64,20 @@ def main(argv: list[str] | None = None) -> int:
         return 0
 
     as_of = args.as_of or S.DEFAULT_AS_OF
+    if args.cmd == "stage":
+        from notifyq.plans import runner
+
+        if args.name == "clean-validate":
+            from notifyq.sources.files import read_raw_csv
+
+            _, st = runner.stage_clean_validate(spark, read_raw_csv(spark, args.landing), args.root, args.run_id, as_of=as_of)
+            print({k: v for k, v in st.items() if k != "batches"})
+        elif args.name == "load":
+            print(runner.stage_load(spark, args.root, args.run_id, _key(args)).asDict())
+        else:
+            for r in runner.stage_kpis(spark, args.root, args.run_id):
+                print(r.asDict())
+        return 0
     if args.cmd == "run":
         from notifyq.plans.runner import run_batch
         from notifyq.sources.files import read_raw_csv

@@ -138,33 +138,47 @@ def _now_literal(ts: dt.datetime):
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
 
 
-def run_batch(
+def _utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+
+
+def read_tagged(spark: SparkSession, root: str, run_id: str, schema: T.StructType | None = None) -> DataFrame:
+    """The stored clean + validate output of a run (the input of the later stages)."""
+    path = Tables(root).tagged(run_id)
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(path)
+
+
+def stage_stats(tagged: DataFrame) -> dict:
+    """Stage counts of a tagged table: one aggregate over a few narrow columns."""
+    return tagged.agg(*[f().alias(n) for n, f in TAG_METRICS]).first().asDict()
+
+
+def stage_clean_validate(
     spark: SparkSession,
     raw: DataFrame,
     root: str,
-    key: str | FernetKey,
-    run_id: str | None = None,
+    run_id: str,
     as_of: str = S.DEFAULT_AS_OF,
-    source: str = "",
-) -> Row:
-    """Run every stage over ``raw`` and write the tables under ``root``; returns the run
-    summary row (A12). ``run_id`` names the run (P24: passed in, not read per stage)."""
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
-    run_id = run_id or now.strftime("%Y%m%d_%H%M%S")
-    k = key if isinstance(key, FernetKey) else FernetKey(key)
+    rules=None,
+) -> tuple[DataFrame, dict]:
+    """Clean + validate stage (K3-K6, K9, A1, A2): tag every row, write the tagged table
+    once (partitioned by outcome), the rejects and the two stage reports. Returns the
+    stored tagged table and its stage counts."""
+    now = _utc_now()
     t = Tables(root)
-    run = Run(raw, as_of=as_of, key=k, issued_at=int(time.time()))
-
-    # Clean + validate, written once (K3, K5, K6); the stage counts are one aggregate
-    # over the written table, which reads only the few columns they need.
-    # (DataFrame.observe would save that scan, but an observed session can no longer
-    # serialize pyspark.ml models that keep a training summary.)
+    run = Run(raw, as_of=as_of, rules=list(rules or []))
+    # The tagged rows are written once; the stage counts are one aggregate over the
+    # written table, which reads only the few columns they need. (DataFrame.observe
+    # would save that scan, but an observed session can no longer serialize pyspark.ml
+    # models that keep a training summary.)
     run.tagged.withColumn("outcome", F.coalesce(F.col("stage"), F.lit("valid"))).write.mode(
         "overwrite"
     ).partitionBy("outcome").parquet(t.tagged(run_id))
     written = T.StructType(run.tagged.schema.fields + [T.StructField("outcome", T.StringType())])
-    tagged = spark.read.schema(written).parquet(t.tagged(run_id))
-    st = tagged.agg(*[f().alias(n) for n, f in TAG_METRICS]).first().asDict()
+    tagged = read_tagged(spark, root, run_id, written)
+    st = stage_stats(tagged)
 
     # Rejects with reason and payload (K4, K6, K9), idempotent per row.
     rej = load.reject_audit(validate.rejects(tagged)).withColumn("run_id", F.lit(run_id)).withColumn(
@@ -187,12 +201,40 @@ def run_batch(
         t.rejected
     )
 
-    # Load (J1, J2, K8, K10): the audit is one aggregate over the same destination
-    # snapshot the insert reads (single writer per root).
+    # Stage reports (A1, A2 -> K7).
+    reached = st["rows_in"] - st["clean_removed"]
+    spark.createDataFrame(
+        [(run_id, now, st["rows_in"], reached, st["duplicates"], st["bad_timestamps"], st["bad_seen"], st["bad_latency"])],
+        "run_id string, computed_at timestamp_ntz, rows_in bigint, rows_out bigint, duplicates bigint, "
+        "bad_timestamps bigint, bad_seen bigint, bad_latency bigint",
+    ).transform(lambda d: _write_run_row(d, t.clean_metrics))
+    valid_pct = round(100.0 * (reached - st["validation_rejected"]) / reached, 2) if reached else 0.0
+    spark.createDataFrame(
+        [(run_id, now, reached, reached - st["validation_rejected"], st["validation_rejected"], valid_pct)],
+        "run_id string, computed_at timestamp_ntz, total bigint, valid bigint, rejected bigint, valid_pct double",
+    ).transform(lambda d: _write_run_row(d, t.validation_report))
+    return tagged, st
+
+
+def stage_load(
+    spark: SparkSession,
+    root: str,
+    run_id: str,
+    key: str | FernetKey,
+    tagged: DataFrame | None = None,
+    source: str = "",
+) -> Row:
+    """Load stage (J1, J2, K8, K10, P12, P14): protect ids and insert the run's valid
+    rows that the destination does not hold yet; returns the audit row. The audit is one
+    aggregate over the same destination snapshot the insert reads (single writer)."""
+    now = _utc_now()
+    t = Tables(root)
+    k = key if isinstance(key, FernetKey) else FernetKey(key)
+    tagged = tagged if tagged is not None else read_tagged(spark, root, run_id)
     valid = validate.typed_valid(tagged)
     if isinstance(valid.schema[S.ROW_ORD].dataType, T.StructType):
         valid = valid.withColumn(S.ROW_ORD, F.xxhash64(S.ROW_ORD))
-    protected = load.protect_ids(valid, k, run.issued_at)
+    protected = load.protect_ids(valid, k, int(time.time()))
     dest = read_or_empty(spark, t.destination, DEST_SCHEMA)
     audit = load.load_audit(protected, dest, source=source or run_id).withColumn(
         "run_id", F.lit(run_id)
@@ -202,23 +244,17 @@ def run_batch(
     load.new_rows(protected, dest).withColumn("loaded_at", _now_literal(now)).select(
         *[f.name for f in DEST_SCHEMA.fields]
     ).hint("rebalance", S.BATCH_ID).write.mode("append").partitionBy(S.BATCH_ID).parquet(t.destination)
-    inserted = audit_row["rows_inserted"]
-    before = audit_row["destination_total"] - inserted
+    return audit_row
 
-    # Stage metrics (A1, A2 -> K7) from the stage counts.
-    reached = st["rows_in"] - st["clean_removed"]
-    spark.createDataFrame(
-        [(run_id, now, st["rows_in"], reached, st["duplicates"], st["bad_timestamps"], st["bad_seen"], st["bad_latency"])],
-        "run_id string, computed_at timestamp_ntz, rows_in bigint, rows_out bigint, duplicates bigint, "
-        "bad_timestamps bigint, bad_seen bigint, bad_latency bigint",
-    ).transform(lambda d: _write_run_row(d, t.clean_metrics))
-    valid_pct = round(100.0 * (reached - st["validation_rejected"]) / reached, 2) if reached else 0.0
-    spark.createDataFrame(
-        [(run_id, now, reached, reached - st["validation_rejected"], st["validation_rejected"], valid_pct)],
-        "run_id string, computed_at timestamp_ntz, total bigint, valid bigint, rejected bigint, valid_pct double",
-    ).transform(lambda d: _write_run_row(d, t.validation_report))
 
-    # KPIs over the destination after the load (A3-A9 -> K7, versioned by run).
+def stage_kpis(
+    spark: SparkSession, root: str, run_id: str, stats: dict | None = None
+) -> list[Row]:
+    """KPI stage (A3-A9 -> K7): the five KPIs over the destination after the load, with
+    the run's reject counts; versioned by run. Returns the report rows."""
+    now = _utc_now()
+    t = Tables(root)
+    st = stats if stats is not None else stage_stats(read_tagged(spark, root, run_id))
     counts = spark.createDataFrame(
         [(st["rows_in"], st["clean_removed"], st["validation_rejected"])],
         "rows_initial bigint, clean_removed bigint, validation_rejected bigint",
@@ -229,8 +265,28 @@ def run_batch(
     spark.createDataFrame(rows, report.schema).select(
         F.lit(run_id).alias("run_id"), _now_literal(now).alias("computed_at"), "*"
     ).transform(lambda d: _write_run_row(d, t.kpis))
-    met = sum(1 for r in rows if r["met"])
+    return rows
 
+
+def run_batch(
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    key: str | FernetKey,
+    run_id: str | None = None,
+    as_of: str = S.DEFAULT_AS_OF,
+    source: str = "",
+) -> Row:
+    """Run every stage over ``raw`` and write the tables under ``root``; returns the run
+    summary row (A12). ``run_id`` names the run (P24: passed in, not read per stage).
+    The stages can also be run one at a time on stored inputs: ``stage_clean_validate``,
+    then ``stage_load`` and ``stage_kpis`` with the same ``run_id``."""
+    run_id = run_id or _utc_now().strftime("%Y%m%d_%H%M%S")
+    tagged, st = stage_clean_validate(spark, raw, root, run_id, as_of=as_of)
+    audit_row = stage_load(spark, root, run_id, key, tagged=tagged, source=source)
+    rows = stage_kpis(spark, root, run_id, stats=st)
+    inserted = audit_row["rows_inserted"]
+    met = sum(1 for r in rows if r["met"])
     return Row(
         run_id=run_id,
         rows_in=st["rows_in"],
@@ -239,7 +295,7 @@ def run_batch(
         valid=st["valid"],
         rows_inserted=inserted,
         rows_already_present=st["valid"] - inserted,
-        destination_total=before + inserted,
+        destination_total=audit_row["destination_total"],
         kpis_met=f"{met}/{len(rows)}",
     )
 
