@@ -6,7 +6,7 @@ the destination ids (only that column is read from the destination). The destina
 is the large side; when it is bucketed by id the join reads it without a shuffle, and
 AQE turns the join into a broadcast when the incoming side is small at run time.
 Insert and "already present" counts come from the same join, not from a second query
-(the reference counted before inserting, on another connection).
+(the original process counted before inserting, on another connection).
 """
 
 from __future__ import annotations

@@ -191,7 +191,7 @@ def q_errors_by_stage(spark, sf_dir):
 
 
 def q_kpi_latest(spark, sf_dir):
-    """K7 with the reference's scope (Q10): the newest batch's run -- reject rate from that
+    """K7 with the original process's scope (Q10): the newest batch's run -- reject rate from that
     batch's rows, the other KPIs from the whole (cumulative) destination."""
     run = make_run(spark, sf_dir)
     latest_tagged = run.tagged.where(F.col(S.BATCH_ID) == run.latest_batch.scalar())

@@ -13,7 +13,7 @@ The tagged rows are written once per run, partitioned by outcome: this cuts the
 (a lost executor recomputes from that table, not from the raw scan and dedup join) and
 both sinks read their partition instead of recomputing the tagging twice. Re-running the
 same input changes nothing: destination rows are anti-joined on ``notification_id``,
-reject rows on ``(batch_id, stage, row_ord)`` (the reference appended them again, Q9),
+reject rows on ``(batch_id, stage, row_ord)`` (the original process appended them again, Q9),
 and a retried run replaces its own audit, metric and KPI rows (dynamic partition
 overwrite of its ``run_id``).
 Parquet appends are not transactional, so one writer per root is assumed.

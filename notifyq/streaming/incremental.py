@@ -4,7 +4,7 @@ The batch process picks "the newest raw file by name" (S2) and runs every stage
 Here the file source does that bookkeeping: each new CSV file in the landing folder is
 picked up once (its name is recorded in the stream's checkpoint), and ``foreachBatch``
 runs the batch pipeline on it. ``maxFilesPerTrigger=1`` keeps one file per run, like the
-reference; raise it to catch up a backlog in fewer runs. The sinks are idempotent
+original process; raise it to catch up a backlog in fewer runs. The sinks are idempotent
 (anti-joins on ids and reject keys), so a micro-batch replayed after a failure writes
 nothing twice. The checkpoint location must be on shared storage; by default it is a
 folder under the session's ``spark.checkpoint.dir``.
