@@ -76,3 +76,18 @@ def test_skewed_id_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_spreading_only_touches_single_split_inputs(spark, workdir):
+    from notifyq.session import spread_small_input
+
+    cores = spark.sparkContext.defaultParallelism
+    many = os.path.join(workdir, "many")
+    spark.range(0, 10000, 1, cores * 2).write.parquet(many)
+    wide = spark.read.parquet(many)
+    assert wide.rdd.getNumPartitions() >= cores
+    assert spread_small_input(wide) is wide  # large inputs: no extra shuffle
+    one = os.path.join(workdir, "one")
+    spark.range(0, 10000, 1, 1).write.parquet(one)
+    small = spark.read.parquet(one)
+    assert spread_small_input(small).rdd.getNumPartitions() == cores
