@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry  # noqa: E402
 from oracle_check import TABLES, _digest  # noqa: E402
 
-SKIP_SLOW = {"correlation_matrix", "label_correlation_rank"}
+SKIP_SLOW: set[str] = set()
 
 
 @pytest.fixture(scope="module")
