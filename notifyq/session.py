@@ -87,6 +87,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+# Upper bound on the partitions a small (few-split) input is spread over.
+MAX_SPREAD_PARTITIONS = 256
+
+
 def spread_small_input(df: DataFrame) -> DataFrame:
     """Spread a scan that yields fewer splits than the cluster has cores.
 
@@ -99,5 +103,7 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        # A single split is small by construction (one row group); on a very large
+        # cluster do not deal it into thousands of near-empty tasks.
+        return df.repartition(min(cores, MAX_SPREAD_PARTITIONS))
     return df
