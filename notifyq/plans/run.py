@@ -32,6 +32,8 @@ class Run:
     rules: list[Rule] = field(default_factory=list)
     key: FernetKey | None = None
     issued_at: int = 0
+    # A7 opt-in: approx_percentile for P95 (bounded sketch) instead of the exact value.
+    approximate_p95: bool = False
 
     def __post_init__(self):
         if not self.rules:
@@ -103,7 +105,7 @@ class Run:
 
     @cached_property
     def kpi_values(self) -> DataFrame:
-        return kpis.kpi_values(self.destination, self.counts)
+        return kpis.kpi_values(self.destination, self.counts, approximate_p95=self.approximate_p95)
 
     @cached_property
     def kpi_report(self) -> DataFrame:

@@ -43,3 +43,13 @@ def test_golden_counts(spark, sf):
 def test_valid_plus_rejected_is_input(spark):
     run = make_run(spark, SF0001)
     assert run.valid.count() + run.rejected.count() == run.raw.count()
+
+
+def test_approximate_p95_is_opt_in_and_close(spark):
+    from dataclasses import replace
+
+    run = make_run(spark, SF0001)
+    exact = run.kpi_values.first().p95_latency_ms
+    approx = replace(run, approximate_p95=True).kpi_values.first().p95_latency_ms
+    assert exact == 42499.05 or round(exact, 2) == 42499.05
+    assert abs(approx - exact) / exact < 0.01
