@@ -6,12 +6,15 @@ imported.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from notifyq.llm import bpe_codec, token_counts, url_filters
+from notifyq.llm import bpe_codec, html_text, line_dedup, quality, token_counts, training_order, url_filters
 from notifyq.llm.common import table
+from notifyq.session import checkpoint_dir
 
 
 def vocabulary() -> str:
@@ -25,10 +28,31 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_count_report(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    text = html_text.extract_main_text(pages)
+    return text.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.codec_report(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each sequence of 512 ids went; the blocks are written to the shared folder."""
+    folder = f"{checkpoint_dir(spark)}/training-order-{uuid.uuid4().hex}"
+    docs = table(spark, sf_dir, "documents")
+    return training_order.write_training_order(docs, vocabulary(), folder, key="epoch-0")
+
+
 #: (action, host, path) of the query's contract.
 URL_RULES = [
     ("allow", "org", "/"),
@@ -45,10 +69,28 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op6_bpe_codec, op10_url_filters)
+    f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_quality_classifier, op4_html_text, op6_bpe_codec, op7_training_order, op10_url_filters)
 }
 
 ORACLE: dict[str, str] = {
+    "op2_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM lines),
+shared AS (
+  SELECT k, min(doc_id) AS keeper FROM keyed WHERE length(k) >= 10
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 2),
+judged AS (
+  SELECT doc_id, pos, line, keeper IS NOT NULL AND keeper <> doc_id AS gone
+  FROM keyed LEFT JOIN shared USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id""",
     "op10_url_filters": r"""
 WITH parsed AS (
   SELECT page_id,
