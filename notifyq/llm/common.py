@@ -45,3 +45,33 @@ def slices(batches: Iterable[pa.RecordBatch], payload: str) -> Iterator[pa.Recor
         step = max(1, int(batch.num_rows * SLICE_BYTES / max(1, batch.column(payload).nbytes)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest node that each end of an edge can reach.
+
+    ``edges`` has columns a and b. Alternates large and small stars until the edges are stars
+    themselves; each round is two joins over the edges and is kept in the shared folder.
+    """
+
+    def stars(pairs: DataFrame) -> DataFrame:
+        """Each node with the smallest of itself and its neighbours; kept, so that the join
+        with it can be split where one node has very many edges."""
+        return stored(pairs.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+
+    def state(pairs: DataFrame) -> tuple:
+        return pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+
+    now = stored(
+        edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    )
+    before, current = None, state(now)
+    while current != before:
+        both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        large = stored(both.join(stars(both), "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        joined = large.join(stars(large), "a")
+        small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(joined.select("a", F.col("m").alias("b")))
+        now = stored(small.filter("a <> b").distinct())
+        before, current = current, state(now)
+    ends = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    return ends.unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notifyq.llm import bpe_codec, html_text, line_dedup, quality, token_counts, training_order, url_filters
+from notifyq.llm import bpe_codec, html_text, jaccard_join, line_dedup, quality, token_counts, training_order, url_filters
 from notifyq.llm.common import table
 from notifyq.session import checkpoint_dir
 
@@ -42,6 +42,10 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), jaccard_join.Rule(words=4, percent=85))
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.codec_report(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -69,7 +73,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_quality_classifier, op4_html_text, op6_bpe_codec, op7_training_order, op10_url_filters)
+    f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_quality_classifier, op4_html_text, op5_jaccard_join, op6_bpe_codec, op7_training_order, op10_url_filters)
 }
 
 ORACLE: dict[str, str] = {
