@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notifyq.llm import bpe_codec, embedding_dedup, html_text, jaccard_join, line_dedup, quality, token_counts, training_order, url_filters
+from notifyq.llm import bpe_codec, decontaminate, embedding_dedup, html_text, jaccard_join, line_dedup, quality, token_counts, training_order, url_filters
 from notifyq.llm.common import table
 from notifyq.session import checkpoint_dir
 
@@ -57,6 +57,10 @@ def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.write_training_order(docs, vocabulary(), folder, key="epoch-0")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     return embedding_dedup.near_duplicates(rows)
@@ -78,7 +82,11 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_line_dedup, op3_quality_classifier, op4_html_text, op5_jaccard_join, op6_bpe_codec, op7_training_order, op9_embedding_dedup, op10_url_filters)
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_line_dedup, op3_quality_classifier, op4_html_text, op5_jaccard_join, op6_bpe_codec,
+        op7_training_order, op8_decontamination, op9_embedding_dedup, op10_url_filters,
+    )
 }
 
 ORACLE: dict[str, str] = {
