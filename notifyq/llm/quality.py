@@ -12,6 +12,8 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,8 @@ class Settings:
     buckets: int = 1 << 17
     dim: int = 16
     n_grams: tuple[int, ...] = (2, 3, 4)
-    epochs: int = 4
-    rate: float = 1.0
+    epochs: int = 3
+    rate: float = 8.0
     batch: int = 32
     seed: int = 7
     #: The sample: labelled documents of the smallest hashes, and bytes one may have.
@@ -38,10 +40,18 @@ class Settings:
     sample_bytes: int = 32_768
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """ASCII-lower-cased words between ASCII white space; an ordinary mark for a text
-    without words, so that it has a score too."""
-    return (text or "").encode().lower().split() or [b""]
+#: Stands for a pair of adjacent equal words: the word bigrams w w of all w share it.
+TWICE = b"\x01twice"
+
+
+def words_of(text: str | None) -> Counter[bytes]:
+    """Counts of the ASCII-lower-cased words between ASCII white space and of adjacent equal
+    ones; an empty word for a text without any, so that it has a score too."""
+    words = (text or "").encode().lower().split() or [b""]
+    out = Counter(words)
+    if twice := sum(map(eq, words, islice(words, 1, None))):
+        out[TWICE] = twice
+    return out
 
 
 def word_features(word: bytes, s: Settings) -> list[int]:
@@ -79,7 +89,7 @@ def train(texts: list[str | None], labels: list[int], s: Settings | None = None)
     docs = []
     for t in texts:
         features: Counter[int] = Counter()
-        for w, n in Counter(words_of(t)).items():
+        for w, n in words_of(t).items():
             if w not in memo:
                 memo[w] = word_features(w, s)
             for f in memo[w]:
@@ -91,18 +101,17 @@ def train(texts: list[str | None], labels: list[int], s: Settings | None = None)
     for _ in range(s.epochs):
         order = rng.permutation(len(docs))
         for at in range(0, len(docs), s.batch):
-            part = [docs[i] for i in order[at : at + s.batch]]
-            ids, weight = np.concatenate([p[0] for p in part]), np.concatenate([p[1] for p in part])
-            starts = np.cumsum([0, *(len(p[0]) for p in part[:-1])])
-            average = np.add.reduceat(m.vectors[ids] * weight[:, None], starts)
+            some = order[at : at + s.batch]
+            average = np.stack([docs[i][1] @ m.vectors[docs[i][0]] for i in some])
             error = m.probabilities(average)
-            error[np.arange(len(part)), [labels[i] for i in order[at : at + s.batch]]] -= 1
+            error[np.arange(len(some)), [labels[i] for i in some]] -= 1
             rate = s.rate * (1 - done / steps)
-            back = error @ m.layer.T
-            m.layer -= rate * (average.T @ error) / len(part) * 8
-            m.bias -= rate * error.mean(axis=0)
-            owner = np.repeat(np.arange(len(part)), [len(p[0]) for p in part])
-            np.subtract.at(m.vectors, ids, rate * back[owner] * weight[:, None] * 8)
+            back = rate * (error @ m.layer.T)
+            m.layer -= rate * (average.T @ error) / len(some)
+            m.bias -= rate * error.mean(axis=0) / 8
+            for i, g in zip(some, back, strict=True):
+                ids, weight = docs[i]  # a document's features are distinct
+                m.vectors[ids] -= np.outer(weight, g)
             done += 1
     return m
 
@@ -136,7 +145,7 @@ class Scorer:
         """Probability of class 1 of each text."""
         if len(self.rows) > self.WORDS:
             self._clear()
-        counts = [Counter(words_of(t)) for t in texts]
+        counts = [words_of(t) for t in texts]
         if new := list({w for c in counts for w in c if w not in self.rows}):
             self._learn(new)
         totals = np.stack(
