@@ -32,6 +32,8 @@ class Settings:
     dim: int = 16
     n_grams: tuple[int, ...] = (2, 3, 4)
     epochs: int = 3
+    #: Steps at least: few labelled documents are gone through more often.
+    least_steps: int = 500
     rate: float = 8.0
     batch: int = 32
     seed: int = 7
@@ -97,8 +99,10 @@ def train(texts: list[str | None], labels: list[int], s: Settings | None = None)
         ids = np.fromiter(features.keys(), np.int64, len(features))
         weight = np.fromiter(features.values(), np.float32, len(features))
         docs.append((ids, weight / weight.sum()))
-    steps, done = s.epochs * -(-len(docs) // s.batch), 0
-    for _ in range(s.epochs):
+    per_epoch, done = -(-len(docs) // s.batch), 0
+    epochs = max(s.epochs, -(-s.least_steps // per_epoch)) if docs else 0
+    steps = epochs * per_epoch
+    for _ in range(epochs):
         order = rng.permutation(len(docs))
         for at in range(0, len(docs), s.batch):
             some = order[at : at + s.batch]
