@@ -8,8 +8,9 @@ overlap with any member, and only groups that pass are opened and compared membe
 member.
 
 The order puts rare tokens first, by hash among themselves, and frequent tokens last. Sets
-x and y with similarity of t or more share a token among the first n - ceil(t n) + 1 of
-each, whatever the order, so the result does not depend on what counts as frequent.
+x and y with similarity of t or more share k tokens among the first n - ceil(t n) + k of
+each, whatever the order, so the result does not depend on what counts as frequent. A
+query's groups must hold that many of its first tokens.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,8 @@ BLOCK, QUERIES = 64, 4096
 #: A token counts as frequent from this many holders on; the number doubles until at most
 #: FREQUENT_MAX tokens are (8 bytes each are sent to the executors).
 FREQUENT, FREQUENT_MAX = 16, 1 << 22
+#: A set's first tokens are so many that linked sets share one for each so many of theirs.
+SHARED_EVERY = 40
 #: Tokens of one counting bucket.
 BUCKET_TOKENS = 2_000_000
 MIN_BUCKETS = 1024
@@ -46,9 +50,13 @@ class Rule:
     words: int = 4
     percent: int = 85
 
+    def shared(self, n: int) -> int:
+        """Tokens that two linked sets of n or more share among their first ones."""
+        return 1 + n // SHARED_EVERY
+
     def prefix(self, n: int) -> int:
-        """Tokens of a set of n among which a link must start."""
-        return n + (-self.percent * n) // 100 + 1
+        """Tokens of a set of n among which shared(n) common ones must be."""
+        return min(n, n + (-self.percent * n) // 100 + self.shared(n))
 
     def needs(self, n: int) -> int:
         """Tokens of a set of n that any linked set must hold."""
@@ -64,24 +72,42 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _WordHashes(dict):
+    """Word -> 64-bit hash; emptied when full."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_HASHES = _WordHashes()
+
+
 def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each text: A-Z lower-cased, words between
     ASCII white space; with fewer words than a shingle has, the sequence as one."""
     split = [(t or "").encode().lower().split() for t in texts]
-    flat = np.array([w for ws in split for w in ws], dtype=object)
-    codes = pd.util.hash_array(flat, categorize=True) if len(flat) else np.zeros(0, np.uint64)
-    out, at, odd = [], 0, np.uint64(0x9E3779B97F4A7C15)
-    for ws in split:
-        own = codes[at : at + len(ws)]
-        at += len(ws)
-        take = min(words, len(ws))
-        if not take:
-            out.append(np.zeros(0, np.uint64))
-            continue
-        h = np.full(len(ws) - take + 1, take, np.uint64)
+    n = [len(ws) for ws in split]
+    codes = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(split)), np.uint64, sum(n))
+
+    def hashed(lo: int, hi: int, take: int) -> np.ndarray:
+        """Hash of the ``take`` words from each place on: a polynomial, then mixed."""
+        h = np.full(max(0, hi - lo - take + 1), take, np.uint64)
         for k in range(take):
-            h = _mixed((h * odd) ^ own[k : len(ws) - take + 1 + k])
-        out.append(np.unique(h))
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h += codes[lo + k : lo + k + len(h)]
+        return _mixed(h)
+
+    whole, out, at = hashed(0, len(codes), words), [], 0
+    for count in n:
+        if count >= words:
+            s = np.sort(whole[at : at + count - words + 1])
+            out.append(s[np.append(True, s[1:] != s[:-1])])
+        else:
+            out.append(hashed(at, at + count, count)[: min(1, count)])
+        at += count
     return out
 
 
@@ -110,12 +136,15 @@ def _by_bucket(bucket: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int,
         yield int(bucket[lo]), [c[lo:hi].tobytes() for c in columns]
 
 
-def _distinct(pairs: np.ndarray) -> np.ndarray:
-    """Distinct columns of a 2 x n array."""
-    pairs = pairs[:, np.lexsort(pairs)]
+def _distinct(pairs: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct columns of a 2 x n array, and the sum of their times."""
+    times = np.ones(pairs.shape[1], np.int64) if times is None else times
+    order = np.lexsort(pairs)
+    pairs = pairs[:, order]
     new = np.ones(pairs.shape[1], bool)
     new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(0)
-    return pairs[:, new]
+    first = np.flatnonzero(new)
+    return pairs[:, first], np.add.reduceat(times[order], first) if len(first) else times[:0]
 
 
 def _frequent(docs: DataFrame, rule: Rule, buckets: int) -> np.ndarray:
@@ -158,8 +187,8 @@ def _ordered_prefix(tokens: np.ndarray, frequent: np.ndarray, rule: Rule) -> np.
 
 
 def _candidates(docs: DataFrame, frequent: np.ndarray, rule: Rule, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """(class, grp): the group of each class; and (class, grp): the other groups that hold
-    one of the tokens at which a link of the class can start, each pair of groups one way."""
+    """(class, grp): the group of each class; and (class, grp, n): the other groups that hold
+    some of the class's first tokens, and how many, each pair of groups one way."""
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,24 +218,26 @@ def _candidates(docs: DataFrame, frequent: np.ndarray, rule: Rule, buckets: int)
         t, g = t[first], g[first]
         lo, hi = np.searchsorted(t, tokens, "left"), np.searchsorted(t, tokens, "right")
         many = np.flatnonzero(hi - lo > 1)
-        pairs = np.zeros((2, 0), np.int64)
+        pairs, times = np.zeros((2, 0), np.int64), np.zeros(0, np.int64)
         steps = np.cumsum((hi - lo)[many]) // EXPANDED  # entries of the matrix at a time
         for chunk in np.split(many, np.flatnonzero(np.diff(steps)) + 1):
             n = (hi - lo)[chunk]
             at = np.repeat(lo[chunk] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             q, home_of, other = np.repeat(classes[chunk], n), np.repeat(groups[chunk], n), g[at]
             new = np.stack([q, other.view(np.int64)])[:, home_of < other]
-            pairs = _distinct(np.concatenate([pairs, new], axis=1))
+            times = np.concatenate([times, np.ones(new.shape[1], np.int64)])
+            pairs, times = _distinct(np.concatenate([pairs, new], axis=1), times)
         # A class is announced where its own group's token is.
-        home = _distinct(np.stack([classes, groups.view(np.int64)])[:, tokens == groups])
+        home, _ = _distinct(np.stack([classes, groups.view(np.int64)])[:, tokens == groups])
         return pa.table(
             {"class": np.concatenate([pairs[0], home[0]]), "grp": np.concatenate([pairs[1], home[1]]),
-             "home": np.repeat([False, True], [pairs.shape[1], home.shape[1]])}
+             "n": np.concatenate([times, np.zeros(home.shape[1], np.int64)])}
         )
 
     packed = docs.mapInArrow(post, "bucket long, tokens binary, classes binary, groups binary")
-    found = stored(packed.groupBy("bucket").applyInArrow(match, "class long, grp long, home boolean"))
-    return found.filter("home").select("class", "grp"), found.filter("NOT home").select("class", "grp").distinct()
+    found = stored(packed.groupBy("bucket").applyInArrow(match, "class long, grp long, n long"))
+    pairs = found.filter("n > 0").groupBy("class", "grp").agg(F.sum("n").alias("n"))
+    return found.filter("n = 0").select("class", "grp"), pairs
 
 
 def _links(rows: DataFrame, rule: Rule) -> DataFrame:
@@ -298,16 +329,25 @@ class _Block:
         return [(root, int(i)) for i in self.ids[at[first]]]
 
 
-def _places(grouped: DataFrame, pairs: DataFrame) -> DataFrame:
+def _places(grouped: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """(place, kind, set_key, root): where the members of groups and their queries meet.
 
     A group is cut into blocks of about BLOCK members and its queries are dealt over salted
     copies of them, QUERIES to each, so that no group is bound to one task. A class asks the
-    groups that it has a token in and, in its own group, the blocks after its own.
+    other groups that hold enough of its first tokens and have members of a fitting size, and
+    in its own group the blocks after its own.
     """
-    asked = pairs.groupBy("grp").agg(F.count("*").alias("asked"))
+    sizes = grouped.groupBy("grp").agg(F.count("*").alias("members"), F.min("n").alias("least"), F.max("n").alias("most"))
+    needs = f"(n * {rule.percent} + 99) div 100"
+    asking = stored(
+        pairs.withColumnRenamed("n", "held").join(grouped.select("class", "set_key", "root", "n"), "class")
+        .filter(f"held >= 1 + {needs} div {SHARED_EVERY}")
+        .join(sizes, "grp").filter(f"100 * n >= {rule.percent} * least AND 100 * most >= {rule.percent} * n")
+        .select("set_key", "root", "grp")
+    )
+    asked = asking.groupBy("grp").agg(F.count("*").alias("asked"))
     counts = stored(
-        grouped.groupBy("grp").agg(F.count("*").alias("members")).join(asked, "grp", "left")
+        sizes.join(asked, "grp", "left")
         .withColumn("asked", F.coalesce("asked", F.lit(0))).filter("members > 1 OR asked > 0")
         .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
         .withColumn("salts", F.ceil((F.col("members") + F.col("asked")) / QUERIES).cast("int"))
@@ -322,13 +362,46 @@ def _places(grouped: DataFrame, pairs: DataFrame) -> DataFrame:
         *keys, F.explode(F.expr("sequence(block + 1, blocks - 1)")).alias("block"), salt.alias("salt"), F.lit(1).alias("kind")
     )
     foreign = (
-        pairs.join(counts, "grp").join(grouped.select("class", "set_key", "root"), "class")
+        asking.join(counts, "grp")
         .select(*keys, F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), salt.alias("salt"), F.lit(1).alias("kind"))
     )
     rows = members.unionAll(later).unionAll(foreign)
     return rows.select(F.xxhash64("grp", "block", "salt").alias("place"), "kind", "set_key", "root")
 
 
+#: Bits of the filter for wanted documents: ten for each, and at most so many.
+FILTER_BITS = 1 << 27
+
+
+def _wanted_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
+    """(set_key, tokens): the sets of the classes' smallest documents, made again from their
+    texts. A bit filter of their ids, of bounded size, spares most other documents the work;
+    what passes it wrongly finds no partner in the join."""
+    roots = wanted.select("root").distinct()
+    n = roots.count()
+    words = min(FILTER_BITS, max(1024, 10 * n)) // 64
+    place = F.pmod(F.xxhash64("root"), F.lit(words * 64))
+    bits = roots.select(place.alias("p")).groupBy(F.expr("p div 64").alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("value")
+    )
+    got = bits.toArrow()  # as many rows at most as the filter has words
+    table = np.zeros(words, np.int64)
+    table[got.column("word").to_numpy()] = got.column("value").to_numpy()
+    sent = docs.sparkSession.sparkContext.broadcast(table)
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = np.asarray(b.column("p"))
+            hit = (sent.value[p >> 6] >> (p & 63)) & 1
+            for some in slices([b.filter(pa.array(hit == 1))], "text"):
+                keys, sets = _classes(some, rule.words)
+                made = [pa.array(keys, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+                yield pa.RecordBatch.from_arrays(made, ["set_key", "tokens"])
+
+    rows = docs.select("text", F.pmod(F.xxhash64("doc_id"), F.lit(words * 64)).alias("p"))
+    return rows.mapInArrow(sets_of, "set_key binary, tokens binary").dropDuplicates(["set_key"])
+
+
 def jaccard_components(docs: DataFrame, rule: Rule | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id of each row.
 
@@ -351,23 +424,14 @@ def jaccard_components(docs: DataFrame, rule: Rule | None = None, doc_id: str =
 
     signed = stored(base.mapInArrow(sign, "doc_id long, n_shingles long, set_key binary"))
     base, known = base.filter("doc_id IS NOT NULL"), signed.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    roots = stored(known.groupBy("set_key").agg(F.min("doc_id").alias("root")))
+    roots = stored(known.groupBy("set_key").agg(F.min("doc_id").alias("root"), F.first("n_shingles").alias("n")))
     total = signed.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(MIN_BUCKETS, total // BUCKET_TOKENS)
     home, pairs = _candidates(base, _frequent(base, rule, buckets), rule, buckets)
     grouped = stored(roots.withColumn("class", _class_of(F.col("set_key"))).join(home, "class"))
-    wanted = stored(_places(grouped, pairs))
-
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            keys, sets = _classes(b, rule.words)
-            made = [pa.array(keys, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
-            yield pa.RecordBatch.from_arrays(made, ["set_key", "tokens"])
+    wanted = stored(_places(grouped, pairs, rule))
 
-    # The sets are made again from the texts of the classes' smallest documents.
-    needed = wanted.select(F.col("root").alias("doc_id")).distinct()
-    sets = base.join(needed, "doc_id", "left_semi").mapInArrow(sets_of, "set_key binary, tokens binary")
-    edges = _links(wanted.join(stored(sets.dropDuplicates(["set_key"])), "set_key"), rule)
+    edges = _links(wanted.join(_wanted_sets(base, wanted, rule), "set_key"), rule)
     # Texts of one document in different classes.
     held = known.join(roots, "set_key").groupBy("doc_id").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a <> z")
     same = known.join(roots, "set_key").join(held.select("doc_id", "a"), "doc_id").select("a", F.col("root").alias("b"))
