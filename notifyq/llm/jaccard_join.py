@@ -1,16 +1,17 @@
 """Exact Jaccard self-join of documents on word n-grams by a token-group matrix.
 
 Documents with equal shingle sets are one class. Classes are partitioned into groups by
-the first token of a global order, which similar sets tend to share. The matrix says which
-groups hold a token among the tokens that can start a link; a query's tokens give the
-groups it may have links in. There the overlap with the group's token union bounds the
-overlap with any member, and only groups that pass are opened and compared member by
-member.
+the smallest hash of their tokens, which similar sets tend to share; large groups are cut
+into blocks. The matrix says which groups hold a token among their members' first tokens; a
+query's first tokens give the groups it may have links in. There the overlap with the
+group's token union bounds the overlap with any member, and only groups that pass are
+opened and compared member by member.
 
 The order puts rare tokens first, by hash among themselves, and frequent tokens last. Sets
 x and y with similarity of t or more share k tokens among the first n - ceil(t n) + k of
 each, whatever the order, so the result does not depend on what counts as frequent. A
-query's groups must hold that many of its first tokens.
+query's groups must hold that many of its first tokens. A token's place in a set also bounds
+the size of the sets it can start a link with: what stands before it is not shared.
 """
 
 from __future__ import annotations
@@ -29,8 +30,10 @@ from pyspark.sql import types as T
 
 from notifyq.llm.common import components, slices, stored
 
-#: Members compared at a time in one task, and queries of one task for them.
+#: Members of a block on average, and queries of one task for them.
 BLOCK, QUERIES = 64, 4096
+#: Groups that are cut into blocks at most; they are sent to the executors.
+CUT_GROUPS = 1 << 20
 #: A token counts as frequent from this many holders on; the number doubles until at most
 #: FREQUENT_MAX tokens are (8 bytes each are sent to the executors).
 FREQUENT, FREQUENT_MAX = 16, 1 << 22
@@ -58,6 +61,11 @@ class Rule:
         """Tokens of a set of n among which shared(n) common ones must be."""
         return min(n, n + (-self.percent * n) // 100 + self.shared(n))
 
+    def partner(self, n: int, at: np.ndarray) -> np.ndarray:
+        """Largest size of a set that a set of n can link with if its token at place ``at``
+        is among their first shared ones."""
+        return (100 + self.percent) * (n - at + self.shared(n) - 1) // self.percent - n
+
     def needs(self, n: int) -> int:
         """Tokens of a set of n that any linked set must hold."""
         return -((-self.percent * n) // 100)
@@ -186,58 +194,92 @@ def _ordered_prefix(tokens: np.ndarray, frequent: np.ndarray, rule: Rule) -> np.
     return np.concatenate([tokens[~often], tokens[often]])[: rule.prefix(len(tokens))]
 
 
-def _candidates(docs: DataFrame, frequent: np.ndarray, rule: Rule, buckets: int) -> tuple[DataFrame, DataFrame]:
-    """(class, grp): the group of each class; and (class, grp, n): the other groups that hold
-    some of the class's first tokens, and how many, each pair of groups one way."""
-    sent = docs.sparkSession.sparkContext.broadcast(frequent)
+@dataclass
+class _Groups:
+    """Group of a class: its smallest token, and a block where that group is cut."""
+
+    cut: np.ndarray  # sorted smallest tokens of the groups that are cut
+    blocks: np.ndarray
+
+    @classmethod
+    def of(cls, roots: DataFrame) -> _Groups:
+        """From (first, ...) rows, one for each class. A group is cut if it has more than
+        BLOCK members and that share of all that bounds the number of such groups."""
+        least = max(BLOCK, roots.count() // CUT_GROUPS) + 1
+        rows = roots.groupBy("first").agg(F.count("*").alias("n")).filter(F.col("n") >= least).toArrow()
+        first, n = rows.column("first").to_numpy().view(np.uint64), rows.column("n").to_numpy()
+        order = np.argsort(first)
+        return cls(first[order], -(-n[order] // BLOCK))
+
+    def place(self, first: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        if not len(self.cut):
+            return first
+        at = np.minimum(np.searchsorted(self.cut, first), len(self.cut) - 1)
+        block = classes.view(np.uint64) % self.blocks[at].astype(np.uint64)
+        return np.where(self.cut[at] == first, _mixed(first + block), first)
+
+
+_POSTED = {"tokens": np.uint64, "groups": np.uint64, "classes": np.int64, "n": np.uint32, "partner": np.int32}
+
+
+def _candidates(docs: DataFrame, frequent: np.ndarray, groups: _Groups, rule: Rule, buckets: int) -> DataFrame:
+    """(class, grp, n): groups that hold some of a class's first tokens in sets of fitting
+    sizes, and how many tokens; each pair of groups one way, its own group if another class
+    there holds the token too."""
+    sent = docs.sparkSession.sparkContext.broadcast((frequent, groups))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, groups = sent.value
         for b in slices(batches, "text"):
             keys, sets = _classes(b, rule.words)
             if not keys:
                 continue
-            starts = [_ordered_prefix(s, sent.value, rule) for s in sets]
-            n = [len(s) for s in starts]
-            tokens = np.concatenate(starts)
-            classes = np.repeat(_short(keys), n)
-            groups = np.repeat(np.array([s[0] for s in starts], np.uint64), n)
-            rows = list(_by_bucket((tokens % np.uint64(buckets)).astype(np.int64), tokens, classes, groups))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[1][k] for r in rows], pa.binary()) for k in range(3))],
-                ["bucket", "tokens", "classes", "groups"],
-            )
+            starts = [_ordered_prefix(s, frequent, rule) for s in sets]
+            times = [len(s) for s in starts]
+            classes = _short(keys)
+            own = groups.place(np.array([s[0] for s in sets], np.uint64), classes)
+            rows = {
+                "tokens": np.concatenate(starts), "groups": np.repeat(own, times), "classes": np.repeat(classes, times),
+                "n": np.repeat([len(s) for s in sets], times),
+                "partner": np.concatenate([rule.partner(len(s), np.arange(k)) for s, k in zip(sets, times, strict=True)]),
+            }
+            packed = list(_by_bucket((rows["tokens"] % np.uint64(buckets)).astype(np.int64), *(rows[c].astype(t) for c, t in _POSTED.items())))
+            columns = [pa.array([r[1][k] for r in packed], pa.binary()) for k in range(len(_POSTED))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in packed], pa.int64()), *columns], ["bucket", *_POSTED])
 
     def match(part: pa.Table) -> pa.Table:
-        tokens, groups = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint64) for c in ("tokens", "groups"))
-        classes = np.frombuffer(b"".join(part.column("classes").to_pylist()), np.int64)
-        # The matrix: one entry for each token and group.
-        order = np.lexsort((groups, tokens))
-        t, g = tokens[order], groups[order]
-        first = np.ones(len(t), bool)
-        first[1:] = (t[1:] != t[:-1]) | (g[1:] != g[:-1])
-        t, g = t[first], g[first]
-        lo, hi = np.searchsorted(t, tokens, "left"), np.searchsorted(t, tokens, "right")
-        many = np.flatnonzero(hi - lo > 1)
-        pairs, times = np.zeros((2, 0), np.int64), np.zeros(0, np.int64)
-        steps = np.cumsum((hi - lo)[many]) // EXPANDED  # entries of the matrix at a time
+        tokens, groups, classes, n, partner = (np.frombuffer(b"".join(part.column(c).to_pylist()), t) for c, t in _POSTED.items())
+        order = np.lexsort((classes, groups, tokens))
+        tokens, groups, classes, n, partner = (x[order] for x in (tokens, groups, classes, n.astype(np.int64), partner))
+        new_token, new_group, new_class = (np.append(True, x[1:] != x[:-1]) for x in (tokens, groups, classes))
+        new_group |= new_token
+        once = np.flatnonzero(new_group | new_class)  # a class comes from several slices
+        tokens, classes, n, partner = (x[once] for x in (tokens, classes, n, partner))
+        new_token, new_group = np.append(True, tokens[1:] != tokens[:-1]), np.append(True, (groups[once][1:] != groups[once][:-1]) | (tokens[1:] != tokens[:-1]))
+        groups = groups[once]
+        # The matrix: an entry for each token and group, with what its members allow.
+        entry, first = np.cumsum(new_group) - 1, np.flatnonzero(new_group)
+        held, group = np.diff(np.append(first, len(tokens))), groups[first]
+        least, most = np.minimum.reduceat(n, first), np.maximum.reduceat(partner, first)
+        last = np.append(np.flatnonzero(new_token[first])[1:], len(first))[np.cumsum(new_token[first]) - 1]  # of the token
+        home = held[entry] > 1
+        pairs, times = _distinct(np.stack([classes, groups.view(np.int64)])[:, home])
+        later = last[entry] - entry - 1
+        many = np.flatnonzero(later)
+        steps = np.cumsum(later[many]) // EXPANDED  # entries of the matrix at a time
         for chunk in np.split(many, np.flatnonzero(np.diff(steps)) + 1):
-            n = (hi - lo)[chunk]
-            at = np.repeat(lo[chunk] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            q, home_of, other = np.repeat(classes[chunk], n), np.repeat(groups[chunk], n), g[at]
-            new = np.stack([q, other.view(np.int64)])[:, home_of < other]
+            k = later[chunk]
+            at = np.repeat(entry[chunk] + 1 - (np.cumsum(k) - k), k) + np.arange(k.sum())
+            q = np.repeat(chunk, k)
+            fits = (least[at] <= partner[q]) & (n[q] <= most[at])
+            new = np.stack([classes[q[fits]], group[at[fits]].view(np.int64)])
             times = np.concatenate([times, np.ones(new.shape[1], np.int64)])
             pairs, times = _distinct(np.concatenate([pairs, new], axis=1), times)
-        # A class is announced where its own group's token is.
-        home, _ = _distinct(np.stack([classes, groups.view(np.int64)])[:, tokens == groups])
-        return pa.table(
-            {"class": np.concatenate([pairs[0], home[0]]), "grp": np.concatenate([pairs[1], home[1]]),
-             "n": np.concatenate([times, np.zeros(home.shape[1], np.int64)])}
-        )
+        return pa.table({"class": pairs[0], "grp": pairs[1], "n": times})
 
-    packed = docs.mapInArrow(post, "bucket long, tokens binary, classes binary, groups binary")
-    found = stored(packed.groupBy("bucket").applyInArrow(match, "class long, grp long, n long"))
-    pairs = found.filter("n > 0").groupBy("class", "grp").agg(F.sum("n").alias("n"))
-    return found.filter("n = 0").select("class", "grp"), pairs
+    schema = ", ".join(["bucket long", *(f"{c} binary" for c in _POSTED)])
+    found = docs.mapInArrow(post, schema).groupBy("bucket").applyInArrow(match, "class long, grp long, n long")
+    return found.groupBy("class", "grp").agg(F.sum("n").alias("n"))
 
 
 def _links(rows: DataFrame, rule: Rule) -> DataFrame:
@@ -329,44 +371,45 @@ class _Block:
         return [(root, int(i)) for i in self.ids[at[first]]]
 
 
+def _grouped(roots: DataFrame, groups: _Groups) -> DataFrame:
+    """``roots`` with class and grp."""
+    sent = roots.sparkSession.sparkContext.broadcast(groups)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            classes = _short(b.column("set_key").to_pylist())
+            first = np.asarray(b.column("first")).view(np.uint64)
+            own = sent.value.place(first, classes).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(classes), pa.array(own)], names=[*b.schema.names, "class", "grp"])
+
+    return roots.mapInArrow(place, "set_key binary, root long, n long, first long, class long, grp long")
+
+
 def _places(grouped: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """(place, kind, set_key, root): where the members of groups and their queries meet.
 
-    A group is cut into blocks of about BLOCK members and its queries are dealt over salted
-    copies of them, QUERIES to each, so that no group is bound to one task. A class asks the
-    other groups that hold enough of its first tokens and have members of a fitting size, and
-    in its own group the blocks after its own.
+    A class asks the groups that hold enough of its first tokens and have members of a
+    fitting size. A group that is asked, by a member too, is opened: its members come to as
+    many salted copies as its queries need, QUERIES to each, so that no group is bound to
+    one task.
     """
-    sizes = grouped.groupBy("grp").agg(F.count("*").alias("members"), F.min("n").alias("least"), F.max("n").alias("most"))
     needs = f"(n * {rule.percent} + 99) div 100"
+    sizes = grouped.groupBy("grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     asking = stored(
-        pairs.withColumnRenamed("n", "held").join(grouped.select("class", "set_key", "root", "n"), "class")
-        .filter(f"held >= 1 + {needs} div {SHARED_EVERY}")
-        .join(sizes, "grp").filter(f"100 * n >= {rule.percent} * least AND 100 * most >= {rule.percent} * n")
-        .select("set_key", "root", "grp")
+        pairs.withColumnRenamed("n", "held")
+        .join(grouped.select("class", "set_key", "root", "n", F.col("grp").alias("own")), "class")
+        .filter(f"held >= 1 + {needs} div {SHARED_EVERY}").join(sizes, "grp")
+        .filter(f"100 * n >= {rule.percent} * least AND 100 * most >= {rule.percent} * n")
+        .select("set_key", "root", "grp", (F.col("grp") == F.col("own")).alias("home"))
     )
-    asked = asking.groupBy("grp").agg(F.count("*").alias("asked"))
-    counts = stored(
-        sizes.join(asked, "grp", "left")
-        .withColumn("asked", F.coalesce("asked", F.lit(0))).filter("members > 1 OR asked > 0")
-        .withColumn("blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
-        .withColumn("salts", F.ceil((F.col("members") + F.col("asked")) / QUERIES).cast("int"))
-        .select("grp", "blocks", "salts")
-    )
-    block = F.pmod(F.xxhash64("root"), F.col("blocks")).cast("int")
-    salt = F.pmod(F.xxhash64("root", F.lit(1)), F.col("salts")).cast("int")
-    keys = ["set_key", "root", "grp"]
-    own = grouped.join(counts, "grp").withColumn("block", block)
-    members = own.select(*keys, "block", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind"))
-    later = own.filter("block + 1 < blocks").select(
-        *keys, F.explode(F.expr("sequence(block + 1, blocks - 1)")).alias("block"), salt.alias("salt"), F.lit(1).alias("kind")
+    asked = asking.groupBy("grp").agg(F.count(F.when(~F.col("home"), 1)).alias("asked"))
+    salts = stored(asked.select("grp", (F.floor(F.col("asked") / QUERIES) + 1).cast("int").alias("salts")))
+    salt = F.pmod(F.xxhash64("root"), F.col("salts")).cast("int")
+    members = grouped.join(salts, "grp").select(
+        "set_key", "root", "grp", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("kind")
     )
-    foreign = (
-        asking.join(counts, "grp")
-        .select(*keys, F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), salt.alias("salt"), F.lit(1).alias("kind"))
-    )
-    rows = members.unionAll(later).unionAll(foreign)
-    return rows.select(F.xxhash64("grp", "block", "salt").alias("place"), "kind", "set_key", "root")
+    queries = asking.filter(~F.col("home")).join(salts, "grp").select("set_key", "root", "grp", salt.alias("salt"), F.lit(1).alias("kind"))
+    return members.unionAll(queries).select(F.xxhash64("grp", "salt").alias("place"), "kind", "set_key", "root")
 
 
 #: Bits of the filter for wanted documents: ten for each, and at most so many.
@@ -417,20 +460,21 @@ def jaccard_components(docs: DataFrame, rule: Rule | None = None, doc_id: str =
         for b in slices(batches, "text"):
             sets = shingle_sets(b.column("text").to_pylist(), rule.words)
             keys = [set_key(s) if len(s) else None for s in sets]
+            first = np.array([s[0] if len(s) else 0 for s in sets], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary())],
-                ["doc_id", "n_shingles", "set_key"],
+                [b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(keys, pa.binary()), pa.array(first)],
+                ["doc_id", "n_shingles", "set_key", "first"],
             )
 
-    signed = stored(base.mapInArrow(sign, "doc_id long, n_shingles long, set_key binary"))
+    signed = stored(base.mapInArrow(sign, "doc_id long, n_shingles long, set_key binary, first long"))
     base, known = base.filter("doc_id IS NOT NULL"), signed.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")
-    roots = stored(known.groupBy("set_key").agg(F.min("doc_id").alias("root"), F.first("n_shingles").alias("n")))
+    one = [F.min("doc_id").alias("root"), F.first("n_shingles").alias("n"), F.first("first").alias("first")]
+    roots = stored(known.groupBy("set_key").agg(*one))
     total = signed.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(MIN_BUCKETS, total // BUCKET_TOKENS)
-    home, pairs = _candidates(base, _frequent(base, rule, buckets), rule, buckets)
-    grouped = stored(roots.withColumn("class", _class_of(F.col("set_key"))).join(home, "class"))
-    wanted = stored(_places(grouped, pairs, rule))
-
+    groups = _Groups.of(roots)
+    pairs = _candidates(base, _frequent(base, rule, buckets), groups, rule, buckets)
+    wanted = stored(_places(stored(_grouped(roots, groups)), pairs, rule))
     edges = _links(wanted.join(_wanted_sets(base, wanted, rule), "set_key"), rule)
     # Texts of one document in different classes.
     held = known.join(roots, "set_key").groupBy("doc_id").agg(F.min("root").alias("a"), F.max("root").alias("z")).filter("a <> z")
@@ -442,12 +486,3 @@ def jaccard_components(docs: DataFrame, rule: Rule | None = None, doc_id: str =
     )
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return signed.join(by_key, "set_key", "left").select("doc_id", "n_shingles", component.alias("component_id"))
-
-
-def _class_of(key: F.Column) -> F.Column:
-    """A key's first 8 bytes as a long, as _short() has them."""
-    number = F.lit(0).cast("long")
-    for k in range(8, 0, -1):
-        byte = F.conv(F.hex(F.substring(key, k, 1)), 16, 10).cast("long")
-        number = F.shiftleft(number, 8).bitwiseOR(byte)
-    return number
