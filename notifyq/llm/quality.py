@@ -38,7 +38,7 @@ class Settings:
     batch: int = 32
     seed: int = 7
     #: The sample: labelled documents of the smallest hashes, and bytes one may have.
-    sample_docs: int = 4096
+    sample_docs: int = 3072
     sample_bytes: int = 32_768
 
 
@@ -56,12 +56,26 @@ def words_of(text: str | None) -> Counter[bytes]:
     return out
 
 
-def word_features(word: bytes, s: Settings) -> list[int]:
-    """Buckets of a word and of the n-grams of <word>. Words are whole: a long one gives
-    features in proportion to its length."""
-    marked = b"<" + word + b">"
-    grams = (marked[i : i + n] for n in s.n_grams for i in range(len(marked) - n + 1))
-    return [zlib.crc32(marked, 1) % s.buckets, *(zlib.crc32(g) % s.buckets for g in grams)]
+def features(words: list[bytes], s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """(place of a word, bucket) of all features: each <word>, and the character n-grams of
+    it by a rolling hash over all words at once. A long word has features in proportion."""
+    marked = [b"<" + w + b">" for w in words]
+    sizes = np.fromiter(map(len, marked), np.int64, len(marked))
+    raw = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint32)
+    word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(raw))  # bytes up to the word's end
+    places = [np.arange(len(words), dtype=np.int32)]
+    buckets = [np.fromiter(map(zlib.crc32, marked), np.uint32, len(marked))]
+    rolled = np.zeros(len(raw), np.uint32)
+    for n in range(1, max(s.n_grams) + 1):
+        rolled = rolled[: len(raw) - n + 1] * np.uint32(0x01000193) + raw[n - 1 :] + np.uint32(1)
+        if n in s.n_grams:
+            whole = np.flatnonzero(left[: len(rolled)] >= n)
+            h = rolled[whole]
+            places.append(word[whole])
+            buckets.append((h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA6B + 2 * n))
+    mixed = np.concatenate(buckets)
+    return np.concatenate(places), ((mixed ^ (mixed >> np.uint32(13))) % np.uint32(s.buckets)).astype(np.int32)
 
 
 @dataclass
@@ -87,18 +101,18 @@ def train(texts: list[str | None], labels: list[int], s: Settings | None = None)
     classes = 2
     m = Model(s, rng.uniform(-1 / s.dim, 1 / s.dim, (s.buckets, s.dim)).astype(np.float32),
               np.zeros((s.dim, classes), np.float32), np.zeros(classes, np.float32))
-    memo: dict[bytes, list[int]] = {}
+    counts = [words_of(t) for t in texts]
+    words = list({w for c in counts for w in c})
+    at = {w: k for k, w in enumerate(words)}
+    place, bucket = features(words, s) if words else (np.zeros(0, np.int32), np.zeros(0, np.int32))
+    bucket, ends = bucket[np.argsort(place, kind="stable")], np.cumsum(np.bincount(place, minlength=len(words)))
+    own = np.split(bucket, ends[:-1])
     docs = []
-    for t in texts:
-        features: Counter[int] = Counter()
-        for w, n in words_of(t).items():
-            if w not in memo:
-                memo[w] = word_features(w, s)
-            for f in memo[w]:
-                features[f] += n
-        ids = np.fromiter(features.keys(), np.int64, len(features))
-        weight = np.fromiter(features.values(), np.float32, len(features))
-        docs.append((ids, weight / weight.sum()))
+    for c in counts:
+        mine = [own[at[w]] for w in c]
+        weight = np.repeat(np.fromiter(c.values(), np.float32, len(c)), [len(x) for x in mine])
+        ids, back = np.unique(np.concatenate(mine), return_inverse=True)
+        docs.append((ids, (np.bincount(back, weight) / weight.sum()).astype(np.float32)))
     per_epoch, done = -(-len(docs) // s.batch), 0
     epochs = max(s.epochs, -(-s.least_steps // per_epoch)) if docs else 0
     steps = epochs * per_epoch
@@ -123,10 +137,10 @@ def train(texts: list[str | None], labels: list[int], s: Settings | None = None)
 class Scorer:
     """Scores texts with a memo of word vectors, emptied when full."""
 
-    WORDS = 200_000
+    WORDS = 400_000
 
     def __init__(self, model: Model):
-        self.model = model
+        self.model, self.columns = model, np.ascontiguousarray(model.vectors.T)
         self._clear()
 
     def _clear(self) -> None:
@@ -135,14 +149,13 @@ class Scorer:
 
     def _learn(self, words: list[bytes]) -> None:
         """Sum of the vectors of each word's features, and their number."""
-        lists = [word_features(w, self.model.settings) for w in words]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        ids = np.fromiter((i for x in lists for i in x), np.int64, int(sizes.sum()))
-        sums = np.add.reduceat(self.model.vectors[ids], np.cumsum(sizes) - sizes)
+        place, bucket = features(words, self.model.settings)
+        sums = [np.bincount(place, column[bucket], len(words)) for column in self.columns]
+        sizes = np.bincount(place, minlength=len(words))
         at = len(self.rows)
         while at + len(words) > len(self.sums):
             self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-        self.sums[at : at + len(words), :-1], self.sums[at : at + len(words), -1] = sums, sizes
+        self.sums[at : at + len(words), :-1], self.sums[at : at + len(words), -1] = np.stack(sums, axis=1), sizes
         self.rows.update((w, at + k) for k, w in enumerate(words))
 
     def score(self, texts: list[str | None]) -> np.ndarray:
