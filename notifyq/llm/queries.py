@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notifyq.llm import bpe_codec, decontaminate, embedding_dedup, html_text, jaccard_join, line_dedup, quality, token_counts, training_order, url_filters
+from notifyq.llm.bpe_tables import PRE_TOKEN
 from notifyq.llm.common import table
 from notifyq.session import checkpoint_dir
 
@@ -52,9 +53,12 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where each sequence of 512 ids went; the blocks are written to the shared folder."""
+    import public_tokenizers
+
     folder = f"{checkpoint_dir(spark)}/training-order-{uuid.uuid4().hex}"
+    ranks = training_order.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents")
-    return training_order.write_training_order(docs, vocabulary(), folder, key="epoch-0")
+    return training_order.write_training_order(docs, ranks, PRE_TOKEN, folder, key="epoch-0")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Token sequences written in training order.
 
-Each document's ids, ended by a mark, are cut into sequences of a fixed length. A keyed
+Each document is encoded by a public library; its ids, ended by a mark, are cut into sequences of a fixed length. A keyed
 Feistel permutation with cycle-walking gives every sequence one global slot: a bijection on
 0 .. n-1 that needs no sort of random keys and no state. Range partitions of slots become
 blocks of fixed-stride records, so that a reader finds any slot by division and resumes
@@ -9,21 +9,23 @@ anywhere.
 
 from __future__ import annotations
 
+import base64
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from notifyq.llm.bpe_codec import IDS, encode
-from notifyq.llm.bpe_tables import ship
-from notifyq.llm.common import slices, stored
+from notifyq.llm.common import slices
+from notifyq.session import checkpoint_dir
 
 ROUNDS = 6
-#: Sequences of one numbering bucket on average.
-BUCKET = 100_000
 
 
 def permuted(index: np.ndarray, n: int, key: str) -> np.ndarray:
@@ -49,78 +51,80 @@ def permuted(index: np.ndarray, n: int, key: str) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def sequences(docs: DataFrame, path: str, length: int, end: int) -> DataFrame:
-    """(doc_id, seq_no, n_tokens, record): the ids of each whole document and an end mark, cut
-    into records of ``length`` unsigned 16-bit ids, the last one padded with ``end``.
+def read_ranks(path: str) -> dict[bytes, int]:
+    """Token bytes -> id of a rank file: a line for each token, base64 and number."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(token): int(i) for token, i in (line.split() for line in f if line.strip())}
 
-    A null or empty text gives one record with the mark alone."""
+
+def sequences(docs: DataFrame, ranks: dict[bytes, int], pattern: str, end_text: str, length: int) -> DataFrame:
+    """(part, pos, doc_id, seq_no, n_tokens, record): the ids of each whole document and an end
+    mark, cut into records of at most ``length`` unsigned 16-bit ids.
+
+    ``end_text`` inside a text is the end mark too. A null or empty text gives one record with
+    the mark alone. part and pos are the task and the place in it: a repeated task numbers
+    its rows the same."""
+    end = len(ranks)
+    if end >= 1 << 16:
+        raise ValueError("ids do not fit 16 bits")
+    sent = docs.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary, some 50,000 tokens
+    names = ["part", "pos", "doc_id", "seq_no", "n_tokens", "record"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "ids"):
+        coder = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=sent.value, special_tokens={end_text: end})
+        part, pos = TaskContext.get().partitionId(), 0
+        for b in slices(batches, "text"):
             doc, no, used, record = [], [], [], []
-            for i, raw in zip(b.column("doc_id").to_pylist(), b.column("ids").to_pylist(), strict=True):
-                ids = np.append(np.frombuffer(raw, IDS), end).astype("<u2")
-                count = -(-len(ids) // length)
-                padded = np.full(count * length, end, "<u2")
-                padded[: len(ids)] = ids
-                rows = padded.reshape(count, length)
-                doc += [i] * count
-                no += range(count)
-                used += [min(length, len(ids) - k * length) for k in range(count)]
-                record += [r.tobytes() for r in rows]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc, pa.int64()), pa.array(no, pa.int64()), pa.array(used, pa.int32()), pa.array(record, pa.binary())],
-                ["doc_id", "seq_no", "n_tokens", "record"],
-            )
-
-    ids = encode(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), path).select("doc_id", "ids")
-    return ids.mapInArrow(cut, "doc_id long, seq_no long, n_tokens int, record binary")
+            for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                ids = np.array([*coder.encode(text or "", allowed_special="all"), end], "<u2").tobytes()
+                for k, at in enumerate(range(0, len(ids), 2 * length)):
+                    record.append(ids[at : at + 2 * length])
+                    doc.append(i)
+                    no.append(k)
+                    used.append(len(record[-1]) // 2)
+            made = [pa.array([part] * len(doc), pa.int32()), pa.array(range(pos, pos + len(doc)), pa.int64())]
+            made += [pa.array(doc, pa.int64()), pa.array(no, pa.int64()), pa.array(used, pa.int32()), pa.array(record, pa.binary())]
+            pos += len(doc)
+            yield pa.RecordBatch.from_arrays(made, names)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(cut, "part int, pos long, doc_id long, seq_no long, n_tokens int, record binary")
 
 
 def with_slots(rows: DataFrame, key: str) -> tuple[DataFrame, int]:
-    """``rows`` of sequences() with a long column ``slot``, and their number.
-
-    Numbers are dense without a global sort: rows fall into hash buckets, the buckets' counts
-    give offsets, and each bucket is numbered by (doc_id, seq_no, record). Equal rows are
-    interchangeable."""
-    total = rows.count()
-    buckets = max(64, -(-total // BUCKET))
-    keyed = rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "seq_no"), F.lit(buckets)))
-    # One row for each bucket: some 16 bytes for every BUCKET sequences.
-    counts = sorted(keyed.groupBy("_bucket").count().collect())
-    ends = np.cumsum([c for _, c in counts]).tolist()
-    starts = {b: e - c for (b, c), e in zip(counts, ends, strict=True)}
+    """``rows`` of sequences(), read from where they are kept, with a long column ``slot`` in
+    place of part and pos; and their number.
+
+    Numbers are dense without a sort or shuffle: the parts' counts give each part's offset."""
+    counts = sorted(rows.groupBy("part").count().collect())  # 16 bytes for each task that wrote
+    starts, total = {}, 0
+    for part, n in counts:
+        starts[part] = total
+        total += n
     sent = rows.sparkSession.sparkContext.broadcast(starts)
+    others = [f for f in rows.schema.fields if f.name not in ("part", "pos")]
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, at = None, 0
         for b in batches:
-            index = np.empty(b.num_rows, np.int64)
-            own = np.asarray(b.column("_bucket"))
-            bounds = [*np.flatnonzero(np.diff(own, prepend=own[:1] - 1)), b.num_rows] if b.num_rows else [0]
-            for lo, hi in zip(bounds, bounds[1:], strict=False):
-                if own[lo] != now:
-                    now, at = own[lo], sent.value[int(own[lo])]
-                index[lo:hi] = np.arange(at, at + hi - lo)
-                at += hi - lo
-            rest = b.drop_columns(["_bucket"])
-            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(permuted(index, total, key))], names=[*rest.schema.names, "slot"])
-
-    sorted_rows = keyed.repartition("_bucket").sortWithinPartitions("_bucket", "doc_id", "seq_no", "record")
-    return sorted_rows.mapInArrow(number, f"{_ddl(rows)}, slot long"), total
-
+            first = np.array([sent.value[x] for x in b.column("part").to_pylist()], np.int64)
+            slot = permuted(first + np.asarray(b.column("pos")), total, key)
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(f.name) for f in others), pa.array(slot)], names=[*(f.name for f in others), "slot"]
+            )
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    return rows.mapInArrow(number, T.StructType([*others, T.StructField("slot", T.LongType())])), total
 
 
-def blocks(slotted: DataFrame, total: int, per_block: int) -> DataFrame:
-    """(block, first_slot, n_records, payload): records of consecutive slots, end to end.
+def blocks(slotted: DataFrame, total: int, per_block: int, stride: int, end: int) -> DataFrame:
+    """(block, first_slot, n_records, payload): records of consecutive slots, end to end, each
+    padded with the end mark to ``stride`` bytes.
 
     Block b holds the slots from b * per_block on, so a slot's bytes begin at
     (slot mod per_block) * stride of block slot div per_block."""
     keyed = slotted.select(F.expr(f"slot div {per_block}").alias("block"), "slot", "record")
 
+    pad = np.full(stride // 2, end, "<u2").tobytes()
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, first, held = None, 0, []
 
@@ -136,7 +140,7 @@ def blocks(slotted: DataFrame, total: int, per_block: int) -> DataFrame:
                     if held:
                         yield made()
                     now, first, held = block, slot, []
-                held.append(record)
+                held.append(record + pad[len(record) :])
         if held:
             yield made()
 
@@ -147,28 +151,28 @@ def blocks(slotted: DataFrame, total: int, per_block: int) -> DataFrame:
 
 
 def write_training_order(
-    docs: DataFrame, path: str, folder: str, key: str, length: int = 512, per_block: int = 256
-) -> DataFrame:
+    docs: DataFrame, ranks: dict[bytes, int], pattern: str, folder: str, key: str,
+    end_text: str = "<|endoftext|>", length: int = 512, per_block: int = 256,
+) -> DataFrame:
     """Write all sequences of ``docs`` to ``folder`` as Parquet blocks in training order, and
     return where each went: doc_id, seq_no, n_tokens, slot, block, offset (bytes), and the
-    digest of its record.
+    digest of its ids without padding.
 
     Null ids stay null; rows that share an id keep their own sequences; extra columns are
-    not written; an empty table writes no block. The vocabulary must have less than 65,536
-    ids and one special token, the end mark.
+    not written; an empty table writes no block. The sequences are encoded once and kept in
+    the shared folder meanwhile.
     """
-    tables = ship(docs.sparkSession, path).value
-    (end,) = tables.special.values()
-    if len(tables.token_bytes) > 1 << 16:
-        raise ValueError("ids do not fit 16 bits")
-    slotted, total = with_slots(stored(sequences(docs, path, length, end)), key)
-    slotted = stored(slotted)
-    blocks(slotted, total, per_block).write.mode("overwrite").parquet(folder)
+    spark = docs.sparkSession
+    kept = f"{checkpoint_dir(spark)}/sequences-{uuid.uuid4().hex}"
+    sequences(docs, ranks, pattern, end_text, length).write.option("compression", "zstd").parquet(kept)
+    slotted, total = with_slots(spark.read.parquet(kept), key)
+    made = blocks(slotted, total, per_block, 2 * length, len(ranks))
+    made.write.option("compression", "zstd").mode("overwrite").parquet(folder)
     return slotted.select(
         "doc_id", "seq_no", F.col("n_tokens").cast("long").alias("n_tokens"), "slot",
         F.expr(f"slot div {per_block}").alias("block"),
         (F.col("slot") % per_block * (2 * length)).alias("offset"),
-        F.sha2("record", 256).alias("record_sha256"),
+        F.sha2("record", 256).alias("ids_sha256"),
     )
 
 
