@@ -9,12 +9,12 @@ Only words with a failing pair are merged exactly.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notifyq.llm.bpe_tables import MEMO_ENTRIES, BpeTables, ship, units
@@ -196,11 +196,19 @@ def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") ->
 
 
 def codec_report(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row."""
-    both = decode(encode(docs.select("doc_id", "text"), path).select("doc_id", "ids"), path)
-    return both.select(
-        "doc_id",
-        (F.octet_length("ids") / IDS.itemsize).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each row: encodes and decodes in one
+    pass over the texts, so that neither ids nor decoded texts leave their task."""
+    tables = ship(docs.sparkSession, path)
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, texts_of = Encoder(tables.value), decoder(tables.value)
+        for b in slices(batches, "text"):
+            ids = encoder.encode(b.column("text").to_pylist())
+            decoded = [hashlib.sha256(t.encode()).hexdigest() for t in texts_of(ids)]
+            made = [pa.array([len(x) // IDS.itemsize for x in ids], pa.int64()), pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string())]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *made, pa.array(decoded, pa.string())], names)
+
+    rows = docs.select("doc_id", "text")
+    text = [T.StructField(c, T.StringType()) for c in names[2:]]
+    return rows.mapInArrow(both, T.StructType([rows.schema["doc_id"], T.StructField("n_tokens", T.LongType()), *text]))

@@ -29,7 +29,7 @@ UNIT_CUT = re.compile(r" (?=[!-~¡-ᙿぁ-퟿])")
 #: Units longer than this are not kept in a memo.
 MEMO_UNIT = 64
 #: Entries of a worker's memo; it is emptied when full, which changes no result.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 400_000
 
 
 def byte_alphabet() -> dict[str, int]:

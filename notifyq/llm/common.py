@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from notifyq.session import checkpoint_dir
 
 #: Arrow batches are worked on in slices of about this many payload bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

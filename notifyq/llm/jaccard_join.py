@@ -84,7 +84,7 @@ class _WordHashes(dict):
     """Word -> 64-bit hash; emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h

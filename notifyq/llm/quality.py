@@ -38,7 +38,7 @@ class Settings:
     batch: int = 32
     seed: int = 7
     #: The sample: labelled documents of the smallest hashes, and bytes one may have.
-    sample_docs: int = 3072
+    sample_docs: int = 2048
     sample_bytes: int = 32_768
 
 
@@ -137,7 +137,7 @@ def train(texts: list[str | None], labels: list[int], s: Settings | None = None)
 class Scorer:
     """Scores texts with a memo of word vectors, emptied when full."""
 
-    WORDS = 400_000
+    WORDS = 150_000
 
     def __init__(self, model: Model):
         self.model, self.columns = model, np.ascontiguousarray(model.vectors.T)
