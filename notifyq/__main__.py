@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
         latest_kpis(spark, args.root).orderBy("kpi_order").show(truncate=False)
         return 0
 
-    as_of = args.as_of or S.DEFAULT_AS_OF
+    as_of = args.as_of  # unset: the clock at the start of the run
     if args.cmd == "stage":
         from notifyq.plans import runner
 

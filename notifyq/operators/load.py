@@ -3,10 +3,8 @@ destination coercions (P15), reject audit rows (K9, P16), load audit (A11, K10).
 
 Idempotency is a join on ``notification_id``: the incoming rows are anti-joined with
 the destination ids (only that column is read from the destination). The destination
-is the large side; when it is bucketed by id the join reads it without a shuffle, and
-AQE turns the join into a broadcast when the incoming side is small at run time.
-Insert and "already present" counts come from the same join, not from a second query
-(the original process counted before inserting, on another connection).
+is the large side and is shuffled by id unless it is bucketed by it. The audit is a
+second join over the same snapshot of the destination.
 """
 
 from __future__ import annotations

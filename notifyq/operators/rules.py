@@ -41,7 +41,6 @@ def default_rules(as_of: str = S.DEFAULT_AS_OF) -> list[Rule]:
     """The rules in reporting order. ``as_of`` replaces the wall clock for V13."""
     ts = F.col("created_ts")
     hour = F.hour(ts)
-    lat_int = F.col("latency_num").try_cast("int")
     major = F.split_part(F.col("app_version"), F.lit("."), F.lit(1)).try_cast("int")
     return [
         Rule("notification_id_missing", _blank("notification_id"), "V1 blank id"),
@@ -62,7 +61,7 @@ def default_rules(as_of: str = S.DEFAULT_AS_OF) -> list[Rule]:
             "V13 later than as_of",
         ),
         Rule("seen_not_boolean", F.col("seen_bool").isNull(), "V14"),
-        Rule("latency_negative", lat_int < 0, "V15 truncated latency below zero"),
+        Rule("latency_negative", F.col("latency_num") <= -1, "V15 truncated latency below zero"),
         Rule(
             "self_event",
             ~_blank("user_id")

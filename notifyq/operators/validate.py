@@ -60,7 +60,7 @@ def typed_valid(tagged: DataFrame) -> DataFrame:
         "status",
         "app_version",
         "country",
-        F.col("latency_num").try_cast("int").alias("latency_ms"),
+        F.col("latency_num").try_cast("bigint").alias("latency_ms"),
         *extra,
     )
 

@@ -131,7 +131,7 @@ RULES_SQL = [
     ("created_at_missing", "created_ts IS NULL"),
     ("created_at_future", "created_ts > TIMESTAMP '2026-06-01 00:00:00'"),
     ("seen_not_boolean", "seen_bool IS NULL"),
-    ("latency_negative", "try_cast(trunc(latency_num) AS INTEGER) < 0"),
+    ("latency_negative", "trunc(latency_num) < 0"),
     ("self_event", "coalesce(user_id, '') <> '' AND coalesce(source_user_id, '') <> '' AND user_id = source_user_id"),
     ("comment_id_required", "event_type = 'COMMENT' AND coalesce(comment_id, '') = ''"),
     ("post_id_required", "event_type IN ('LIKE', 'COMMENT') AND coalesce(post_id, '') = ''"),
@@ -163,7 +163,7 @@ valid AS (
   SELECT notification_id, event_id, event_type, user_id, source_user_id,
     nullif(post_id, '') AS post_id, nullif(comment_id, '') AS comment_id,
     created_ts AS created_at, device, delivery_channel, priority, seen_bool AS seen,
-    status, app_version, country, try_cast(trunc(latency_num) AS INTEGER) AS latency_ms,
+    status, app_version, country, try_cast(trunc(latency_num) AS BIGINT) AS latency_ms,
     row_ord, batch_id
   FROM tagged WHERE reject_reason IS NULL
 ),

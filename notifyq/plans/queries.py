@@ -404,8 +404,8 @@ def q_model_comparison(spark, sf_dir):
 
 def q_best_model(spark, sf_dir):
     """The model with the best F1."""
-    cmp = _model_run(spark, sf_dir).comparison()
-    return cmp.agg(F.max_by("model", "f1").alias("model"), F.max("f1").alias("f1"))
+    run = _model_run(spark, sf_dir)
+    return run.comparison().where(F.col("model") == run.best).select("model", "f1")
 
 
 def q_confusion_matrix(spark, sf_dir):

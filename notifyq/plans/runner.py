@@ -122,8 +122,6 @@ TAG_METRICS = [
     ("bad_latency", lambda: F.count_if(F.col("latency_ms").isNotNull() & F.col("latency_num").isNull())),
     ("validation_rejected", lambda: F.count_if(F.col("stage") == S.STAGE_VALIDATE)),
     ("valid", lambda: F.count_if(F.col("label") == 0)),
-    # One entry per landing batch of the run (a handful of files).
-    ("batches", lambda: F.collect_set(S.BATCH_ID)),
 ]
 
 
@@ -155,12 +153,27 @@ def stage_stats(tagged: DataFrame) -> dict:
     return tagged.agg(*[f().alias(n) for n, f in TAG_METRICS]).first().asDict()
 
 
+def _numbered_rejects(rej: DataFrame) -> DataFrame:
+    """Rejects with a ``row_ord`` that a later run gives the same row again.
+
+    Rows of CSV files have a position that depends on how the files are split over tasks.
+    Instead, the equal rows of one file (full path) are counted and numbered: the number of
+    a row depends on its file's content only, and files of one name in different folders,
+    or new content under an old path, stay apart by path and payload."""
+    if not isinstance(rej.schema[S.ROW_ORD].dataType, T.StructType):
+        return rej
+    same = ["notification_id", "reject_reason", "payload", "stage", S.BATCH_ID, F.col(f"{S.ROW_ORD}.file").alias("_file")]
+    counted = rej.groupBy(*same).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = counted.withColumn("_k", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n"))))
+    return numbered.withColumn(S.ROW_ORD, F.xxhash64("_file", "_k")).drop("_file", "_n", "_k")
+
+
 def stage_clean_validate(
     spark: SparkSession,
     raw: DataFrame,
     root: str,
     run_id: str,
-    as_of: str = S.DEFAULT_AS_OF,
+    as_of: str | None = None,
     rules=None,
 ) -> tuple[DataFrame, dict]:
     """Clean + validate stage (K3-K6, K9, A1, A2): tag every row, write the tagged table
@@ -168,7 +181,8 @@ def stage_clean_validate(
     stored tagged table and its stage counts."""
     now = _utc_now()
     t = Tables(root)
-    run = Run(raw, as_of=as_of, rules=list(rules or []))
+    # The clock is read once for a run, so that all its rows meet the same bound.
+    run = Run(raw, as_of=as_of or now.strftime("%Y-%m-%d %H:%M:%S"), rules=list(rules or []))
     # The tagged rows are written once; the stage counts are one aggregate over the
     # written table, which reads only the few columns they need. (DataFrame.observe
     # would save that scan, but an observed session can no longer serialize pyspark.ml
@@ -181,21 +195,17 @@ def stage_clean_validate(
     st = stage_stats(tagged)
 
     # Rejects with reason and payload (K4, K6, K9), idempotent per row.
-    rej = load.reject_audit(validate.rejects(tagged)).withColumn("run_id", F.lit(run_id)).withColumn(
-        "rejected_at", _now_literal(now)
-    )
-    if S.ROW_ORD in rej.columns and isinstance(rej.schema[S.ROW_ORD].dataType, T.StructType):
-        rej = rej.withColumn(S.ROW_ORD, F.xxhash64(S.ROW_ORD))
-    # Only this run's landing batches can hold the same rows again: the batch list
-    # becomes a partition filter on the reject history.
+    rej = _numbered_rejects(load.reject_audit(validate.rejects(tagged)))
+    rej = rej.withColumn("run_id", F.lit(run_id)).withColumn("rejected_at", _now_literal(now))
+    # Only batches of this run can hold the same rows again.
     seen = (
         read_or_empty(spark, t.rejected, REJECT_SCHEMA)
-        .where(F.col(S.BATCH_ID).isin(list(st["batches"])))
-        .select(S.BATCH_ID, "stage", S.ROW_ORD)
+        .join(rej.select(S.BATCH_ID).distinct(), S.BATCH_ID, "left_semi")
+        .select(S.BATCH_ID, "stage", S.ROW_ORD, "payload")
     )
     # ``rebalance``: AQE sizes the output tasks per partition value (splitting a hot
     # batch, merging small ones), so the table gets few, well-sized files.
-    rej.join(seen, [S.BATCH_ID, "stage", S.ROW_ORD], "left_anti").select(
+    rej.join(seen, [S.BATCH_ID, "stage", S.ROW_ORD, "payload"], "left_anti").select(
         *[f.name for f in REJECT_SCHEMA.fields]
     ).hint("rebalance", "stage", S.BATCH_ID).write.mode("append").partitionBy("stage", S.BATCH_ID).parquet(
         t.rejected
@@ -274,7 +284,7 @@ def run_batch(
     root: str,
     key: str | FernetKey,
     run_id: str | None = None,
-    as_of: str = S.DEFAULT_AS_OF,
+    as_of: str | None = None,
     source: str = "",
 ) -> Row:
     """Run every stage over ``raw`` and write the tables under ``root``; returns the run

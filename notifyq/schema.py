@@ -167,7 +167,7 @@ VALID_SCHEMA = T.StructType(
         T.StructField("status", T.StringType(), True),
         T.StructField("app_version", T.StringType(), True),
         T.StructField("country", T.StringType(), True),
-        T.StructField("latency_ms", T.IntegerType(), True),
+        T.StructField("latency_ms", T.LongType(), True),
     ]
 )
 

@@ -14,16 +14,22 @@ from pyspark.sql import functions as F
 from notifyq import schema as S
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """Header CSV, all 16 columns as nullable strings; only empty fields are null.
 
-    ``NA``/``null`` stay text, as the specification asks. ``row_ord`` is a struct
-    (file, split offset, position) ordered like the file; ``batch_id`` is the file name
-    without extension.
+    ``NA``/``null`` stay text, as the specification asks. A doubled quote inside a quoted
+    field is one quote. Columns are checked against each file's header: another order or
+    name fails instead of swapping values. ``multi_line`` accepts line breaks inside quoted
+    fields, at the price of one task for each file. ``row_ord`` is a struct (full path,
+    split offset, position) ordered like the file; ``batch_id`` is the file name without
+    extension.
     """
     df = (
         spark.read.schema(S.RAW_SCHEMA)
         .option("header", True)
+        .option("enforceSchema", False)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("mode", "PERMISSIVE")
         .option("nullValue", "")
         .option("emptyValue", "")
@@ -37,7 +43,7 @@ def read_raw_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return df.select(
         *S.RAW_COLUMNS,
         F.struct(
-            F.col("_metadata.file_name").alias("file"),
+            F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("offset"),
             pos.alias("pos"),
         ).alias(S.ROW_ORD),

@@ -16,16 +16,13 @@ from notifyq import schema as S
 from notifyq.sources.files import read_raw_csv
 
 
-def _file_name(path_col):
-    return F.regexp_extract(path_col, r"([^/]+)$", 1)
-
-
 def file_hashes(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(source_file, path, bytes, modified_at, sha256) per file."""
+    """(path, source_file, bytes, modified_at, sha256) per file; the path tells files of one
+    name in different folders apart."""
     files = spark.read.format("binaryFile").load(path)
     return files.select(
-        _file_name(F.col("path")).alias("source_file"),
-        F.col("path"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_name").alias("source_file"),
         F.col("length").alias("bytes"),
         F.col("modificationTime").alias("modified_at"),
         F.sha2(F.col("content"), 256).alias("sha256"),
@@ -38,18 +35,16 @@ def file_manifest(
     """K2: one row per file: name, sha256, bytes, parsed rows, physical lines, stage."""
     hashes = file_hashes(spark, path)
     if fmt == "csv":
-        parsed = read_raw_csv(spark, path).select(F.col(f"{S.ROW_ORD}.file").alias("source_file"))
-        lines = spark.read.text(path).select(_file_name(F.col("_metadata.file_path")).alias("source_file"))
-        line_counts = lines.groupBy("source_file").agg(F.count(F.lit(1)).alias("lines"))
+        parsed = read_raw_csv(spark, path).select(F.col(f"{S.ROW_ORD}.file").alias("path"))
+        lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"))
+        line_counts = lines.groupBy("path").agg(F.count(F.lit(1)).alias("lines"))
     else:
-        parsed = spark.read.format(fmt).load(path).select(
-            _file_name(F.col("_metadata.file_path")).alias("source_file")
-        )
+        parsed = spark.read.format(fmt).load(path).select(F.col("_metadata.file_path").alias("path"))
         line_counts = None
-    rows = parsed.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
-    out = hashes.join(rows, "source_file", "left")
+    rows = parsed.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
+    out = hashes.join(rows, "path", "left")
     if line_counts is not None:
-        out = out.join(line_counts, "source_file", "left")
+        out = out.join(line_counts, "path", "left")
     else:
         out = out.withColumn("lines", F.lit(None).cast("bigint"))
     return out.select(

@@ -55,7 +55,7 @@ def start_incremental_runs(
     root: str,
     key: str | FernetKey,
     checkpoint_location: str | None = None,
-    as_of: str = S.DEFAULT_AS_OF,
+    as_of: str | None = None,
     available_now: bool = True,
     files_per_trigger: int = 1,
 ) -> StreamingQuery:
