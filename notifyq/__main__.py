@@ -53,7 +53,6 @@ def main(argv: list[str] | None = None) -> int:
         print(generate_key())
         return 0
 
-    from notifyq import schema as S
     from notifyq.session import build_session
 
     spark = build_session(args.master)
