@@ -1,7 +1,7 @@
 """KPI stage.
 
-All KPIs of a run come from two global aggregates -- one over the destination, one over
-the tagged run -- each a partial aggregate per task plus a single-row merge. The exact
+All KPIs of a run come from one global aggregate over the tagged rows: a partial aggregate
+per task plus a single-row merge. A stored destination has its own aggregate. The exact
 P95 (``percentile``) keeps a value -> count map, so its state is bounded by the number
 of distinct latencies, not by rows; ``approx_percentile`` is available as an option.
 """
@@ -30,26 +30,21 @@ def sent_with_latency() -> Column:
     return (F.col("status") == "SENT") & F.col("latency_ms").try_cast("double").isNotNull()
 
 
-def destination_measures(
-    destination: DataFrame,
-    mandatory: Sequence[str] = S.MANDATORY_COLUMNS,
-    approximate_p95: bool = False,
-) -> DataFrame:
-    """One row: completeness (A3), SLA (A5, C5), mean (A6) and P95 (A7) latency."""
-    present = [c for c in mandatory if c in destination.columns]
+def _measures(present: Sequence[str], rows: Column, approximate_p95: bool) -> list[Column]:
+    """Completeness of the given columns (A3), SLA (A5, C5), mean (A6) and P95 (A7) latency."""
     lat = F.col("latency_ms").try_cast("double")
     sent = sent_with_latency()
     non_null = None
     for c in present:
         term = F.count(F.col(c))
         non_null = term if non_null is None else non_null + term
-    cells = F.count(F.lit(1)) * F.lit(len(present))
+    cells = rows * F.lit(len(present))
     if approximate_p95:
         p95 = F.percentile_approx(F.when(sent, lat), F.lit(S.LATENCY_PERCENTILE), F.lit(10000))
     else:
         p95 = F.percentile(F.when(sent, lat), F.lit(S.LATENCY_PERCENTILE))
-    return destination.agg(
-        F.count(F.lit(1)).alias("destination_rows"),
+    return [
+        rows.alias("destination_rows"),
         _pct(non_null if non_null is not None else F.lit(0), cells).alias("completeness_pct"),
         F.count_if(sent).alias("sent_rows"),
         _pct(F.count_if(sent & (lat <= S.SLA_MAX_LATENCY_MS)), F.count_if(sent)).alias(
@@ -57,16 +52,30 @@ def destination_measures(
         ),
         F.coalesce(F.avg(F.when(sent, lat)), _d(0.0)).alias("avg_latency_ms"),
         F.coalesce(p95.cast("double"), _d(0.0)).alias("p95_latency_ms"),
-    )
+    ]
+
+
+def destination_measures(
+    destination: DataFrame,
+    mandatory: Sequence[str] = S.MANDATORY_COLUMNS,
+    approximate_p95: bool = False,
+) -> DataFrame:
+    """One row: completeness (A3), SLA (A5, C5), mean (A6) and P95 (A7) latency."""
+    present = [c for c in mandatory if c in destination.columns]
+    return destination.agg(*_measures(present, F.count(F.lit(1)), approximate_p95))
+
+
+def _counts(counted: Column) -> list[Column]:
+    return [
+        F.count_if(counted).alias("rows_initial"),
+        F.count_if(counted & (F.col("stage") == S.STAGE_CLEAN)).alias("clean_removed"),
+        F.count_if(counted & (F.col("stage") == S.STAGE_VALIDATE)).alias("validation_rejected"),
+    ]
 
 
 def run_counts(tagged: DataFrame) -> DataFrame:
     """One row: initial rows, clean removals, validation rejects (A4 inputs, A10)."""
-    return tagged.agg(
-        F.count(F.lit(1)).alias("rows_initial"),
-        F.count_if(F.col("stage") == S.STAGE_CLEAN).alias("clean_removed"),
-        F.count_if(F.col("stage") == S.STAGE_VALIDATE).alias("validation_rejected"),
-    )
+    return tagged.agg(*_counts(F.lit(True)))
 
 
 def combine_rows(*frames: DataFrame) -> DataFrame:
@@ -82,7 +91,42 @@ def combine_rows(*frames: DataFrame) -> DataFrame:
 
 def kpi_values(destination: DataFrame, counts: DataFrame, approximate_p95: bool = False) -> DataFrame:
     """One row with the five unrounded KPI values and their inputs."""
-    row = combine_rows(destination_measures(destination, approximate_p95=approximate_p95), counts)
+    return _with_reject_rate(
+        combine_rows(destination_measures(destination, approximate_p95=approximate_p95), counts)
+    )
+
+
+def run_kpi_values(
+    tagged: DataFrame, counted: Column | None = None, approximate_p95: bool = False
+) -> DataFrame:
+    """The row of ``kpi_values`` from one aggregate over the tagged rows of a run.
+
+    Ids are unique among them after the clean stage, so the destination after the load
+    holds the valid rows. A protected id is null where the clear one is, so the ids are
+    counted without enciphering them. ``counted`` limits the rows of the reject rate.
+    """
+    loaded = F.col("reject_reason").isNull()
+    source = {"created_at": "created_ts", "seen": "seen_bool"}
+    cells = {
+        c: F.when(loaded, F.col(source.get(c, c.removesuffix("_enc")))) for c in S.MANDATORY_COLUMNS
+    }
+    cells["status"] = F.when(loaded, F.col("status"))
+    cells["latency_ms"] = F.when(loaded, F.col("latency_num").try_cast("bigint"))
+    rows = tagged.select(
+        "stage",
+        loaded.alias("_loaded"),
+        (F.lit(True) if counted is None else counted).alias("_counted"),
+        *[v.alias(c) for c, v in cells.items()],
+    )
+    return _with_reject_rate(
+        rows.agg(
+            *_measures(S.MANDATORY_COLUMNS, F.count_if("_loaded"), approximate_p95),
+            *_counts(F.col("_counted")),
+        )
+    )
+
+
+def _with_reject_rate(row: DataFrame) -> DataFrame:
     rejected = F.col("clean_removed") + F.col("validation_rejected")
     return row.withColumn("rejected_total", rejected).withColumn(
         "reject_rate_pct", _pct(rejected, F.col("rows_initial"))

@@ -194,8 +194,7 @@ def q_kpi_latest(spark, sf_dir):
     """K7 with the original process's scope (Q10): the newest batch's run -- reject rate from that
     batch's rows, the other KPIs from the whole (cumulative) destination."""
     run = make_run(spark, sf_dir)
-    latest_tagged = run.tagged.where(F.col(S.BATCH_ID) == run.latest_batch.scalar())
-    values = kpis.kpi_values(run.destination, kpis.run_counts(latest_tagged))
+    values = kpis.run_kpi_values(run.tagged, F.col(S.BATCH_ID) == run.latest_batch.scalar())
     return kpis.kpi_report(kpis.combine_rows(values, run.latest_batch), keep=[S.BATCH_ID])
 
 
@@ -364,19 +363,17 @@ def q_anomaly_recall(spark, sf_dir):
 
 # ---- model ---------------------------------------------------------------------------------
 
-# Trees per forest in the registered queries (the API default is 300).
-QUERY_TREES = 30
 _MODEL_RUNS: dict = {}
 
 
 def _model_run(spark, sf_dir):
-    """Fit once per (session, input) in this process; the fit is the expensive part."""
+    """Fit once per (application, input) in this process; the fit is the expensive part."""
     from notifyq.plans.model import train_models
 
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODEL_RUNS:
         feats = profile.model_features(make_run(spark, sf_dir).tagged)
-        _MODEL_RUNS[key] = train_models(feats, num_trees=QUERY_TREES)
+        _MODEL_RUNS[key] = train_models(feats)
     return _MODEL_RUNS[key]
 
 

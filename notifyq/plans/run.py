@@ -105,7 +105,7 @@ class Run:
 
     @cached_property
     def kpi_values(self) -> DataFrame:
-        return kpis.kpi_values(self.destination, self.counts, approximate_p95=self.approximate_p95)
+        return kpis.run_kpi_values(self.tagged, approximate_p95=self.approximate_p95)
 
     @cached_property
     def kpi_report(self) -> DataFrame:
