@@ -32,6 +32,7 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--key-file", required=True)
         p.add_argument("--as-of", default=None, help="'now' for the future-timestamp rule")
         p.add_argument("--run-id", default=None)
+        p.add_argument("--newest", action="store_true", help="run: only the newest landing batch")
         p.add_argument("--master", default=None)
     p = sub.add_parser("kpis")
     p.add_argument("--root", required=True)
@@ -78,12 +79,11 @@ def main(argv: list[str] | None = None) -> int:
                 print(r.asDict())
         return 0
     if args.cmd == "run":
-        from notifyq.plans.runner import run_batch
-        from notifyq.sources.files import read_raw_csv
+        from notifyq.plans.runner import new_run_id, run_batch, stage_ingest
 
-        summary = run_batch(
-            spark, read_raw_csv(spark, args.landing), args.root, _key(args), run_id=args.run_id, as_of=as_of
-        )
+        run_id = args.run_id or new_run_id()
+        raw = stage_ingest(spark, args.landing, args.root, run_id, newest_only=args.newest)
+        summary = run_batch(spark, raw, args.root, _key(args), run_id=run_id, as_of=as_of)
         for k, v in summary.asDict().items():
             print(f"{k:>22}: {v}")
         return 0

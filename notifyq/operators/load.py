@@ -1,10 +1,12 @@
 """Load stage: protect ids (P12, P14), idempotent insert (J1, J2, K8, K11, U2),
 destination coercions (P15), reject audit rows (K9, P16), load audit (A11, K10).
 
-Idempotency is a join on ``notification_id``: the incoming rows are anti-joined with
-the destination ids (only that column is read from the destination). The destination
-is the large side and is shuffled by id unless it is bucketed by it. The audit is a
-second join over the same snapshot of the destination.
+Idempotency is a join on ``notification_id``. The ids that the destination holds already
+are found by an inner join, which reads only that column of the destination and can
+broadcast the incoming ids where they are few, so that the destination stays in place;
+an anti join could not broadcast its left side. The incoming rows are then anti-joined
+with those hits alone. ``load_audit`` counts both sides of one snapshot; a stored run
+takes its audit from the destination after the insert (``plans/runner``).
 """
 
 from __future__ import annotations
@@ -34,13 +36,13 @@ def destination_ids(destination: DataFrame) -> DataFrame:
 
 
 def existing_ids(batch: DataFrame, destination: DataFrame) -> DataFrame:
-    """The incoming ids that the destination already holds."""
-    return batch.select(ID).join(destination_ids(destination), ID, "left_semi")
+    """The incoming ids that the destination, whose ids are unique, already holds."""
+    return destination_ids(destination).join(batch.select(ID), ID)
 
 
 def new_rows(batch: DataFrame, destination: DataFrame) -> DataFrame:
     """Incoming rows whose id is not in the destination."""
-    return batch.join(destination_ids(destination), ID, "left_anti")
+    return batch.join(existing_ids(batch, destination), ID, "left_anti")
 
 
 def load_into(batch: DataFrame, destination: DataFrame) -> DataFrame:

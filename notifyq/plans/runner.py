@@ -7,7 +7,7 @@ Tables live under one root folder, which must be shared storage on a cluster:
     destination/batch_id=...                                K8, K11 (append, idempotent)
     load_audit/run_id=...                                   K10 (one partition per run)
     runs/{clean_metrics,validation_report,kpis}/run_id=...  K7 ("latest" = max_by)
-    manifest/                                               K2
+    raw/run_id=..., manifest/run_id=...                     K1, K2 (``stage_ingest``)
 
 The tagged rows are written once per run, partitioned by outcome: this cuts the lineage
 (a lost executor recomputes from that table, not from the raw scan and dedup join) and
@@ -33,6 +33,8 @@ from notifyq import schema as S
 from notifyq.functions.protect import FernetKey
 from notifyq.operators import kpis, load, validate
 from notifyq.plans.run import Run
+from notifyq.sources.files import only_latest_batch, read_raw_csv
+from notifyq.sources.manifest import file_manifest
 
 
 @dataclass(frozen=True)
@@ -66,6 +68,10 @@ class Tables:
     def validation_report(self) -> str:
         return self.path("runs/validation_report")
 
+    @property
+    def raw(self) -> str:
+        return self.path("raw")
+
     @property
     def manifest(self) -> str:
         return self.path("manifest")
@@ -95,6 +101,7 @@ DEST_SCHEMA = T.StructType(
         T.StructField("source_user_id_enc", T.StringType()),
         T.StructField(S.ROW_ORD, T.LongType()),
         T.StructField("loaded_at", T.TimestampNTZType()),
+        T.StructField("run_id", T.StringType()),
         T.StructField(S.BATCH_ID, T.StringType()),
     ]
 )
@@ -140,6 +147,10 @@ def _utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
+def new_run_id() -> str:
+    return _utc_now().strftime("%Y%m%d_%H%M%S")
+
+
 def read_tagged(spark: SparkSession, root: str, run_id: str, schema: T.StructType | None = None) -> DataFrame:
     """The stored clean + validate output of a run (the input of the later stages)."""
     path = Tables(root).tagged(run_id)
@@ -168,6 +179,26 @@ def _numbered_rejects(rej: DataFrame) -> DataFrame:
     return numbered.withColumn(S.ROW_ORD, F.xxhash64("_file", "_k")).drop("_file", "_n", "_k")
 
 
+def stage_ingest(
+    spark: SparkSession, landing: str | list[str], root: str, run_id: str, newest_only: bool = False
+) -> DataFrame:
+    """Ingest stage (K1, K2, S2): keep the landed rows and the manifest of their files under
+    the run's id, and return the kept rows, so that later stages read no CSV again.
+    ``newest_only`` keeps the batch whose file name sorts last."""
+    t = Tables(root)
+    raw = read_raw_csv(spark, landing)
+    if newest_only:
+        raw = only_latest_batch(raw)
+    raw.write.mode("overwrite").parquet(f"{t.raw}/run_id={run_id}")
+    kept = spark.read.schema(raw.schema).parquet(f"{t.raw}/run_id={run_id}")
+    files = file_manifest(spark, landing, paths=True)
+    if newest_only:
+        held = kept.select(F.col(f"{S.ROW_ORD}.file").alias("path")).distinct()
+        files = files.join(held, "path", "left_semi")
+    _write_run_row(files.withColumn("run_id", F.lit(run_id)), t.manifest)
+    return kept
+
+
 def stage_clean_validate(
     spark: SparkSession,
     raw: DataFrame,
@@ -235,8 +266,9 @@ def stage_load(
     source: str = "",
 ) -> Row:
     """Load stage (J1, J2, K8, K10, P12, P14): protect ids and insert the run's valid
-    rows that the destination does not hold yet; returns the audit row. The audit is one
-    aggregate over the same destination snapshot the insert reads (single writer)."""
+    rows that the destination does not hold yet; returns the audit row. The audit is read
+    from the destination after the insert: the rows stored under this ``run_id`` are the
+    inserted ones, also where an earlier try of the run had inserted them (single writer)."""
     now = _utc_now()
     t = Tables(root)
     k = key if isinstance(key, FernetKey) else FernetKey(key)
@@ -246,14 +278,31 @@ def stage_load(
         valid = valid.withColumn(S.ROW_ORD, F.xxhash64(S.ROW_ORD))
     protected = load.protect_ids(valid, k, int(time.time()))
     dest = read_or_empty(spark, t.destination, DEST_SCHEMA)
-    audit = load.load_audit(protected, dest, source=source or run_id).withColumn(
-        "run_id", F.lit(run_id)
-    ).withColumn("loaded_at", _now_literal(now))
+    load.new_rows(protected, dest).withColumns(
+        {"loaded_at": _now_literal(now), "run_id": F.lit(run_id)}
+    ).select(*[f.name for f in DEST_SCHEMA.fields]).hint("rebalance", S.BATCH_ID).write.mode(
+        "append"
+    ).partitionBy(S.BATCH_ID).parquet(t.destination)
+    rows_in = F.lit(valid.count()).cast("bigint")
+    audit = (
+        read_or_empty(spark, t.destination, DEST_SCHEMA)
+        .agg(
+            F.count_if(F.col("run_id") == run_id).alias("rows_inserted"),
+            F.count(F.lit(1)).alias("destination_total"),
+        )
+        .select(
+            F.lit(source or run_id).alias("source_file"),
+            rows_in.alias("rows_in"),
+            "rows_inserted",
+            (rows_in - F.col("rows_inserted")).alias("rows_already_present"),
+            "destination_total",
+            F.lit(load.CIPHER_NAME).alias("cipher"),
+            F.lit(run_id).alias("run_id"),
+            _now_literal(now).alias("loaded_at"),
+        )
+    )
     audit_row = audit.first()
     _write_run_row(spark.createDataFrame([audit_row], audit.schema), t.load_audit)
-    load.new_rows(protected, dest).withColumn("loaded_at", _now_literal(now)).select(
-        *[f.name for f in DEST_SCHEMA.fields]
-    ).hint("rebalance", S.BATCH_ID).write.mode("append").partitionBy(S.BATCH_ID).parquet(t.destination)
     return audit_row
 
 
@@ -291,7 +340,7 @@ def run_batch(
     summary row (A12). ``run_id`` names the run (P24: passed in, not read per stage).
     The stages can also be run one at a time on stored inputs: ``stage_clean_validate``,
     then ``stage_load`` and ``stage_kpis`` with the same ``run_id``."""
-    run_id = run_id or _utc_now().strftime("%Y%m%d_%H%M%S")
+    run_id = run_id or new_run_id()
     tagged, st = stage_clean_validate(spark, raw, root, run_id, as_of=as_of)
     audit_row = stage_load(spark, root, run_id, key, tagged=tagged, source=source)
     rows = stage_kpis(spark, root, run_id, stats=st)

@@ -1,14 +1,19 @@
 """Ingest: landing copy (K1) and file manifest (K2).
 
-The manifest hashes each file in its own task (``binaryFile`` + ``sha2``), so many files
-hash in parallel. A single file's bytes are one value, which caps one file at 2 GB --
-landing files are expected to be split well below that. Row counts come from a parsed
+The manifest lists the files with ``binaryFile`` (without their content) and hashes each in
+a task of its own, block by block, so neither the size nor the number of files matters to a
+task's memory. Row counts come from a parsed
 read grouped by file (Q12: parsed rows, not physical lines minus one), with the physical
 line count as a second field.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,23 +21,41 @@ from notifyq import schema as S
 from notifyq.sources.files import read_raw_csv
 
 
+#: Bytes read at once while hashing a file.
+HASH_BLOCK = 1 << 20
+
+
+def _sha256(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        digests = []
+        for uri in batch.column("path").to_pylist():
+            store, path = fs.FileSystem.from_uri(uri)
+            digest = hashlib.sha256()
+            with store.open_input_stream(path) as f:
+                while block := f.read(HASH_BLOCK):
+                    digest.update(block)
+            digests.append(digest.hexdigest())
+        yield batch.append_column("sha256", pa.array(digests, pa.string()))
+
+
 def file_hashes(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(path, source_file, bytes, modified_at, sha256) per file; the path tells files of one
     name in different folders apart."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(
+    files = spark.read.format("binaryFile").load(path).select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("source_file"),
         F.col("length").alias("bytes"),
         F.col("modificationTime").alias("modified_at"),
-        F.sha2(F.col("content"), 256).alias("sha256"),
     )
+    out = "path string, source_file string, bytes long, modified_at timestamp, sha256 string"
+    return files.mapInArrow(_sha256, out)
 
 
 def file_manifest(
-    spark: SparkSession, path: str | list[str], fmt: str = "csv", stage: str = S.STAGE_INGEST
+    spark: SparkSession, path: str | list[str], fmt: str = "csv", stage: str = S.STAGE_INGEST, paths: bool = False
 ) -> DataFrame:
-    """K2: one row per file: name, sha256, bytes, parsed rows, physical lines, stage."""
+    """K2: one row per file: name (and full path if asked for), sha256, bytes, parsed rows,
+    physical lines, stage."""
     hashes = file_hashes(spark, path)
     if fmt == "csv":
         parsed = read_raw_csv(spark, path).select(F.col(f"{S.ROW_ORD}.file").alias("path"))
@@ -48,6 +71,7 @@ def file_manifest(
     else:
         out = out.withColumn("lines", F.lit(None).cast("bigint"))
     return out.select(
+        *(["path"] if paths else []),
         "source_file",
         "sha256",
         "bytes",

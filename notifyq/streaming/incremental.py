@@ -64,7 +64,9 @@ def start_incremental_runs(
 
     def process(batch: DataFrame, epoch_id: int) -> None:
         raw = _with_row_ord(batch)
-        run_batch(spark, raw, root, key, run_id=f"epoch{epoch_id:08d}", as_of=as_of)
+        # The stream's own id keeps the epochs of streams with other checkpoints apart.
+        stream = spark.read.json(f"{location}/metadata").first()["id"]
+        run_batch(spark, raw, root, key, run_id=f"{stream}-epoch{epoch_id:08d}", as_of=as_of)
 
     writer = (
         landing_stream(spark, landing_dir, files_per_trigger)

@@ -2,6 +2,7 @@
 
 import csv
 import datetime as dt
+import hashlib
 import os
 
 import pytest
@@ -79,5 +80,8 @@ def test_csv_dialect(spark, workdir):
 def test_manifest_tells_files_of_one_name_apart(spark, workdir):
     write(f"{workdir}/x/n1.csv", [{}])
     write(f"{workdir}/y/n1.csv", [{}, {"notification_id": "N2"}])
-    got = file_manifest(spark, [f"{workdir}/x", f"{workdir}/y"]).collect()
+    got = file_manifest(spark, [f"{workdir}/x", f"{workdir}/y"], paths=True).collect()
+    for r in got:
+        with open(r.path.removeprefix("file:").replace("///", "/"), "rb") as f:
+            assert hashlib.sha256(f.read()).hexdigest() == r.sha256
     assert sorted((r.source_file, r.rows, r.lines) for r in got) == [("n1.csv", 1, 2), ("n1.csv", 2, 3)]

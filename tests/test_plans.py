@@ -30,6 +30,30 @@ def test_destination_side_of_the_load_reads_only_the_key(spark, workdir):
     assert dest_scans and all("ReadSchema: struct<notification_id:string>" in ln for ln in dest_scans)
 
 
+def test_few_incoming_ids_leave_a_large_destination_in_place(spark, workdir):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        ids = F.concat(F.lit("N"), F.col("id").cast("string")).alias("notification_id")
+        spark.range(300_000).select(ids, F.lit("x" * 20).alias("device")).write.parquet(f"{workdir}/dest")
+        spark.range(299_950, 300_050).select(ids, F.lit("y").alias("device")).write.parquet(f"{workdir}/batch")
+        batch, dest = spark.read.parquet(f"{workdir}/batch"), spark.read.parquet(f"{workdir}/dest")
+        new = load.new_rows(batch, dest)
+        assert new.count() == 50
+        lines = _plan(new).splitlines()
+        scan = next(k for k, ln in enumerate(lines) if "FileScan" in ln and "/dest" in ln)
+        indent = lambda ln: len(ln) - len(ln.lstrip(" :+-"))
+        above, depth = [], indent(lines[scan])
+        for ln in reversed(lines[:scan]):
+            if indent(ln) < depth:
+                depth = indent(ln)
+                above.append(ln)
+        joined = next(k for k, ln in enumerate(above) if "Join" in ln)
+        assert "BroadcastHashJoin" in above[joined] and not any("Exchange" in ln for ln in above[:joined])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_no_cartesian_products_in_registered_queries(spark):
     skip = {"model_comparison", "best_model", "confusion_matrix", "roc_points", "scored_rows",
             "stratified_split", "class_weights", "file_manifest"}

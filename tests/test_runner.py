@@ -91,7 +91,8 @@ def test_retried_run_replaces_its_own_run_rows(spark, workdir):
     for _ in range(2):  # the same run id twice, as after a driver failure
         run_batch(spark, read_raw_csv(spark, landing), root, key, run_id="r1")
     t = Tables(root)
-    assert spark.read.parquet(t.load_audit).count() == 1
+    audit = spark.read.parquet(t.load_audit).collect()
+    assert [(r.rows_inserted, r.rows_already_present, r.destination_total) for r in audit] == [(664, 0, 664)]
     assert spark.read.parquet(t.kpis).count() == 5
     assert spark.read.parquet(t.destination).count() == 664
 
@@ -107,6 +108,14 @@ def test_command_line_run_and_kpis(spark, workdir, capsys):
     assert main(["run", "--landing", landing, "--root", root, "--key-file", key_file, "--run-id", "c1"]) == 0
     out = capsys.readouterr().out
     assert "rows_inserted: 664" in out and "kpis_met: 2/5" in out
+    manifest = spark.read.parquet(Tables(root).manifest)
+    assert manifest.agg(F.sum("rows")).first()[0] == spark.read.parquet(Tables(root).raw).count() == 1000
+    newest = os.path.join(workdir, "newest")
+    assert main(["run", "--landing", landing, "--root", newest, "--key-file", key_file, "--run-id", "c2", "--newest"]) == 0
+    held = spark.read.parquet(Tables(newest).manifest).collect()
+    assert [r.source_file for r in held] == ["notifications_20240130.csv"]
+    assert {r.batch_id for r in spark.read.parquet(Tables(newest).raw).collect()} == {"notifications_20240130"}
+    capsys.readouterr()
     assert main(["kpis", "--root", root]) == 0
     assert "p95_latency_ms" in capsys.readouterr().out
 
