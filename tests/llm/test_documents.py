@@ -153,6 +153,30 @@ def test_leaks_copies_and_paraphrases(spark):
     assert decontaminate.leak_report(frame(spark, rows).limit(0), bench).count() == 0
 
 
+def held_items(rows, items, words=13):
+    """(doc_id, item) of each document that holds all n-grams of an item."""
+    grams = lambda t: {tuple(t[k : k + words]) for k in range(len(t) - words + 1)}
+    texts = [(i, grams(t.lower().split())) for i, t in rows]
+    where = {}
+    for i, g in texts:
+        for x in g:
+            where.setdefault(x, set()).add(i)
+    return {(i, k) for k, t in enumerate(items) for i in set.intersection(*(where.get(x, set()) for x in grams(t.lower().split())))}
+
+
+def test_copies_are_found_whatever_the_size_of_the_benchmark(spark):
+    """2,000 texts, far more passages than one latent space has dimensions."""
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{k}" for k in rng.zipf(1.3, 300) % 20_000)) for i in range(400)]
+    items = [" ".join(t.split()[at : at + 50]) for _, t in rows for at in range(3, 250, 59)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    truth = held_items(rows, items)
+    assert len(items) == 2000 and len(truth) >= 2000
+    for rules in (None, decontaminate.Rules(held=600)):
+        got = decontaminate.leak_report(frame(spark, rows), bench, rules).collect()
+        assert truth <= {(r.doc_id, i) for r in got for i in r.item_ids}
+
+
 def test_common_words_is_the_longest_common_subsequence():
     rnd = random.Random(6)
     for _ in range(50):
