@@ -177,6 +177,19 @@ def test_copies_are_found_whatever_the_size_of_the_benchmark(spark):
         assert truth <= {(r.doc_id, i) for r in got for i in r.item_ids}
 
 
+def test_a_copied_part_of_a_long_text_is_a_leak(spark):
+    rnd = random.Random(12)
+    some = lambda n: ["".join(rnd.choices("abcdefghij", k=5)) for _ in range(n)]
+    text, short = some(150), some(59)
+    put = lambda *parts: " ".join(some(90) + [w for p in parts for w in p] + some(90))
+    parts = {1: text[40:100], 2: text[-50:], 3: text[20:44], 4: text[64:96], 5: text[0:8] + text[50:58] + text[140:148], 6: short[:25], 7: text[14:24]}
+    rows = [(k, put(p)) for k, p in parts.items()] + [(8, put(w for k, w in enumerate(text[60:130]) if k % 8)), (9, put(some(60)))]
+    bench = spark.createDataFrame([(0, " ".join(text)), (1, " ".join(short))], "item_id long, text string")
+    got = {r.doc_id: (r.item_ids, round(r.overlap * 150)) for r in decontaminate.leak_report(frame(spark, rows), bench).collect()}
+    assert {k for k, v in got.items() if v[0] == [0]} == {1, 2, 3, 4, 8} and {k for k, v in got.items() if not v[0]} == {5, 6, 7, 9}
+    assert got[1][1] >= 60 and got[2][1] >= 50
+
+
 def test_common_words_is_the_longest_common_subsequence():
     rnd = random.Random(6)
     for _ in range(50):
