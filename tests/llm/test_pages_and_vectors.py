@@ -42,6 +42,33 @@ def test_main_texts_of_hosts(spark):
     assert html_text.extract_main_text(pages.limit(0)).count() == 0
 
 
+def test_rare_boilerplate_of_a_large_host(spark, monkeypatch):
+    """A notice on 3 of 900 pages of a host goes, however its pages are dealt to runs; a text
+    on 2 pages, on copies of one page, or on other hosts stays."""
+    notice, twice, copied, far = (" ".join(f"{x}{k}" for k in range(12)) for x in ("Notice", "Twice", "Copied", "Far"))
+    own = lambda k: f"<p>Page {k} {' '.join(f'w{k}x{i}' for i in range(9))}</p>"
+    html = {k: own(k) for k in range(900)}
+    for k in (5, 333, 801):
+        html[k] += f"<p>{notice}</p>"
+    for k in (17, 600):
+        html[k] += f"<p>{twice}</p>"
+    for k in (40, 300, 500, 700):
+        html[k] = f"{own(40)}<p>{copied}</p>"
+    rows = [(k, f"http://big.example/{k}", x) for k, x in html.items()]
+    rows += [(1000 + k, f"http://h{k}.example/", f"{own(1000 + k)}<p>{far}</p>") for k in range(4)]
+    rows.append((2000, "http://big.example/a", f"<article><p>Body</p></article><p>{notice}</p>"))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = []
+    for array_pages, chars in ((256, 4_000_000), (1000, 4_000_000), (256, 300)):
+        monkeypatch.setattr(html_text, "ARRAY_PAGES", array_pages)
+        monkeypatch.setattr(html_text, "ARRAY_CHARS", chars)
+        found.append({r.page_id: r.text for r in html_text.extract_main_text(pages).collect()})
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+    holds = lambda x: sorted(k for k, t in found[0].items() if x in t)
+    assert holds("Notice") == [] and holds(twice) == [17, 600] and holds(copied) == [40, 300, 500, 700] and holds(far) == [1000, 1001, 1002, 1003]
+    assert found[0][5] == " ".join(["Page 5", *(f"w5x{i}" for i in range(9))]) and found[0][2000] == "Body"
+
+
 URLS = [
     "https://a.example.org/es/1", "http://EXAMPLE.org/en/12?x", "http://x.org", "http://x.org/", "http://x.com/de/1#f", "http://x.com/fr/", "https://net",
     "ftp://u@b.co.com/de/", None, "", "no scheme", "http://notexample.org/es/", "//a", "http://a://b.org/", "http://.org/x", "http://y.com/De/", "http://x.org/",
