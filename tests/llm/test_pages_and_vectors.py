@@ -21,6 +21,20 @@ def test_blocks_of_a_page():
     assert html_text.blocks("<nav>menu<article><p>body</p></article>")[-1] == (html_text.MAIN, "body")
 
 
+def test_names_that_only_contain_a_furniture_word_are_kept():
+    main = lambda page: [t for label, t in html_text.blocks(page) if label != html_text.FURNITURE]
+    for page in (
+        '<article class="post no-sidebar"><p>text</p></article>', '<article class="entry comments-open sponsored">text</article>',
+        '<div class="content-sidebar-wrap"><p>text</p></div>', '<article><section id="related-work">text</section></article>',
+        '<article><p class="notice">text</p></article>', "<article><p><math><mi>text</mi></math></p></article>",
+        "<article><svg><style>a{}</style><text>text</text></svg></article>", "<article><object>text</object></article>",
+    ):
+        assert main(page) == ["text"], page
+    for name in ("sidebar", "cookie-notice", "site-footer", "post-x comments-area", "share_buttons", "ad", "notice"):
+        assert main(f'<div class="{name}">menu</div><p>text</p>') == ["text"], name
+    assert main('<article>text</article><article class="comment">nice</article>') == ["text"]
+
+
 def test_repeated_windows():
     same = "this line stands on every page of the host".split()
     pages = [[f"w{k}{i}" for i in range(12)] + same + [f"v{k}{i}" for i in range(5)] for k in range(4)]
