@@ -12,6 +12,7 @@ while recall falls short, classes are dealt to more shards.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,6 +23,8 @@ from pyspark.sql import functions as F
 
 from notifyq.llm.common import components, stored
 
+_LOG = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Graph:
@@ -41,9 +44,11 @@ class Graph:
     beam: int = 12
     #: A search goes on through everything of this cosine, wider than the one asked for.
     range_cosine: float = 0.85
-    #: The audit: classes whose hash falls in one of so many, of which at most audit_rows;
-    #: and the recall that they must reach.
+    #: The audit: classes of its first pass, each further one drawing twice as many; pairs to
+    #: be seen; passes at most; and the recall to be reached.
     audit_rows: int = 256
+    audit_links: int = 200
+    audit_passes: int = 4
     recall: float = 0.98
     #: Bounded sample from which centroids are fitted.
     sample: int = 16_384
@@ -220,8 +225,8 @@ def _united(members: DataFrame, g: Graph) -> DataFrame:
 
 
 def _searched(members: DataFrame, queries: DataFrame, g: Graph) -> DataFrame:
-    """Rows (root, links, other): the rows linked with a class, counted where its pair is at
-    home, and edges to one member of each connected part of the block that it links with.
+    """Rows (root, links, other, pairs): the rows and classes linked with a class, counted where
+    its pair is at home, and edges to one member of each connected part of the block that it links with.
 
     A pair that shares several shards is counted in the first of them only."""
     place = lambda salt: F.xxhash64("shard", "block", salt).alias("place")
@@ -235,7 +240,7 @@ def _searched(members: DataFrame, queries: DataFrame, g: Graph) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, block = None, None
         for b in batches:
-            out: list[tuple[int, int, int | None]] = []
+            out: list[tuple[int, int, int | None, int]] = []
             names = ("place", "kind", "shard", "shards", "root", "size", "unit", "near")
             for at, kind, shard, shards, root, size, raw, near in zip(*(b.column(c).to_pylist() for c in names), strict=True):
                 if at != place:
@@ -244,10 +249,10 @@ def _searched(members: DataFrame, queries: DataFrame, g: Graph) -> DataFrame:
                     block.add(shards, root, size, raw, near or [])
                 else:
                     out += block.search(shard, shards, root, raw)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(3)], ["root", "links", "other"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(4)], ["root", "links", "other", "pairs"])
 
     met = rows.repartition("place").sortWithinPartitions("place", "kind", "root")
-    return met.mapInArrow(search, "root long, links long, other long")
+    return met.mapInArrow(search, "root long, links long, other long, pairs long")
 
 
 class _Block:
@@ -270,7 +275,7 @@ class _Block:
         self.near = reachable(lists, self.medoid)
         self.part = np.arange(len(self.rows))
 
-    def search(self, shard: str, shards: list[str], root: int, raw: bytes) -> list[tuple[int, int, int | None]]:
+    def search(self, shard: str, shards: list[str], root: int, raw: bytes) -> list[tuple[int, int, int | None, int]]:
         if not self.ready:
             self._open()
         found = range_search(np.frombuffer(raw, np.float64), self.vectors, self.near, self.medoid, self.g)
@@ -281,17 +286,32 @@ class _Block:
         links = int(self.sizes[at_home].sum())
         # What a query links with is connected by it: later queries need one edge for it.
         parts, first = np.unique(self.part[found], return_index=True)
-        edges = [(root, 0, int(x)) for x in self.roots[found[first]]]
+        edges = [(root, 0, int(x), 0) for x in self.roots[found[first]]]
         self.part[np.isin(self.part, parts)] = parts[0]
-        return [(root, links, None), *edges]
+        return [(root, links, None, len(at_home)), *edges]
+
+
+def recall(classes: DataFrame, links: DataFrame, g: Graph) -> float | None:
+    """Share of the truly linked pairs of classes that were found, or None if none was seen.
+
+    Classes drawn by a hash are compared with all of their label by brute force in blocks;
+    passes of growing size draw on until ``audit_links`` pairs were seen, all classes are
+    used or ``audit_passes`` are done, so the work grows with the table and not its square."""
+    most = g.audit_rows * ((1 << g.audit_passes) - 1)
+    picked = classes.orderBy(F.xxhash64("root", F.lit(7)), "root").limit(most).select("root", "label", "unit").collect()
+    found = links.groupBy("root").agg(F.sum("pairs").alias("found"))
+    true = got = at = 0
+    for k in range(g.audit_passes):
+        some, at = picked[at : at + (g.audit_rows << k)], at + (g.audit_rows << k)
+        if not some or true >= g.audit_links:
+            break
+        seen = _true_pairs(classes, some, g).join(found, "root", "left").agg(F.sum("true"), F.sum(F.coalesce("found", F.lit(0)))).first()
+        true, got = true + (seen[0] or 0), got + (seen[1] or 0)
+    return got / true if true else None
 
 
-def recall(classes: DataFrame, links: DataFrame, g: Graph) -> float:
-    """Share of the truly linked rows that were found, for a bounded set of classes against
-    all of their label by brute force in blocks. Counts are of rows, without a class's own."""
-    picked = classes.orderBy(F.xxhash64("root", F.lit(7)), "root").limit(g.audit_rows).select("root", "label", "unit").collect()
-    if not picked:
-        return 1.0
+def _true_pairs(classes: DataFrame, picked: list, g: Graph) -> DataFrame:
+    """(root, true): how many other classes each of the picked ones is truly linked with."""
     by_label: dict[str, list] = {}
     for r in picked:
         by_label.setdefault(r["label"], []).append((r["root"], r["unit"]))
@@ -299,21 +319,20 @@ def recall(classes: DataFrame, links: DataFrame, g: Graph) -> float:
 
     def brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            roots, sizes, labels = np.asarray(b.column("root")), np.asarray(b.column("size")), np.array(b.column("label").to_pylist())
+            roots, labels = np.asarray(b.column("root")), np.array(b.column("label").to_pylist())
             out = []
             for label, queries in sent.value.items():
                 at = np.flatnonzero(labels == label)
-                if len(at):
-                    units = _matrix(b.column("unit").take(pa.array(at)))
-                    for root, raw in queries:
-                        hit = (units @ np.frombuffer(raw, np.float64) >= g.cosine) & (roots[at] != root)
-                        out.append((root, int(sizes[at][hit].sum())))
+                units = _matrix(b.column("unit").take(pa.array(at))) if len(at) else None
+                for lo in range(0, len(queries) if len(at) else 0, 256):
+                    own = np.array([root for root, _ in queries[lo : lo + 256]], np.int64)
+                    asked = np.stack([np.frombuffer(raw, np.float64) for _, raw in queries[lo : lo + 256]])
+                    hit = (units @ asked.T >= g.cosine) & (roots[at][:, None] != own)
+                    out += zip(own.tolist(), hit.sum(0).tolist(), strict=True)
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], ["root", "true"])
 
-    true = classes.select("root", "size", "label", "unit").mapInArrow(brute, "root long, true long").groupBy("root").agg(F.sum("true").alias("true"))
-    found = links.groupBy("root").agg(F.sum("links").alias("found"))
-    got = true.join(found, "root", "left").agg(F.sum("true"), F.sum(F.coalesce("found", F.lit(0)))).first()
-    return 1.0 if not got[0] else got[1] / got[0]
+    made = classes.select("root", "label", "unit").mapInArrow(brute, "root long, true long")
+    return made.groupBy("root").agg(F.sum("true").alias("true"))
 
 
 def near_duplicates(rows: DataFrame, g: Graph | None = None) -> DataFrame:
@@ -333,7 +352,12 @@ def near_duplicates(rows: DataFrame, g: Graph | None = None) -> DataFrame:
         members, queries = _blocked(_dealt(classes, centroids, overlap), g)
         united = stored(_united(members, g))
         found = stored(_searched(members.join(united, "root"), queries, g))
-        if overlap >= most or recall(classes, found, g) >= g.recall:
+        if overlap >= most:
+            break
+        share = recall(classes, found, g)
+        if share is None:
+            _LOG.warning("recall not measured: the audited classes have no links")
+        if share is None or share >= g.recall:
             break
         overlap *= 2
     reached = components(stored(found.filter("other IS NOT NULL").select(F.col("root").alias("a"), F.col("other").alias("b"))))

@@ -148,3 +148,20 @@ def test_vectors_by_brute_force(spark):
         assert (got[k].n_links, got[k].component_id, got[k].kept) == (0, k, True)
     assert (got[None].n_links, got[None].component_id, got[None].kept) == (0, None, False)
     assert embedding_dedup.near_duplicates(frame.limit(0)).count() == 0
+
+
+def test_recall_is_of_class_pairs_and_draws_on(spark):
+    """Classes on a circle of 1,000 apart, of which some have a near twin."""
+    g = embedding_dedup.Graph(cosine=0.9999999)
+    angle = lambda k: k * 2 * np.pi / 1000
+
+    def audit(twins, found, sizes):
+        at = {k: angle(k) for k in range(1000)} | {1000 + k: angle(k) + 1e-5 for k in twins}
+        rows = [(r, "a", sizes.get(r, 1), bytearray(np.array([np.cos(a), np.sin(a)]).tobytes())) for r, a in at.items()]
+        links = [(r, sizes.get(o, 1), None, 1) for k in found for r, o in ((k, 1000 + k), (1000 + k, k))]
+        classes = spark.createDataFrame(rows, "root long, label string, size long, unit binary")
+        return embedding_dedup.recall(classes, spark.createDataFrame(links, "root long, links long, other long, pairs long"), g)
+
+    assert audit([], [], {}) is None
+    assert audit(range(20), [3], {3: 100_000, 1003: 100_000}) == pytest.approx(1 / 20)  # not 0.9998, as by rows
+    assert audit([7], [], {}) == 0.0 and audit([7], [7], {}) == 1.0  # a rare link is seen
