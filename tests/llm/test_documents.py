@@ -211,3 +211,23 @@ def test_pipeline_stages_keep_the_columns(spark):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
         assert 0 < docs.count() <= n
     assert corpus_pipeline.run(spark, "/root/testdata/sf0.001").count() == docs.count()
+
+
+def test_pipeline_stages_by_plain_python(spark):
+    """Line dedup and Jaccard stages give the rows that plain Python does; decontamination
+    drops every document that holds all 13-grams of a benchmark text."""
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").filter("length(text) < 4000").cache()
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = stages["line_dedup"](spark, docs, folder).collect()
+    assert sorted([(r.doc_id, r.text) for r in got], key=str) == sorted([(i, t) for i, t, _ in brute_lines(rows)], key=str)
+    assert all(r.n_chars == len(r.text) for r in got)
+    kept = [r.doc_id for r in stages["jaccard_join"](spark, docs, folder).collect()]
+    assert sorted(kept) == sorted({i for i, _, c in brute_components(rows, 5, 80) if c == i})
+    items = [r.text for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    left = {r.doc_id for r in stages["decontamination"](spark, docs, folder).collect()}
+    held = {i for i, _ in held_items(rows, items)}
+    assert held and not held & left and len(left) > len(rows) / 2
