@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notifyq.llm import bpe_codec, decontaminate, embedding_dedup, html_text, jaccard_join, line_dedup, quality, token_counts, training_order, url_filters
+from notifyq.llm import bpe_codec, decontaminate, embedding_dedup, hard_negatives, html_text, jaccard_join, language_id, lexical_search, line_dedup, quality, token_counts, training_order, url_filters
 from notifyq.llm.bpe_tables import PRE_TOKEN
 from notifyq.llm.common import table
 from notifyq.session import checkpoint_dir
@@ -85,11 +85,27 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", moved.alias("label"), "embedding")
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_line_dedup, op3_quality_classifier, op4_html_text, op5_jaccard_join, op6_bpe_codec,
-        op7_training_order, op8_decontamination, op9_embedding_dedup, op10_url_filters,
+        op7_training_order, op8_decontamination, op9_embedding_dedup, op10_url_filters, op11_hard_negatives,
+        op12_language_id, op13_lexical_search,
     )
 }
 
@@ -131,4 +147,48 @@ judged AS (
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged""",
+    "op11_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other_id)::INT AS rank,
+  n.other_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+QUALIFY rank <= 5""",
+    "op13_lexical_search": r"""
+WITH words AS (
+  SELECT rid, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT *, row_number() OVER () AS rid FROM documents)),
+lengths AS (SELECT rid, any_value(doc_id) AS doc_id, count(*) AS n FROM words GROUP BY rid),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM lengths),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL),
+postings AS (
+  SELECT rid, term, count(*) AS tf FROM words WHERE term IN (SELECT term FROM items) GROUP BY rid, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM postings GROUP BY term), total),
+scores AS (
+  SELECT item_id, rid, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // terms))))::BIGINT AS score
+  FROM items JOIN postings USING (term) JOIN weights USING (term) JOIN lengths USING (rid), total
+  GROUP BY item_id, rid)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scores JOIN lengths USING (rid) WHERE score > 0 AND doc_id IS NOT NULL)
+WHERE rank <= 10""",
 }
