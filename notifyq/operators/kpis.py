@@ -1,9 +1,9 @@
 """KPI stage.
 
 All KPIs of a run come from one global aggregate over the tagged rows: a partial aggregate
-per task plus a single-row merge. A stored destination has its own aggregate. The exact
-P95 (``percentile``) keeps a value -> count map, so its state is bounded by the number
-of distinct latencies, not by rows; ``approx_percentile`` is available as an option.
+per task plus a single-row merge. Its exact P95 (``percentile``) keeps a value -> count map of
+the whole milliseconds; ``approx_percentile`` is available as an option. A stored destination,
+which grows without end, has its own aggregate and finds its P95 by distributed selection.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notifyq import schema as S
+from notifyq.operators.quantiles import exact_percentiles
 
 
 def _d(x: float) -> Column:
@@ -55,6 +56,15 @@ def _measures(present: Sequence[str], rows: Column, approximate_p95: bool) -> li
     ]
 
 
+def stored_measures(destination: DataFrame, mandatory: Sequence[str] = S.MANDATORY_COLUMNS) -> DataFrame:
+    """``destination_measures`` of a stored table of any size: the exact P95 by distributed
+    selection over its two columns, instead of a buffer of all distinct latencies."""
+    sent = destination.where(sent_with_latency())
+    p95 = exact_percentiles(sent, F.col("latency_ms"), [S.LATENCY_PERCENTILE])[0]
+    row = destination_measures(destination, mandatory, approximate_p95=True)
+    return row.withColumn("p95_latency_ms", _d(0.0 if p95 is None else p95))
+
+
 def destination_measures(
     destination: DataFrame,
     mandatory: Sequence[str] = S.MANDATORY_COLUMNS,
@@ -91,9 +101,12 @@ def combine_rows(*frames: DataFrame) -> DataFrame:
 
 def kpi_values(destination: DataFrame, counts: DataFrame, approximate_p95: bool = False) -> DataFrame:
     """One row with the five unrounded KPI values and their inputs."""
-    return _with_reject_rate(
-        combine_rows(destination_measures(destination, approximate_p95=approximate_p95), counts)
-    )
+    return with_counts(destination_measures(destination, approximate_p95=approximate_p95), counts)
+
+
+def with_counts(measures: DataFrame, counts: DataFrame) -> DataFrame:
+    """The measures of a destination and the counts of a run as one row of KPI values."""
+    return _with_reject_rate(combine_rows(measures, counts))
 
 
 def run_kpi_values(

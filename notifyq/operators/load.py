@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from notifyq import schema as S
 from notifyq.functions.protect import FernetKey, encrypt_columns
@@ -95,6 +96,16 @@ def destination_coercions(destination: DataFrame) -> DataFrame:
     return out
 
 
+def payload_counts(audit: DataFrame, field: str) -> DataFrame:
+    """Rejects by stage and one field of their payload, which may be JSON text or a variant;
+    a payload without the field counts under null."""
+    payload = F.col("payload")
+    if isinstance(audit.schema["payload"].dataType, T.StringType):
+        payload = F.parse_json(payload)
+    value = F.variant_get(payload, f"$.{field}", "string")
+    return audit.select("stage", value.alias(field)).groupBy("stage", field).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @dataclass
 class RejectPayloadOptions:
     mask_ids: bool = True

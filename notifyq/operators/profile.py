@@ -4,8 +4,8 @@ Labelled rows are the tagged frame itself: every input row is either valid (labe
 rejected at clean or validation (label 1), so "valid union rejected" is a projection,
 not a union of two scans. Every profile is a global or low-cardinality aggregate:
 partial aggregation per task, then a merge of at most a few hundred groups. Exact
-median/percentiles and modes keep a value -> count map per group, bounded by the
-number of distinct values (latencies, categories), not by rows.
+percentiles are found by distributed selection and modes by counting values first
+(``quantiles``), so no buffer holds all distinct values.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from notifyq import schema as S
 from notifyq.functions.text import is_feature_blank, strip_ws
+from notifyq.operators.quantiles import exact_percentiles, modes
+from notifyq.session import checkpoint_dir
 
 LABELLED_COLUMNS = S.RAW_COLUMNS + ["reject_reason", "label"]
 
@@ -109,23 +111,27 @@ def null_profile(labelled: DataFrame, columns: Sequence[str] = LABELLED_COLUMNS)
 
 
 def latency_stats(tagged: DataFrame) -> DataFrame:
-    """Mean, median, mode (smallest on ties), min, p25, p75, max; 1 digit."""
-    lat = F.col("latency_num")
-    q = F.percentile(lat, F.array(F.lit(0.5), F.lit(0.25), F.lit(0.75)))
-    row = tagged.agg(
-        F.avg(lat).alias("mean"),
-        q.alias("_q"),
-        F.mode(lat, True).alias("mode"),
-        F.min(lat).alias("min"),
-        F.max(lat).alias("max"),
+    """Mean, median, mode (smallest on ties), min, p25, p75, max; 1 digit.
+
+    The latencies alone are kept in the checkpoint folder, as the exact percentiles take a few
+    passes (``quantiles``); the mode is the best of the counted values."""
+    checkpoint_dir(tagged.sparkSession)
+    kept = tagged.select(F.col("latency_num").alias("v")).where(F.col("v").isNotNull()).checkpoint()
+    median, p25, p75 = exact_percentiles(kept, F.col("v"), [0.5, 0.25, 0.75])
+    counted = kept.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    row = counted.agg(
+        F.try_divide(F.sum(F.col("v") * F.col("n")), F.sum("n")).alias("mean"),
+        F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"].alias("mode"),
+        F.min("v").alias("min"),
+        F.max("v").alias("max"),
     )
     measures = [
         ("mean", F.col("mean")),
-        ("median", F.col("_q")[0]),
+        ("median", F.lit(median)),
         ("mode", F.col("mode")),
         ("min", F.col("min")),
-        ("p25", F.col("_q")[1]),
-        ("p75", F.col("_q")[2]),
+        ("p25", F.lit(p25)),
+        ("p75", F.lit(p75)),
         ("max", F.col("max")),
     ]
     items = F.array(
@@ -138,10 +144,15 @@ def latency_stats(tagged: DataFrame) -> DataFrame:
 
 
 def category_modes(labelled: DataFrame, columns: Sequence[str] = S.PROFILE_CATEGORIES) -> DataFrame:
-    """Most frequent value per category column (nulls ignored, ties -> smallest)."""
-    row = labelled.agg(*[F.mode(F.col(c), True).alias(c) for c in columns])
-    items = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("mode")) for c in columns])
-    return row.select(F.inline(items))
+    """Most frequent value per category column (nulls ignored, ties -> smallest).
+
+    Equal rows of the categories are counted first, inside each task and then by key; only
+    their counts are unpivoted, counted by (column, value), and the best of them taken."""
+    tuples = labelled.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+    each = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("mode")) for c in columns])
+    counted = tuples.select("n", F.inline(each)).groupBy("variable", "mode").agg(F.sum("n").alias("n"))
+    # A column without a value keeps its row, with a null mode.
+    return modes(counted, ["variable"], "mode", "n")
 
 
 def value_counts(labelled: DataFrame, column: str) -> DataFrame:

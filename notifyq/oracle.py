@@ -362,6 +362,9 @@ ORACLE: dict[str, str] = {
           row_ord, batch_id
         FROM tagged WHERE reject_reason IS NOT NULL"""
     ),
+    "reject_payload_counts": _q(
+        "SELECT stage, country, count(*) AS rows FROM tagged WHERE reject_reason IS NOT NULL GROUP BY stage, country"
+    ),
     "table_counts": _q(
         """SELECT 'destination' AS table_name, count(*) AS rows FROM dest
         UNION ALL SELECT 'rejected', count(*) FROM tagged WHERE reject_reason IS NOT NULL

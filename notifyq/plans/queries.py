@@ -255,6 +255,11 @@ def q_reject_audit(spark, sf_dir):
     return load.reject_audit(make_run(spark, sf_dir).rejected)
 
 
+def q_reject_payload_counts(spark, sf_dir):
+    """Rejects by stage and the country in their payload, read as a variant."""
+    return load.payload_counts(load.reject_audit(make_run(spark, sf_dir).rejected), "country")
+
+
 def q_table_counts(spark, sf_dir):
     """Rows in destination, rejected and load_audit after the run."""
     run = make_run(spark, sf_dir)
@@ -474,6 +479,7 @@ QUERIES: dict[str, QueryFn] = {
     "masked_ids": q_masked_ids,
     "load_audit": q_load_audit,
     "reject_audit": q_reject_audit,
+    "reject_payload_counts": q_reject_payload_counts,
     "table_counts": q_table_counts,
     "run_summary": q_run_summary,
     "labelled_rows": q_labelled_rows,

@@ -3,20 +3,22 @@
 Tables live under one root folder, which must be shared storage on a cluster:
 
     stage/tagged/run_id=.../outcome=valid|clean|validate   K3, K5, K6 (one write)
-    rejected/stage=.../batch_id=...                         K4, K6, K9 (append, idempotent)
-    destination/batch_id=...                                K8, K11 (append, idempotent)
-    load_audit/run_id=...                                   K10 (one partition per run)
+    rejected/load_id=.../stage=.../batch_id=...             K4, K6, K9 (published, idempotent)
+    destination/load_id=.../batch_id=...                    K8, K11 (published, bucketed by id)
+    commits/table=.../run_id=...                            which tries' rows are visible
+    load_audit/run_id=...                                   K10 (published with the destination)
     runs/{clean_metrics,validation_report,kpis}/run_id=...  K7 ("latest" = max_by)
     raw/run_id=..., manifest/run_id=...                     K1, K2 (``stage_ingest``)
 
 The tagged rows are written once per run, partitioned by outcome: this cuts the lineage
 (a lost executor recomputes from that table, not from the raw scan and dedup join) and
-both sinks read their partition instead of recomputing the tagging twice. Re-running the
-same input changes nothing: destination rows are anti-joined on ``notification_id``,
-reject rows on ``(batch_id, stage, row_ord)`` (the original process appended them again, Q9),
-and a retried run replaces its own audit, metric and KPI rows (dynamic partition
-overwrite of its ``run_id``).
-Parquet appends are not transactional, so one writer per root is assumed.
+both sinks read their partition instead of recomputing the tagging twice. Both sinks are
+written, checked against the constraints of their table and then published
+(``sources/published``): a run that ends in between leaves no visible row, and its retry
+starts afresh. Re-running the same input changes nothing: destination rows
+are anti-joined on ``notification_id``, reject rows on ``(batch_id, stage, row_ord, payload)``
+(the original process appended them again, Q9), and a retried run replaces its own metric and
+KPI rows (dynamic partition overwrite of its ``run_id``). One writer per root is assumed.
 """
 
 from __future__ import annotations
@@ -31,10 +33,12 @@ from pyspark.sql import types as T
 
 from notifyq import schema as S
 from notifyq.functions.protect import FernetKey
-from notifyq.operators import kpis, load, validate
+from notifyq.operators import constraints, kpis, load, validate
 from notifyq.plans.run import Run
-from notifyq.sources.files import only_latest_batch, read_raw_csv
+from notifyq.sources import published
+from notifyq.sources.files import exact_path, newest_file, read_raw_csv
 from notifyq.sources.manifest import file_manifest
+from notifyq.sources.published import path_exists, read_or_empty
 
 
 @dataclass(frozen=True)
@@ -80,20 +84,6 @@ class Tables:
         return self.path(f"stage/tagged/run_id={run_id}")
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
-
-
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A run table with its known schema (an empty write leaves no file to infer from)."""
-    if path_exists(spark, path):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
-
-
 DEST_SCHEMA = T.StructType(
     [f for f in S.VALID_SCHEMA.fields if f.name not in ("user_id", "source_user_id")]
     + [
@@ -102,6 +92,8 @@ DEST_SCHEMA = T.StructType(
         T.StructField(S.ROW_ORD, T.LongType()),
         T.StructField("loaded_at", T.TimestampNTZType()),
         T.StructField("run_id", T.StringType()),
+        # Partition columns.
+        T.StructField("load_id", T.StringType()),
         T.StructField(S.BATCH_ID, T.StringType()),
     ]
 )
@@ -110,15 +102,35 @@ REJECT_SCHEMA = T.StructType(
     [
         T.StructField("notification_id", T.StringType()),
         T.StructField("reject_reason", T.StringType()),
-        T.StructField("payload", T.StringType()),
+        T.StructField("payload", T.VariantType()),
+        # Digest of the payload's text: variants cannot be compared.
+        T.StructField("payload_sha", T.StringType()),
         T.StructField(S.ROW_ORD, T.LongType()),
-        T.StructField(S.BATCH_ID, T.StringType()),
-        T.StructField("run_id", T.StringType()),
         T.StructField("rejected_at", T.TimestampNTZType()),
+        T.StructField("run_id", T.StringType()),
+        # Partition columns.
+        T.StructField("load_id", T.StringType()),
         T.StructField("stage", T.StringType()),
+        T.StructField(S.BATCH_ID, T.StringType()),
     ]
 )
 
+AUDIT_SCHEMA = T.StructType(
+    [
+        T.StructField("source_file", T.StringType()),
+        T.StructField("rows_in", T.LongType()),
+        T.StructField("rows_inserted", T.LongType()),
+        T.StructField("rows_already_present", T.LongType()),
+        T.StructField("destination_total", T.LongType()),
+        T.StructField("cipher", T.StringType()),
+        T.StructField("load_id", T.StringType()),
+        T.StructField("loaded_at", T.TimestampNTZType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)
+
+DESTINATION, REJECTED = "destination", "rejected"
+
 
 TAG_METRICS = [
     ("rows_in", lambda: F.count(F.lit(1))),
@@ -184,17 +196,14 @@ def stage_ingest(
 ) -> DataFrame:
     """Ingest stage (K1, K2, S2): keep the landed rows and the manifest of their files under
     the run's id, and return the kept rows, so that later stages read no CSV again.
-    ``newest_only`` keeps the batch whose file name sorts last."""
+    ``newest_only`` takes the file whose name sorts last and reads no other."""
     t = Tables(root)
-    raw = read_raw_csv(spark, landing)
     if newest_only:
-        raw = only_latest_batch(raw)
+        landing = exact_path(newest_file(spark, landing))
+    raw = read_raw_csv(spark, landing)
     raw.write.mode("overwrite").parquet(f"{t.raw}/run_id={run_id}")
     kept = spark.read.schema(raw.schema).parquet(f"{t.raw}/run_id={run_id}")
     files = file_manifest(spark, landing, paths=True)
-    if newest_only:
-        held = kept.select(F.col(f"{S.ROW_ORD}.file").alias("path")).distinct()
-        files = files.join(held, "path", "left_semi")
     _write_run_row(files.withColumn("run_id", F.lit(run_id)), t.manifest)
     return kept
 
@@ -225,22 +234,7 @@ def stage_clean_validate(
     tagged = read_tagged(spark, root, run_id, written)
     st = stage_stats(tagged)
 
-    # Rejects with reason and payload (K4, K6, K9), idempotent per row.
-    rej = _numbered_rejects(load.reject_audit(validate.rejects(tagged)))
-    rej = rej.withColumn("run_id", F.lit(run_id)).withColumn("rejected_at", _now_literal(now))
-    # Only batches of this run can hold the same rows again.
-    seen = (
-        read_or_empty(spark, t.rejected, REJECT_SCHEMA)
-        .join(rej.select(S.BATCH_ID).distinct(), S.BATCH_ID, "left_semi")
-        .select(S.BATCH_ID, "stage", S.ROW_ORD, "payload")
-    )
-    # ``rebalance``: AQE sizes the output tasks per partition value (splitting a hot
-    # batch, merging small ones), so the table gets few, well-sized files.
-    rej.join(seen, [S.BATCH_ID, "stage", S.ROW_ORD, "payload"], "left_anti").select(
-        *[f.name for f in REJECT_SCHEMA.fields]
-    ).hint("rebalance", "stage", S.BATCH_ID).write.mode("append").partitionBy("stage", S.BATCH_ID).parquet(
-        t.rejected
-    )
+    publish_rejects(spark, tagged, root, run_id, now)
 
     # Stage reports (A1, A2 -> K7).
     reached = st["rows_in"] - st["clean_removed"]
@@ -257,6 +251,54 @@ def stage_clean_validate(
     return tagged, st
 
 
+def publish_rejects(spark: SparkSession, tagged: DataFrame, root: str, run_id: str, now: dt.datetime) -> None:
+    """Rejects with reason and payload (K4, K6, K9), each row once over all runs: those not
+    seen before are written under the run, checked (stage among the two that reject, reason and
+    payload present) and published. The payload is a variant, so its fields can be queried."""
+    if published.is_committed(spark, root, REJECTED, run_id):
+        return
+    t, load_id = Tables(root), published.new_load_id()
+    rej = _numbered_rejects(load.reject_audit(validate.rejects(tagged)))
+    rej = rej.withColumns(
+        {
+            "payload_sha": F.sha2("payload", 256),
+            "payload": F.parse_json("payload"),
+            "run_id": F.lit(run_id),
+            "load_id": F.lit(load_id),
+            "rejected_at": _now_literal(now),
+        }
+    )
+    # Only batches of this run can hold the same rows again.
+    keys = [S.BATCH_ID, "stage", S.ROW_ORD, "payload_sha"]
+    seen = rejected_rows(spark, root).select(*keys).join(rej.select(S.BATCH_ID).distinct(), S.BATCH_ID, "left_semi")
+    # ``rebalance``: AQE sizes the output tasks per partition value (splitting a hot
+    # batch, merging small ones), so the table gets few, well-sized files.
+    new = rej.join(seen, keys, "left_anti").select(*REJECT_SCHEMA.names)
+    new.hint("rebalance", "stage", S.BATCH_ID).write.mode("append").partitionBy("load_id", "stage", S.BATCH_ID).parquet(t.rejected)
+    staged = read_or_empty(spark, t.rejected, REJECT_SCHEMA).where(F.col("load_id") == load_id)
+    rows = constraints.enforce(REJECTED, staged, constraints.reject_constraints())
+    published.commit(spark, root, REJECTED, run_id, load_id, rows, now)
+
+
+def rejected_rows(spark: SparkSession, root: str) -> DataFrame:
+    """The published rejects of all runs."""
+    return published.visible(read_or_empty(spark, Tables(root).rejected, REJECT_SCHEMA), root, REJECTED)
+
+
+def _declared(spark: SparkSession, root: str, buckets: int | None = None) -> str:
+    return published.declare(spark, Tables(root).destination, DEST_SCHEMA, ["load_id", S.BATCH_ID], load.ID, buckets)
+
+
+def destination_rows(spark: SparkSession, root: str) -> DataFrame:
+    """The published rows of the destination."""
+    return published.visible(spark.table(_declared(spark, root)), root, DESTINATION)
+
+
+def load_audits(spark: SparkSession, root: str) -> DataFrame:
+    """The audit rows of the published loads."""
+    return published.visible(read_or_empty(spark, Tables(root).load_audit, AUDIT_SCHEMA), root, DESTINATION)
+
+
 def stage_load(
     spark: SparkSession,
     root: str,
@@ -264,46 +306,40 @@ def stage_load(
     key: str | FernetKey,
     tagged: DataFrame | None = None,
     source: str = "",
+    buckets: int | None = None,
 ) -> Row:
-    """Load stage (J1, J2, K8, K10, P12, P14): protect ids and insert the run's valid
-    rows that the destination does not hold yet; returns the audit row. The audit is read
-    from the destination after the insert: the rows stored under this ``run_id`` are the
-    inserted ones, also where an earlier try of the run had inserted them (single writer)."""
+    """Load stage (J1, J2, K8, K10, K11, P12, P14): protect ids and insert the run's valid
+    rows that the destination does not hold yet; returns the audit row.
+
+    The rows are written under the run's id, checked against the table's constraints, and
+    published with their audit by one commit. A run that has committed is not loaded again and
+    gives the audit it gave. ``buckets`` is taken when the destination is new."""
     now = _utc_now()
     t = Tables(root)
+    if published.is_committed(spark, root, DESTINATION, run_id):
+        return load_audits(spark, root).where(F.col("run_id") == run_id).first()
     k = key if isinstance(key, FernetKey) else FernetKey(key)
     tagged = tagged if tagged is not None else read_tagged(spark, root, run_id)
     valid = validate.typed_valid(tagged)
     if isinstance(valid.schema[S.ROW_ORD].dataType, T.StructType):
         valid = valid.withColumn(S.ROW_ORD, F.xxhash64(S.ROW_ORD))
+    name, load_id = _declared(spark, root, buckets), published.new_load_id()
     protected = load.protect_ids(valid, k, int(time.time()))
-    dest = read_or_empty(spark, t.destination, DEST_SCHEMA)
-    load.new_rows(protected, dest).withColumns(
-        {"loaded_at": _now_literal(now), "run_id": F.lit(run_id)}
-    ).select(*[f.name for f in DEST_SCHEMA.fields]).hint("rebalance", S.BATCH_ID).write.mode(
-        "append"
-    ).partitionBy(S.BATCH_ID).parquet(t.destination)
-    rows_in = F.lit(valid.count()).cast("bigint")
-    audit = (
-        read_or_empty(spark, t.destination, DEST_SCHEMA)
-        .agg(
-            F.count_if(F.col("run_id") == run_id).alias("rows_inserted"),
-            F.count(F.lit(1)).alias("destination_total"),
-        )
-        .select(
-            F.lit(source or run_id).alias("source_file"),
-            rows_in.alias("rows_in"),
-            "rows_inserted",
-            (rows_in - F.col("rows_inserted")).alias("rows_already_present"),
-            "destination_total",
-            F.lit(load.CIPHER_NAME).alias("cipher"),
-            F.lit(run_id).alias("run_id"),
-            _now_literal(now).alias("loaded_at"),
-        )
+    new = load.new_rows(protected, destination_rows(spark, root)).withColumns(
+        {"loaded_at": _now_literal(now), "run_id": F.lit(run_id), "load_id": F.lit(load_id)}
+    )
+    published.append(new, name, load.ID, published.buckets_of(spark, t.destination))
+    staged = spark.table(name).where(F.col("load_id") == load_id)
+    inserted = constraints.enforce(DESTINATION, staged, constraints.destination_constraints(), unique=load.ID)
+    rows_in = valid.count()
+    total = published.committed_rows(spark, root, DESTINATION) + inserted
+    audit = spark.createDataFrame(
+        [(source or run_id, rows_in, inserted, rows_in - inserted, total, load.CIPHER_NAME, load_id, now, run_id)], AUDIT_SCHEMA
     )
-    audit_row = audit.first()
-    _write_run_row(spark.createDataFrame([audit_row], audit.schema), t.load_audit)
-    return audit_row
+    constraints.enforce("load_audit", audit, constraints.audit_constraints())
+    _write_run_row(audit, t.load_audit)
+    published.commit(spark, root, DESTINATION, run_id, load_id, inserted, now)
+    return audit.first()
 
 
 def stage_kpis(
@@ -318,8 +354,8 @@ def stage_kpis(
         [(st["rows_in"], st["clean_removed"], st["validation_rejected"])],
         "rows_initial bigint, clean_removed bigint, validation_rejected bigint",
     )
-    destination = read_or_empty(spark, t.destination, DEST_SCHEMA)
-    report = kpis.kpi_report(kpis.kpi_values(destination, counts))
+    destination = destination_rows(spark, root)
+    report = kpis.kpi_report(kpis.with_counts(kpis.stored_measures(destination), counts))
     rows = report.collect()  # five rows
     spark.createDataFrame(rows, report.schema).select(
         F.lit(run_id).alias("run_id"), _now_literal(now).alias("computed_at"), "*"
@@ -367,13 +403,15 @@ def latest_kpis(spark: SparkSession, root: str) -> DataFrame:
 
 
 def reset_tables(spark: SparkSession, root: str) -> None:
-    """Empty destination, rejected and load_audit (explicit call only)."""
+    """Empty destination, rejected and load_audit (explicit call only). The commits go
+    first, so that the rows are out of sight at once."""
     t = Tables(root)
-    spark.createDataFrame([], DEST_SCHEMA).write.mode("overwrite").parquet(t.destination)
-    spark.createDataFrame([], REJECT_SCHEMA).write.mode("overwrite").parquet(t.rejected)
-    if path_exists(spark, t.load_audit):
-        schema = spark.read.parquet(t.load_audit).schema
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(t.load_audit)
+    for table in (DESTINATION, REJECTED):
+        published.forget(spark, root, table)
+    spark.sql(f"DROP TABLE IF EXISTS {published.table_name(t.destination)}")
+    for path, schema in ((t.destination, DEST_SCHEMA), (t.rejected, REJECT_SCHEMA), (t.load_audit, AUDIT_SCHEMA)):
+        if path_exists(spark, path):
+            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
 def write_model_outputs(comparison: DataFrame, correlation: DataFrame, out_dir: str) -> None:

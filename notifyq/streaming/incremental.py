@@ -1,52 +1,41 @@
 """Incremental runs over a landing folder with Structured Streaming.
 
 The batch process picks "the newest raw file by name" (S2) and runs every stage on it.
-Here the file source does that bookkeeping: each new CSV file in the landing folder is
-picked up once (its name is recorded in the stream's checkpoint), and ``foreachBatch``
-runs the batch pipeline on it. ``maxFilesPerTrigger=1`` keeps one file per run, like the
-original process; raise it to catch up a backlog in fewer runs. The sinks are idempotent
-(anti-joins on ids and reject keys), so a micro-batch replayed after a failure writes
-nothing twice. The checkpoint location must be on shared storage; by default it is a
-folder under the session's ``spark.checkpoint.dir``.
+Here a stream of the folder's *listing* does that bookkeeping: each new file's path is
+picked up once (recorded in the stream's checkpoint), and ``foreachBatch`` hands the paths
+to the same ``stage_ingest`` and ``run_batch`` that a batch run calls. So both read the
+files with one reader and one dialect, check headers alike, keep the raw rows and the
+manifest alike (K1, K2), and give the same tables; the content of a file never passes
+through the stream. ``files_per_trigger=1`` keeps one file per run, like the original
+process; raise it to catch up a backlog in fewer runs. A micro-batch replayed after a
+failure has the same run id, and a run's tables are replaced or already published, so
+nothing is written twice. The checkpoint location must be on shared storage; by default it
+is a folder under the session's ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from notifyq import schema as S
 from notifyq.functions.protect import FernetKey
-from notifyq.plans.runner import run_batch
+from notifyq.plans.runner import run_batch, stage_ingest
 from notifyq.session import checkpoint_dir
+from notifyq.sources.files import exact_path
 
+LISTING = "path string, modificationTime timestamp, length long, content binary"
 
-def landing_stream(spark: SparkSession, landing_dir: str, files_per_trigger: int = 1) -> DataFrame:
-    """Raw rows of new landing files, with the same lineage columns as read_raw_csv."""
-    df = (
-        spark.readStream.schema(S.RAW_SCHEMA)
-        .option("header", True)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .csv(landing_dir)
-    )
-    return df.select(
-        *S.RAW_COLUMNS,
-        F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_offset"),
-        F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias(S.BATCH_ID),
-    )
 
-
-def _with_row_ord(batch: DataFrame) -> DataFrame:
-    pos = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    return batch.select(
-        *S.RAW_COLUMNS,
-        F.struct(F.col("_file").alias("file"), F.col("_offset").alias("offset"), pos.alias("pos")).alias(
-            S.ROW_ORD
-        ),
-        S.BATCH_ID,
+def landing_stream(spark: SparkSession, landing_dir: str, files_per_trigger: int = 1, pattern: str = "*.csv") -> DataFrame:
+    """(path, modified_at, bytes) of new landing files; their content is not read."""
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(LISTING)
+        .option("pathGlobFilter", pattern)
+        .option("maxFilesPerTrigger", files_per_trigger)
+        .load(landing_dir)
     )
+    return files.selectExpr("path", "modificationTime AS modified_at", "length AS bytes")
 
 
 def start_incremental_runs(
@@ -58,18 +47,24 @@ def start_incremental_runs(
     as_of: str | None = None,
     available_now: bool = True,
     files_per_trigger: int = 1,
+    pattern: str = "*.csv",
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it processes the backlog and stops."""
     location = checkpoint_location or f"{checkpoint_dir(spark).rstrip('/')}/incremental-runs"
 
     def process(batch: DataFrame, epoch_id: int) -> None:
-        raw = _with_row_ord(batch)
+        # As many paths as a trigger takes; a batch run passes its paths to the reader too.
+        paths = [exact_path(r["path"]) for r in batch.select("path").orderBy("path").collect()]
+        if not paths:
+            return
         # The stream's own id keeps the epochs of streams with other checkpoints apart.
         stream = spark.read.json(f"{location}/metadata").first()["id"]
-        run_batch(spark, raw, root, key, run_id=f"{stream}-epoch{epoch_id:08d}", as_of=as_of)
+        run_id = f"{stream}-epoch{epoch_id:08d}"
+        raw = stage_ingest(spark, paths, root, run_id)
+        run_batch(spark, raw, root, key, run_id=run_id, as_of=as_of)
 
     writer = (
-        landing_stream(spark, landing_dir, files_per_trigger)
+        landing_stream(spark, landing_dir, files_per_trigger, pattern)
         .writeStream.foreachBatch(process)
         .option("checkpointLocation", location)
     )
