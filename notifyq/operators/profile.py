@@ -198,33 +198,73 @@ def latency_histogram(tagged: DataFrame, bins: int = S.HISTOGRAM_BINS) -> DataFr
     )
 
 
+def _merged(parts: Column) -> Column:
+    """Moments of the union of disjoint parts (n, a, b, ab, aa, bb): sizes, means of two
+    columns, and their co-moments around these means (Chan's update)."""
+
+    def add(acc: Column, x: Column) -> Column:
+        n = acc["n"] + x["n"]
+        weight = acc["n"] * x["n"] / n
+        da, db = x["a"] - acc["a"], x["b"] - acc["b"]
+        return F.struct(
+            n.alias("n"),
+            (acc["a"] + da * x["n"] / n).alias("a"),
+            (acc["b"] + db * x["n"] / n).alias("b"),
+            (acc["ab"] + x["ab"] + da * db * weight).alias("ab"),
+            (acc["aa"] + x["aa"] + da * da * weight).alias("aa"),
+            (acc["bb"] + x["bb"] + db * db * weight).alias("bb"),
+        )
+
+    none = F.struct(*[_zero().alias(c) for c in ("n", "a", "b", "ab", "aa", "bb")])
+    return F.aggregate(parts, none, add)
+
+
+def _zero() -> Column:
+    return F.lit(0.0).cast("double")
+
+
 def correlation_matrix(features: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pairwise-complete Pearson correlation, 2 digits, null for zero variance.
 
-    Each row yields one (pair, a, b) record per column pair (55 for ten columns) inside
-    its task; records with a null in either column are dropped (pairwise-complete), and
-    a group-by on the pair computes covariance and the two deviations. Partial
-    aggregation leaves 55 groups per task, so only those cross the shuffle.
+    Rows are grouped by which columns are null, at most a few patterns, and each pattern gets
+    its size, means and covariances in one aggregate: each row goes in once, as it is. A pair's
+    rows are those of the patterns that hold both columns, so its moments are merged from these.
     ``try_divide`` makes zero variance null instead of an ANSI error (``corr`` raises).
     """
     cols = list(columns) if columns is not None else S.NUMERIC_FEATURES + ["label"]
-    pairs = F.array(
+    at = range(len(cols))
+    pairs = [(i, j) for i in at for j in at if i <= j]
+    there = F.concat(*[F.col(f"x{i}").isNotNull().cast("int").cast("string") for i in at])
+    rows = features.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)])
+    patterns = rows.groupBy(there.alias("there")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"),
+        *[F.avg(f"x{i}").alias(f"m{i}") for i in at],
+        *[F.covar_pop(f"x{i}", f"x{j}").alias(f"c{i}_{j}") for i, j in pairs],
+    )
+    moments = F.array(
         *[
             F.struct(
                 F.lit(i).alias("i"),
                 F.lit(j).alias("j"),
-                F.col(a).cast("double").alias("a"),
-                F.col(cols[j]).cast("double").alias("b"),
+                F.struct(
+                    "n",
+                    F.col(f"m{i}").alias("a"),
+                    F.col(f"m{j}").alias("b"),
+                    (F.col(f"c{i}_{j}") * F.col("n")).alias("ab"),
+                    (F.col(f"c{i}_{i}") * F.col("n")).alias("aa"),
+                    (F.col(f"c{j}_{j}") * F.col("n")).alias("bb"),
+                ).alias("part"),
             )
-            for i, a in enumerate(cols)
-            for j in range(i, len(cols))
+            for i, j in pairs
         ]
     )
+    held = (F.substring("there", F.col("i") + 1, F.lit(1)) == "1") & (F.substring("there", F.col("j") + 1, F.lit(1)) == "1")
     per_pair = (
-        features.select(F.inline(pairs))
-        .where(F.col("a").isNotNull() & F.col("b").isNotNull())
+        patterns.select("there", F.inline(moments))
         .groupBy("i", "j")
-        .agg(F.try_divide(F.covar_samp("a", "b"), F.stddev_samp("a") * F.stddev_samp("b")).alias("c"))
+        .agg(F.sort_array(F.collect_list(F.when(held, F.col("part")))).alias("parts"))
+        .withColumn("all", _merged(F.col("parts")))
+        .select("i", "j", F.try_divide(F.col("all.ab"), F.sqrt("all.aa") * F.sqrt("all.bb")).alias("c"))
     )
     names = F.array(*[F.lit(c) for c in cols])
     fwd = F.struct(F.col("i").alias("x"), F.col("j").alias("y"), F.col("c"))

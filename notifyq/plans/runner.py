@@ -37,7 +37,7 @@ from notifyq.operators import constraints, kpis, load, validate
 from notifyq.plans.run import Run
 from notifyq.sources import published
 from notifyq.sources.files import exact_path, newest_file, read_raw_csv
-from notifyq.sources.manifest import file_manifest
+from notifyq.sources.manifest import file_manifest, landed_before
 from notifyq.sources.published import path_exists, read_or_empty
 
 
@@ -129,6 +129,21 @@ AUDIT_SCHEMA = T.StructType(
     ]
 )
 
+MANIFEST_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("source_file", T.StringType()),
+        T.StructField("sha256", T.StringType()),
+        T.StructField("bytes", T.LongType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("lines", T.LongType()),
+        T.StructField("lines_digest", T.StringType()),
+        T.StructField("stage", T.StringType()),
+        T.StructField("landed_before", T.BooleanType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)
+
 DESTINATION, REJECTED = "destination", "rejected"
 
 
@@ -195,7 +210,7 @@ def stage_ingest(
     spark: SparkSession, landing: str | list[str], root: str, run_id: str, newest_only: bool = False
 ) -> DataFrame:
     """Ingest stage (K1, K2, S2): keep the landed rows and the manifest of their files under
-    the run's id, and return the kept rows, so that later stages read no CSV again.
+    the run's id (with the files whose content an earlier run has landed marked), and return the kept rows, so that later stages read no CSV again.
     ``newest_only`` takes the file whose name sorts last and reads no other."""
     t = Tables(root)
     if newest_only:
@@ -204,6 +219,8 @@ def stage_ingest(
     raw.write.mode("overwrite").parquet(f"{t.raw}/run_id={run_id}")
     kept = spark.read.schema(raw.schema).parquet(f"{t.raw}/run_id={run_id}")
     files = file_manifest(spark, landing, paths=True)
+    earlier = read_or_empty(spark, t.manifest, MANIFEST_SCHEMA).where(F.col("run_id") != run_id)
+    files = landed_before(files, earlier)
     _write_run_row(files.withColumn("run_id", F.lit(run_id)), t.manifest)
     return kept
 

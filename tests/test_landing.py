@@ -76,3 +76,53 @@ def test_stream_and_batch_give_the_same_tables(spark, workdir):
     with pytest.raises(Exception, match="(?i)header"):
         start_incremental_runs(spark, f"{workdir}/in/*", f"{workdir}/stream", key, ckpt, S.DEFAULT_AS_OF).awaitTermination(300)
     assert tables(spark, f"{workdir}/stream")[0] == dest
+
+
+def test_content_landed_twice_is_recognised(spark, workdir):
+    rows = [{"notification_id": f"N{k}"} for k in range(40)]
+    write(f"{workdir}/a/n1.csv", rows)
+    write(f"{workdir}/b/copy.csv", rows[::-1])  # the same lines, moved
+    write(f"{workdir}/b/other.csv", [*rows[:-1], {"notification_id": "M9"}])
+    root = f"{workdir}/t"
+    for run, folder in (("r1", "a"), ("r2", "b"), ("r2", "b"), ("r3", "a")):
+        runner.stage_ingest(spark, f"{workdir}/{folder}", root, run)
+    got = {(r.run_id, r.source_file): r.landed_before for r in spark.read.parquet(f"{root}/manifest").collect()}
+    assert got == {("r1", "n1.csv"): False, ("r2", "copy.csv"): True, ("r2", "other.csv"): False, ("r3", "n1.csv"): True}
+
+
+def test_line_digest_is_that_of_the_lines_for_any_split(spark, workdir):
+    import hashlib
+
+    from notifyq.sources.manifest import line_digests
+
+    write(f"{workdir}/in/n.csv", [{"notification_id": f"N{k}", "event_id": "É" * (k % 7)} for k in range(500)])
+    with open(f"{workdir}/in/n.csv", "rb") as f:
+        lines = f.read().replace(b"\r\n", b"\n").split(b"\n")[:-1]
+    parts = [0] * 8
+    for line in lines:
+        h = hashlib.sha256(line).hexdigest()
+        parts = [(p + int(h[8 * k : 8 * k + 8], 16)) % (1 << 32) for k, p in enumerate(parts)]
+    want = (len(lines), "".join(f"{p:08x}" for p in parts))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in (old, "4096"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            assert [(r.lines, r.lines_digest) for r in line_digests(spark, f"{workdir}/in").collect()] == [want]
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_path_that_only_spark_opens(spark, workdir):
+    import hashlib
+
+    from notifyq.sources.manifest import file_hashes, file_manifest
+
+    write(f"{workdir}/in/n.csv", [{}, {"notification_id": "N2"}])
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.landing.link./in", f"file://{workdir}/in")
+    with open(f"{workdir}/in/n.csv", "rb") as f:
+        want = hashlib.sha256(f.read()).hexdigest()
+    r = file_manifest(spark, "viewfs://landing/in").first()
+    assert (r.source_file, r.sha256, r.rows, r.lines) == ("n.csv", want, 2, 3)
+    assert file_hashes(spark, "viewfs://landing/in", whole=1).first().sha256 is None  # too large to hold, no other reader
+    assert file_hashes(spark, f"{workdir}/in", whole=1).first().sha256 == want
+    assert newest_file(spark, "viewfs://landing/in").endswith("/in/n.csv")
