@@ -1,20 +1,56 @@
-"""Anomaly catalogue vs. rejects (J4, re-aimed).
+"""Anomaly catalogue vs. rejects (S8, J4, re-aimed).
 
-The data generator documents which anomaly it injected into which row. Here the
-catalogue is derived from ``events`` with the generator's own rules (FIXTURES.md
-section 3), independently of the pipeline, and left-joined to the tagged rows on the
-row number: for each anomaly, how many rows carry it, how many were rejected at all, and
-how many were rejected with the expected reason code. A catalogue row's expected code
+The data generator documents which anomaly it injected into which row. Such a catalogue
+file is read and joined with the tagged rows of its landing file on the line number
+(``read_catalogue``, ``catalogue_outcome``): was each row rejected, and by which rule? For the
+driver tables the catalogue is derived from ``events`` with the generator's own rules
+(FIXTURES.md section 3), independently of the pipeline, and left-joined to the tagged rows
+on the row number: for each anomaly, how many rows carry it, how many were rejected at all,
+and how many were rejected with the expected reason code. A catalogue row's expected code
 can be missed legitimately when an earlier stage already removed the row (a duplicate
 or bad-timestamp row never reaches validation).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notifyq import schema as S
+from notifyq.operators.ranking import ranked_within_groups
+
+#: Fields of a catalogue file, as its writers name them; the anomaly is a text or a name.
+CATALOGUE_SCHEMA = "row_number_csv long, notification_id string, issue string, tipo_anomalia string"
+
+
+def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """(line, notification_id, anomaly) from a JSON array; an empty id is null."""
+    rows = spark.read.schema(CATALOGUE_SCHEMA).option("multiLine", True).json(path)
+    return rows.select(
+        F.col("row_number_csv").alias("line"),
+        F.nullif("notification_id", F.lit("")).alias("notification_id"),
+        F.coalesce("tipo_anomalia", "issue").alias("anomaly"),
+    )
+
+
+def with_lines(tagged: DataFrame) -> DataFrame:
+    """Rows of CSV files with ``line``: their number in the file, the header being 1. The rows of
+    a file are numbered by all tasks that hold some (``ranking``)."""
+    order = [F.col(f"{S.ROW_ORD}.offset"), F.col(f"{S.ROW_ORD}.pos")]
+    rows = tagged.withColumn("_file", F.col(f"{S.ROW_ORD}.file"))
+    ranked = ranked_within_groups(rows, ["_file"], order, rank_col="_rank", size_col=None)
+    return ranked.withColumn("line", F.col("_rank") + 1).drop("_file", "_rank")
+
+
+def catalogue_outcome(catalogue: DataFrame, tagged: DataFrame) -> DataFrame:
+    """Each catalogue row with the row on its line (null where the file has none): its id,
+    whether it was rejected, at which stage and why."""
+    found = with_lines(tagged.select(S.ROW_ORD, "notification_id", "stage", "reject_reason"))
+    rows = found.select("line", F.col("notification_id").alias("found_id"), "stage", "reject_reason")
+    return catalogue.join(rows, "line", "left").select(
+        "line", "anomaly", "notification_id", "found_id", "stage", "reject_reason",
+        F.col("reject_reason").isNotNull().alias("rejected"),
+    )
 
 
 def catalogue_from_events(events: DataFrame) -> DataFrame:
