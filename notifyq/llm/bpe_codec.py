@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from notifyq.llm.bpe_tables import MEMO_ENTRIES, BpeTables, ship, units
-from notifyq.llm.common import slices
+from notifyq.llm.common import others, slices
 
 IDS = np.dtype("<u4")
 #: Characters of the units a worker's memo may hold.
@@ -142,9 +142,8 @@ class Encoder:
 
 
 def _mapped(df: DataFrame, column: str, out: str, kind: T.DataType, make) -> DataFrame:  # noqa: ANN001
-    """``df`` with column ``out`` = make() applied to lists of ``column``."""
-    if out in df.columns:
-        raise ValueError(f"column {out} exists")
+    """``df`` with column ``out``, old or new, = make() applied to lists of ``column``."""
+    df = df.select(*others(df, out))
     arrow = {T.BinaryType(): pa.binary(), T.StringType(): pa.string()}[kind]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,8 +160,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "ids") ->
 
     Ids are little-endian unsigned 32-bit integers. Special strings inside a text become
     their special id, no other special token is added. Null and empty texts have empty ids;
-    repeated rows encode alike; other columns pass through; an existing column ``out`` raises
-    ValueError; an empty table gives an empty result. No shuffle; memory is bounded by a
+    repeated rows encode alike; other columns pass through; an existing column ``out`` is
+    replaced; an empty table gives an empty result. No shuffle; memory is bounded by a
     slice of a batch and the memo.
     """
     tables = ship(docs.sparkSession, path)

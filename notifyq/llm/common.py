@@ -19,6 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def others(df: DataFrame, *made: str) -> list[str]:
+    """The columns of ``df`` but those named in ``made``; as Spark does, case is not looked at."""
+    gone = {c.lower() for c in made}
+    return [c for c in df.columns if c.lower() not in gone]
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores more as no column of ``df`` has it."""
+    held, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in held:
+            name += "_"
+        held.add(name.lower())
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the shared folder.
 

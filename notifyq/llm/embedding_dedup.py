@@ -6,15 +6,19 @@ is cut into blocks of bounded size; for each block a graph is built whose edges
 pruned, and a class's adjacency lists of all blocks are united. Every class then searches
 the blocks of all its shards: greedily from the block's medoid to its neighbourhood, from
 there to everything around it that is similar enough. Pairs are verified by their cosine in
-double precision. An audit compares the numbers found with brute force for a set of classes;
-while recall falls short, classes are dealt to more shards.
+double precision.
+
+Every search is audited in two ways: the pairs found for a set of classes are compared with brute
+force, and planted probes, classes turned by an angle that still links, must find the class they
+were made from, so that recall is measured where few rows link too. While either falls short, classes are dealt to
+more shards; where all shards are used and it still does, blocks are compared exactly.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +54,11 @@ class Graph:
     audit_links: int = 200
     audit_passes: int = 4
     recall: float = 0.98
+    #: Planted probes, and the largest cosine with their class; the smallest is ``cosine``.
+    probes: int = 512
+    probe_cosine: float = 0.995
+    #: Compare each query with all of a block instead of searching the block's graph.
+    exact: bool = False
     #: Bounded sample from which centroids are fitted.
     sample: int = 16_384
     rounds: int = 4
@@ -199,14 +208,37 @@ def _dealt(classes: DataFrame, centroids: dict[str, np.ndarray], overlap: int) -
     return stored(rows.select(F.explode("shards").alias("shard"), "shards", "root", "size", "unit"))
 
 
-def _blocked(dealt: DataFrame, g: Graph) -> tuple[DataFrame, DataFrame]:
+def _planted(classes: DataFrame, g: Graph) -> DataFrame:
+    """(label, root, size, unit) of up to ``g.probes`` classes, each turned at random so that its
+    cosine with what it was lies between ``cosine`` and ``probe_cosine``; root is the bitwise not of the class's."""
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            made = []
+            for root, raw in zip(b.column("root").to_pylist(), b.column("unit").to_pylist(), strict=True):
+                u, rng = np.frombuffer(raw, np.float64), np.random.default_rng(abs(root))
+                side = rng.normal(size=len(u))
+                side -= (side @ u) * u
+                norm = np.sqrt(side @ side)
+                c = rng.uniform(g.cosine + 1e-6, g.probe_cosine) if norm > 1e-9 else 1.0
+                x = c * u + (np.sqrt(1 - c * c) / norm * side if norm > 1e-9 else 0)
+                made.append((x / np.sqrt(x @ x)).tobytes())
+            rest = [b.column("label"), pa.array([~r for r in b.column("root").to_pylist()], pa.int64()), b.column("size")]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(made, pa.binary())], ["label", "root", "size", "unit"])
+
+    some = classes.orderBy(F.xxhash64("root", F.lit(11)), "root").limit(g.probes).select("label", "root", "size", "unit")
+    return stored(some.mapInArrow(turn, "label string, root long, size long, unit binary"))
+
+
+def _blocked(dealt: DataFrame, probes: DataFrame, g: Graph) -> tuple[DataFrame, DataFrame]:
     """Members (shard, block, ...) and queries (the same, for every block of their shard,
-    dealt over salts): a shard of any size is worked on in tasks of bounded size."""
+    dealt over salts; kind 1, or 2 for a probe): a shard of any size is worked on in tasks of bounded size."""
     sizes = dealt.groupBy("shard").agg(F.count("*").alias("n"))
     cut = stored(sizes.select("shard", F.ceil(F.col("n") / g.block).cast("int").alias("blocks"), F.ceil(F.col("n") / g.queries).cast("int").alias("salts")))
     both = dealt.join(cut, "shard")
     members = both.withColumn("block", F.pmod(F.xxhash64("root"), F.col("blocks")).cast("int"))
-    queries = both.withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn(
+    asked = both.withColumn("kind", F.lit(1)).unionByName(probes.join(cut, "shard").withColumn("kind", F.lit(2)))
+    queries = asked.withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn(
         "salt", F.pmod(F.xxhash64("root", F.lit(1)), F.col("salts")).cast("int")
     )
     return members, queries
@@ -228,13 +260,14 @@ def _searched(members: DataFrame, queries: DataFrame, g: Graph) -> DataFrame:
     """Rows (root, links, other, pairs): the rows and classes linked with a class, counted where
     its pair is at home, and edges to one member of each connected part of the block that it links with.
 
-    A pair that shares several shards is counted in the first of them only."""
+    A pair that shares several shards is counted in the first of them only. A probe that finds its
+    class is a row whose links are PROBE."""
     place = lambda salt: F.xxhash64("shard", "block", salt).alias("place")
     none = F.lit(None).cast("array<bigint>").alias("near")
     salted = members.withColumn("salt", F.explode(F.expr("sequence(0, salts - 1)")))
     columns = ["shard", "shards", "root", "size", "unit"]
     rows = salted.select(place("salt"), F.lit(0).alias("kind"), *columns, "near").unionAll(
-        queries.select(place("salt"), F.lit(1).alias("kind"), *columns, none)
+        queries.select(place("salt"), "kind", *columns, none)
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -247,14 +280,20 @@ def _searched(members: DataFrame, queries: DataFrame, g: Graph) -> DataFrame:
                     place, block = at, _Block(g)
                 if kind == 0:
                     block.add(shards, root, size, raw, near or [])
-                else:
+                elif kind == 1:
                     out += block.search(shard, shards, root, raw)
+                elif block.finds(root, raw):
+                    out.append((root, PROBE, None, 0))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(4)], ["root", "links", "other", "pairs"])
 
     met = rows.repartition("place").sortWithinPartitions("place", "kind", "root")
     return met.mapInArrow(search, "root long, links long, other long, pairs long")
 
 
+#: Links of a row that says a probe has found its class.
+PROBE = -1
+
+
 class _Block:
     """A block's members and their united adjacency lists."""
 
@@ -275,10 +314,20 @@ class _Block:
         self.near = reachable(lists, self.medoid)
         self.part = np.arange(len(self.rows))
 
-    def search(self, shard: str, shards: list[str], root: int, raw: bytes) -> list[tuple[int, int, int | None, int]]:
+    def _found(self, raw: bytes) -> np.ndarray:
         if not self.ready:
             self._open()
-        found = range_search(np.frombuffer(raw, np.float64), self.vectors, self.near, self.medoid, self.g)
+        query = np.frombuffer(raw, np.float64)
+        if self.g.exact:
+            return np.flatnonzero(self.vectors @ query >= self.g.cosine)
+        return range_search(query, self.vectors, self.near, self.medoid, self.g)
+
+    def finds(self, root: int, raw: bytes) -> bool:
+        """Whether a probe meets the class it was made from."""
+        return bool((self.roots[self._found(raw)] == ~root).any())
+
+    def search(self, shard: str, shards: list[str], root: int, raw: bytes) -> list[tuple[int, int, int | None, int]]:
+        found = self._found(raw)
         found = found[self.roots[found] != root]
         if not len(found):
             return []
@@ -348,18 +397,24 @@ def near_duplicates(rows: DataFrame, g: Graph | None = None) -> DataFrame:
     ids, classes = _classes(rows)
     centroids, overlap = _centroids(classes, g), g.overlap
     most = max((len(c) for c in centroids.values()), default=1)
+    planted = _planted(classes, g)
+    probes = planted.count()
     while True:
-        members, queries = _blocked(_dealt(classes, centroids, overlap), g)
+        members, queries = _blocked(_dealt(classes, centroids, overlap), _dealt(planted, centroids, overlap), g)
         united = stored(_united(members, g))
-        found = stored(_searched(members.join(united, "root"), queries, g))
-        if overlap >= most:
-            break
+        both = stored(_searched(members.join(united, "root"), queries, g))
+        found = both.filter(F.col("links") != PROBE)
         share = recall(classes, found, g)
-        if share is None:
-            _LOG.warning("recall not measured: the audited classes have no links")
-        if share is None or share >= g.recall:
+        met = both.filter(F.col("links") == PROBE).select("root").distinct().count()
+        _LOG.info("overlap %s, exact %s: recall of audited pairs %s, of probes %s of %s", overlap, g.exact, share, met, probes)
+        if (share is None or share >= g.recall) and met >= g.recall * probes:
             break
-        overlap *= 2
+        if overlap < most:
+            overlap *= 2
+        elif not g.exact:
+            g = replace(g, exact=True)
+        else:
+            break  # every class was compared with every other one of its label
     reached = components(stored(found.filter("other IS NOT NULL").select(F.col("root").alias("a"), F.col("other").alias("b"))))
     per_root = found.groupBy("root").agg(F.sum("links").alias("links"))
     per_class = stored(

@@ -50,7 +50,7 @@ class Settings:
     slice: int = 1 << 17
     group: int = 1 << 12
     #: Candidates of a slice, about, at least, where fewer slices than cores would do.
-    small: int = 1 << 11
+    small: int = 1 << 9
     #: Candidates and anchors scored at once.
     rows: int = 1 << 11
     anchors: int = 64

@@ -39,7 +39,7 @@ class Settings:
     #: Bytes of a language's dictionary, and texts that may go into it: their number, and the
     #: size up to which they are taken before longer ones.
     dictionary: int = 32 << 10
-    texts: int = 256
+    texts: int = 64
     text_bytes: int = 8 << 10
     #: Bytes of text compressed at once.
     piece: int = 4 << 10

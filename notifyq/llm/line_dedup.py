@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notifyq.llm.common import slices, stored
+from notifyq.llm.common import fresh, others, slices, stored
 
 #: Code points that a key must have.
 MIN_KEY = 10
@@ -260,22 +260,23 @@ def dedup_lines(
     the same lines. Other columns pass through; columns of these three names are replaced.
     """
     index = index or LineIndex.build(docs, doc_id, text)
-    drops = index.drops().groupBy("doc_id").agg(F.collect_set("key").alias("_drop"))
-    drops = drops.select(F.col("doc_id").alias("_drop_id"), "_drop")
-    base = docs.select(*[c for c in docs.columns if c not in ("kept_text", "n_lines", "n_dropped")])
-    joined = base.join(drops, base[doc_id] == F.col("_drop_id"), "left").drop("_drop_id")
+    base = docs.select(*others(docs, "kept_text", "n_lines", "n_dropped"))
+    drop_id, drop = fresh(base, "drop_id", "drop")
+    drops = index.drops().groupBy("doc_id").agg(F.collect_set("key").alias(drop))
+    drops = drops.select(F.col("doc_id").alias(drop_id), drop)
+    joined = base.join(drops, base[doc_id] == drops[drop_id], "left").drop(drop_id)
     new = [T.StructField("kept_text", T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, text):
             kept, before, dropped = [], [], []
-            for t, gone in zip(b.column(text).to_pylist(), b.column("_drop").to_pylist(), strict=True):
+            for t, gone in zip(b.column(text).to_pylist(), b.column(drop).to_pylist(), strict=True):
                 lines = (t or "").split("\n")
                 left = _without(lines, gone)
                 kept.append("\n".join(left))
                 before.append(len(lines))
                 dropped.append(len(lines) - len(left))
-            rest = b.drop_columns(["_drop"])
+            rest = b.drop_columns([drop])
             yield pa.RecordBatch.from_arrays(
                 [*rest.columns, pa.array(kept, pa.string()), pa.array(before, pa.int64()), pa.array(dropped, pa.int64())],
                 names=[*rest.schema.names, "kept_text", "n_lines", "n_dropped"],

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notifyq.llm.common import slices
+from notifyq.llm.common import others, slices
 
 
 @dataclass
@@ -200,10 +200,9 @@ def with_scores(docs: DataFrame, model: Model, text: str = "text", out: str = "s
     """``docs`` with a double column ``out``: probability of class 1 of the whole text.
 
     Null and empty texts have a score too. No shuffle; other columns pass through; an
-    existing column ``out`` raises ValueError.
+    existing column ``out`` is replaced.
     """
-    if out in docs.columns:
-        raise ValueError(f"column {out} exists")
+    docs = docs.select(*others(docs, out))
     sent = docs.sparkSession.sparkContext.broadcast(model)  # buckets x dim floats: 8 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notifyq.llm.bpe_tables import MEMO_ENTRIES, MEMO_UNIT, BpeTables, ship, units
-from notifyq.llm.common import slices
+from notifyq.llm.common import others, slices
 
 
 class _WordMemo(dict):
@@ -69,11 +69,10 @@ def with_token_counts(docs: DataFrame, path: str, text: str = "text", out: str =
 
     A narrow map: no shuffle, one pass, memory bounded by one batch and the memo. Null and
     empty texts count 0; repeated rows count alike; other columns, whatever their names or
-    nulls, pass through. An existing column ``out`` raises ValueError. An empty table gives
+    nulls, pass through. An existing column ``out`` is replaced. An empty table gives
     an empty result.
     """
-    if out in docs.columns:
-        raise ValueError(f"column {out} exists")
+    docs = docs.select(*others(docs, out))
     tables = ship(docs.sparkSession, path)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
 

@@ -27,6 +27,9 @@ from notifyq.session import checkpoint_dir
 
 ROUNDS = 6
 
+#: Bytes of records that one task orders and writes, at most.
+TASK_BYTES = 64 << 20
+
 
 def permuted(index: np.ndarray, n: int, key: str) -> np.ndarray:
     """Slots of indices 0 .. n-1: a bijection chosen by ``key``."""
@@ -144,8 +147,10 @@ def blocks(slotted: DataFrame, total: int, per_block: int, stride: int, end: int
         if held:
             yield made()
 
-    # Slots are dense and uniform: ranges of blocks are even without looking at the data.
-    parts = max(1, min(-(-total // per_block), 4 * keyed.sparkSession.sparkContext.defaultParallelism))
+    # Slots are dense and uniform: ranges of blocks are even without looking at the data, and a
+    # task has TASK_BYTES of records at most, however many there are.
+    cores = keyed.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(-(-total // per_block), max(4 * cores, -(-total * stride // TASK_BYTES))))
     ranged = keyed.repartitionByRange(parts, "block").sortWithinPartitions("block", "slot")
     return ranged.mapInArrow(pack, "block long, first_slot long, n_records int, payload binary")
 

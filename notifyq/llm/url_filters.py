@@ -11,24 +11,29 @@ for every key that can be asked, and no row is joined with the rules.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notifyq.llm.common import stored
+from notifyq.llm.common import fresh, others, stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Most bytes of a cascade that is sent to the executors; a larger rule list is refused.
+#: Most bytes of cascades that are sent to the executors at once.
 MAX_FILTER_BYTES = 128 << 20
 _URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
 
+class CascadeTooLarge(ValueError):
+    """The keys need a larger cascade than is allowed."""
+
+
 @dataclass
 class Level:
     """One Bloom filter: 64-bit words, and the number of hash functions."""
@@ -104,7 +109,7 @@ def build_cascade(listed: DataFrame, others: DataFrame, max_bytes: int = MAX_FIL
     ``key`` each; no key in both).
 
     The first level's rate leaves about as many wrongly accepted keys as there are listed
-    ones; later levels halve. ValueError if the levels exceed ``max_bytes``.
+    ones; later levels halve. CascadeTooLarge if the levels exceed ``max_bytes``.
     """
     inside, outside = listed.select("key"), others.select("key")
     n_in, n_out = inside.count(), outside.count()
@@ -114,7 +119,7 @@ def build_cascade(listed: DataFrame, others: DataFrame, max_bytes: int = MAX_FIL
         i = len(levels)
         empty = Level.sized(n_in, rate)
         if empty.words.nbytes + sum(x.words.nbytes for x in levels) > max_bytes:
-            raise ValueError(f"{n_in} keys need a cascade of more than {max_bytes} bytes")
+            raise CascadeTooLarge(f"{n_in} keys need a cascade of more than {max_bytes} bytes")
         levels.append(_filled(inside, empty, i))
         wrong = stored(_accepted(outside, levels[i], i))
         inside, outside = wrong, inside
@@ -160,8 +165,9 @@ def usable_rules(rules: Iterable[tuple[str, str, str]]) -> dict[str, str]:
 
 
 def judge_urls(
-    pages: DataFrame, rules: Iterable[tuple[str, str, str]], url: str = "url", default: str = "allow"
-) -> DataFrame:
+    pages: DataFrame, rules: Iterable[tuple[str, str, str]], url: str = "url", default: str = "allow",
+    max_bytes: int = MAX_FILTER_BYTES,
+) -> DataFrame:
     """``pages`` with host, path, rule and verdict.
 
     A rule fits its host and all subdomains if the url's path begins with the rule's; the
@@ -169,45 +175,74 @@ def judge_urls(
     ``rule`` is null and ``verdict`` is ``default``: an unlisted url. A null url, or one
     without ://, has empty host and path. Rows are neither dropped nor merged; other columns
     pass through; columns of the four names in ``pages`` are replaced. The rules are a
-    parameter: their number is bounded by MAX_FILTER_BYTES, not by the data.
+    parameter; cascades of more than ``max_bytes`` are cut into shards, one pass for each.
     """
     spark = pages.sparkSession
     actions = usable_rules(rules)
     lengths = {len(k) - len(k.split("/")[0]) for k in actions}
-    names = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    names = others(pages, "host", "path", "rule", "verdict")
     parsed = pages.select(*names, url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
     if not actions:
         return parsed.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
     keys = candidate_keys(F.col("host"), F.col("path"), lengths)
-    universe = parsed.select("host", "path").distinct().select(F.explode(keys).alias("key")).distinct()
+    asked = parsed.select("host", "path").distinct().select(F.explode(keys).alias("key"), F.lit(False).alias("listed"))
     rule_keys = spark.createDataFrame([(k, a) for k, a in actions.items()], "key string, action string")
-    listed = build_cascade(rule_keys, stored(universe.join(F.broadcast(rule_keys), "key", "left_anti")))
-    # Asked for listed keys only, so its universe is the rules themselves.
-    blocked = build_cascade(rule_keys.filter("action = 'block'"), rule_keys.filter("action = 'allow'"))
-    sent = _broadcast(spark, (listed, blocked))
-
-    def first_listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, stop = sent.value
-        for b in batches:
-            hit = [next((k for k in ks if k in known), None) for ks in b.column("_keys").to_pylist()]
-            said = [default if k is None else "block" if k in stop else "allow" for k in hit]
-            kept = b.drop_columns(["_keys"])
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(hit, pa.string()), pa.array(said, pa.string())],
-                names=[*kept.schema.names, "rule", "verdict"],
-            )
+    # The universe of all keys, the listed ones among it marked, from one grouping.
+    both = asked.unionAll(rule_keys.select("key", F.lit(True).alias("listed")))
+    unlisted = stored(both.groupBy("key").agg(F.max("listed").alias("listed")).filter("NOT listed").select("key"))
+    cascades = sharded_cascades(rule_keys, unlisted, max_bytes)
+    (all_keys,) = fresh(parsed, "keys")
+    out = parsed.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+    shards = len(cascades)
+
+    def first_listed(shard: int, sent):  # noqa: ANN001, ANN202
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known, stop = sent.value
+            for b in batches:
+                hits, said = b.column("rule").to_pylist(), b.column("verdict").to_pylist()
+                for at, ks in enumerate(b.column(all_keys).to_pylist()):
+                    for k in ks:
+                        if k == hits[at]:  # found by an earlier pass, and longer than what follows
+                            break
+                        if shard_of(k, shards) == shard and k in known:
+                            hits[at], said[at] = k, "block" if k in stop else "allow"
+                            break
+                kept = b.drop_columns(["rule", "verdict"])
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(hits, pa.string()), pa.array(said, pa.string())],
+                    names=[*kept.schema.names, "rule", "verdict"],
+                )
+
+        return run
 
     # The longest first; of equally long ones the longer host, i.e. the shorter path.
     ranked = F.transform(
         F.array_sort(F.transform(keys, lambda k: F.struct(-F.char_length(k), -F.instr(k, "/"), k.alias("key")))),
         lambda s: s["key"],
     )
-    schema = T.StructType(
-        [*parsed.schema.fields, T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())]
-    )
-    return parsed.withColumn("_keys", ranked).mapInArrow(first_listed, schema)
-
-
-def _broadcast(spark: SparkSession, value: tuple[Cascade, Cascade]):  # noqa: ANN202
-    """Both cascades; build_cascade has checked their size."""
-    return spark.sparkContext.broadcast(value)
+    out = out.select(*parsed.columns, ranked.alias(all_keys), "rule", "verdict")
+    schema = T.StructType([f if f.name != "verdict" else T.StructField("verdict", T.StringType()) for f in out.schema.fields])
+    for shard, pair in enumerate(cascades):  # each pass looks up the keys of one shard
+        out = out.mapInArrow(first_listed(shard, spark.sparkContext.broadcast(pair)), schema)
+    return out.drop(all_keys)
+
+
+def shard_of(key: str, shards: int) -> int:
+    return zlib.crc32(key.encode()) % shards
+
+
+def sharded_cascades(rules: DataFrame, unlisted: DataFrame, max_bytes: int) -> list[tuple[Cascade, Cascade]]:
+    """For each shard of the keys, the cascade of its listed ones and, asked for those only, that
+    of the blocked among them. There are as many shards as keep each pair within ``max_bytes``."""
+    shards = 1
+    while True:
+        try:
+            out = []
+            for k in range(shards):
+                own = F.pmod(F.crc32(F.col("key").cast("binary")), F.lit(shards)) == k
+                listed = build_cascade(rules.filter(own), unlisted.filter(own), max_bytes // 2)
+                blocked = rules.filter(own & (F.col("action") == "block"))
+                out.append((listed, build_cascade(blocked, rules.filter(own & (F.col("action") == "allow")), max_bytes // 2)))
+            return out
+        except CascadeTooLarge:
+            shards *= 2
