@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notifyq.llm import bpe_codec, decontaminate, jaccard_join, line_dedup, quality
-from notifyq.llm.common import table
+from notifyq.llm.common import fresh, table
 from notifyq.llm.queries import vocabulary
 from notifyq.session import checkpoint_dir
 
@@ -24,7 +24,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on their labelled ones, does not reject."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
-    return quality.with_scores(docs, model, out="_score").filter(F.col("_score") >= quality.GOOD).select(*docs.columns)
+    (score,) = fresh(docs, "score")
+    return quality.with_scores(docs, model, out=score).filter(F.col(score) >= quality.GOOD).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,12 +36,14 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near duplicates (five words, 0.8); of rows that
-    repeat an id, one. Rows without an id stay."""
+    """The smallest doc_id of each group of near duplicates (five words, 0.8). Of rows that
+    repeat an id, the one whose columns, as JSON text, have the smallest digest. Rows without an id stay."""
     found = jaccard_join.jaccard_components(docs, jaccard_join.Rule(words=5, percent=80))
     first = found.filter("component_id = doc_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
+    row = F.struct(*docs.columns)
+    kept = docs.join(first, "doc_id", "left_semi").groupBy("doc_id")
+    one = kept.agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("row")).select("row.*")
+    return one.unionByName(docs.filter("doc_id IS NULL"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
