@@ -3,8 +3,10 @@
 The state is three tables: ``postings`` (which document holds which line key),
 ``refs`` (the exact reference count of each key and the smallest document holding it)
 and ``filters`` (one cuckoo filter for each shard of the key space, holding the keys
-with two documents or more). Inserting or deleting documents changes counts, and a key
-that reaches or loses its second document enters or leaves its shard's filter. Lines to
+with two documents or more). Inserting or deleting documents adds to and subtracts from the
+counts of their own keys, and a key that reaches or loses its second document enters or leaves
+its shard's filter; other rows and shards stay as they are. What changes is written beside the
+tables and read over them, until COMPACT changes have gathered and they are written whole. Lines to
 drop are found by probing the filters; only what they accept meets the exact table.
 
 A line's key is the line without white space at its ends, A-Z lower-cased; lines with a
@@ -32,6 +34,8 @@ MIN_KEY = 10
 HEAVY = 4096
 #: Shards at least, and postings that a shard should have at most.
 MIN_SHARDS, SHARD_POSTINGS = 1024, 200_000
+#: Changes after which the tables are written whole.
+COMPACT = 8
 _KEY = np.dtype([("hi", "<u8"), ("lo", "<u8")])
 
 
@@ -139,24 +143,25 @@ def _shard(shards: int) -> F.Column:
     return F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int").alias("shard")
 
 
-def _changed_filters(filters: DataFrame, added: DataFrame, removed: DataFrame, shared: DataFrame) -> DataFrame:
-    """Filters (shard, table) after adding and removing keys; a full one is rebuilt from
-    the shard's exact keys in ``shared``. All but ``filters`` are (shard, key)."""
+def _changed_filters(filters: DataFrame, added: DataFrame, removed: DataFrame) -> DataFrame:
+    """Filters (shard, table) after adding and removing keys, both (shard, key); one that is full
+    gets a null table. A shard without a filter has held no key."""
 
     def one(change: pa.Table) -> pa.Table:
         kinds = change.column("kind").to_numpy()
         of = lambda k: _keys(change.filter(pa.array(kinds == k)).column("key").combine_chunks())
         old = change.filter(pa.array(kinds == 0)).column("table").to_pylist()
         f = Cuckoo(table=old[0]) if old else None
-        if f is not None:
+        if f is None:
+            f = Cuckoo.of(of(1))
+        else:
             f.remove(of(2))
-        if f is None or not f.add(of(1)):
-            f = Cuckoo.of(of(3))
-        return pa.table({"shard": change.column("shard")[:1], "table": pa.array([f.table.tobytes()], pa.binary())})
+            f = f if f.add(of(1)) else None
+        return pa.table({"shard": change.column("shard")[:1], "table": pa.array([f and f.table.tobytes()], pa.binary())})
 
     none = F.lit(None).cast("binary")
     rows = filters.select("shard", F.lit(0).alias("kind"), none.alias("key"), "table")
-    for kind, keys in ((1, added), (2, removed), (3, shared)):
+    for kind, keys in ((1, added), (2, removed)):
         rows = rows.unionAll(keys.select("shard", F.lit(kind).alias("kind"), "key", none.alias("table")))
     return rows.groupBy("shard").applyInArrow(one, "shard int, table binary")
 
@@ -169,6 +174,11 @@ class LineIndex:
     refs: DataFrame
     filters: DataFrame
     shards: int
+    #: Postings in all, and changes since the tables were written whole.
+    held: int = 0
+    changes: int = 0
+    #: The keys that the last change touched: (key, was, refs, keeper), their references before and after.
+    touched: DataFrame | None = None
 
     @classmethod
     def build(cls, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LineIndex:
@@ -183,31 +193,63 @@ class LineIndex:
             shards *= 2
         refs = stored(_counted(postings))
         shared = refs.filter("refs >= 2").select(_shard(shards), "key")
-        nothing = shared.limit(0)
         empty = postings.sparkSession.createDataFrame([], "shard int, table binary")
-        return cls(postings, refs, stored(_changed_filters(empty, nothing, nothing, shared)), shards)
+        return cls(postings, refs, stored(_changed_filters(empty, shared, shared.limit(0))), shards, total)
 
     def insert(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LineIndex:
         """State with more documents; rows of known ids add to their documents."""
-        new = _postings(docs, doc_id, text).distinct().join(self.postings, ["doc_id", "key"], "left_anti")
-        return self._moved(stored(self.postings.unionAll(stored(new))))
+        given = stored(_postings(docs, doc_id, text).distinct())
+        # Only the postings of the same ids can hold a given row already.
+        known = self.postings.join(given.select("doc_id").distinct(), "doc_id", "left_semi")
+        new = stored(given.join(known, ["doc_id", "key"], "left_anti"))
+        more = new.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+        was = F.coalesce("refs", F.lit(0)).cast("long")
+        touched = more.join(self._refs_of(more), "key", "left").select(
+            "key", was.alias("was"), (was + F.col("n")).alias("refs"), F.least("keeper", "first").alias("keeper")
+        )
+        return self._moved(self.postings.unionAll(new), self.held + new.count(), touched)
 
     def delete(self, doc_ids: DataFrame) -> LineIndex:
         """State without the documents whose ids are in the first column of ``doc_ids``."""
-        gone = doc_ids.select(F.col(doc_ids.columns[0]).cast("long").alias("doc_id")).distinct()
-        return self._moved(stored(self.postings.join(gone, "doc_id", "left_anti")))
-
-    def _moved(self, postings: DataFrame) -> LineIndex:
-        """State for changed postings: counts exactly, filters by what changed."""
-        if postings.count() > self.shards * SHARD_POSTINGS:
-            return self._of(postings, self.shards)
-        refs = stored(_counted(postings))
-        was, now = (r.filter("refs >= 2").select("key") for r in (self.refs, refs))
-        keyed = lambda d: d.select(_shard(self.shards), "key")
-        added, removed = keyed(now.join(was, "key", "left_anti")), keyed(was.join(now, "key", "left_anti"))
-        return LineIndex(
-            postings, refs, stored(_changed_filters(self.filters, added, removed, keyed(now))), self.shards
+        gone = stored(doc_ids.select(F.col(doc_ids.columns[0]).cast("long").alias("doc_id")).distinct())
+        old = stored(self.postings.join(gone, "doc_id", "left_semi"))
+        rest = self.postings.join(gone, "doc_id", "left_anti")
+        less = old.groupBy("key").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+        left = less.join(self._refs_of(less), "key")
+        # A key whose keeper goes has the smallest of its other documents.
+        orphans = left.filter("keeper = first AND refs > n").select("key")
+        heirs = rest.join(orphans, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("heir"))
+        touched = left.join(heirs, "key", "left").select(
+            "key", F.col("refs").alias("was"), (F.col("refs") - F.col("n")).alias("refs"), F.coalesce("heir", "keeper").alias("keeper")
+        )
+        return self._moved(rest, self.held - old.count(), touched)
+
+    def _refs_of(self, keys: DataFrame) -> DataFrame:
+        return self.refs.join(keys.select("key"), "key", "left_semi")
+
+    def _moved(self, postings: DataFrame, held: int, touched: DataFrame) -> LineIndex:
+        """State in which the ``touched`` keys have new references; their rows are written beside
+        the old tables, and of the filters those whose keys became shared or unshared."""
+        if held > self.shards * SHARD_POSTINGS:
+            return self._of(stored(postings), self.shards)
+        touched = stored(touched)
+        refs = self.refs.join(touched.select("key"), "key", "left_anti").unionAll(
+            touched.filter("refs > 0").select("key", "refs", "keeper")
         )
+        crossed = touched.filter("(was >= 2) <> (refs >= 2)").select(_shard(self.shards), "key", "refs")
+        added, removed = (crossed.filter(f"refs {sign} 2").select("shard", "key") for sign in (">=", "<"))
+        own = crossed.select("shard").distinct()
+        changed = stored(_changed_filters(self.filters.join(own, "shard", "left_semi"), added, removed))
+        # A full filter is made anew from all shared keys of its shard.
+        full = changed.filter("table IS NULL").select("shard")
+        filters = self.filters.join(own, "shard", "left_anti").unionAll(changed.filter("table IS NOT NULL"))
+        if not full.isEmpty():
+            exact = refs.filter("refs >= 2").select(_shard(self.shards), "key").join(full, "shard", "left_semi")
+            filters = filters.unionAll(stored(_changed_filters(filters.limit(0), exact, exact.limit(0))))
+        changes = self.changes + 1
+        if changes >= COMPACT:
+            postings, refs, filters, changes = stored(postings), stored(refs), stored(filters), 0
+        return LineIndex(postings, refs, filters, self.shards, held, changes, touched)
 
     def probed(self, postings: DataFrame) -> DataFrame:
         """The (doc_id, key) rows that the filters accept: each shard's filter and its
@@ -241,7 +283,7 @@ class LineIndex:
     def drops(self, postings: DataFrame | None = None) -> DataFrame:
         """(doc_id, key) of the lines to drop: shared keys, except at their keeper."""
         probes = self.postings if postings is None else postings
-        total = max(1, self.postings.count())
+        total = max(1, self.held)
         heavy = F.broadcast(self.refs.filter((F.col("refs") >= 2) & (F.col("refs") * HEAVY >= total)))
         often = probes.join(heavy, "key").filter("doc_id <> keeper").select("doc_id", "key")
         rest = self.probed(probes.join(heavy, "key", "left_anti"))

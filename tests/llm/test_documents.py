@@ -231,3 +231,59 @@ def test_pipeline_stages_by_plain_python(spark):
     left = {r.doc_id for r in stages["decontamination"](spark, docs, folder).collect()}
     held = {i for i, _ in held_items(rows, items)}
     assert held and not held & left and len(left) > len(rows) / 2
+
+
+def state(index):
+    """Counts, keepers and filtered keys of a line index, for comparison with another one."""
+    refs = {bytes(r.key): (r.refs, r.keeper) for r in index.refs.collect()}
+    held = sorted((r.doc_id, bytes(r.key)) for r in index.postings.collect())
+    filters = {r.shard: bytes(r.table) for r in index.filters.collect()}
+    return refs, held, filters
+
+
+def test_small_changes_touch_their_own_keys_and_shards(spark):
+    """One per cent inserted and deleted: the state is that of a fresh build, filters of other
+    shards stay as they are, and only the changed documents' keys get new rows."""
+    rng = random.Random(6)
+    line = lambda k: f"line number {k} of the corpus"
+    rows = [(i, "\n".join(line(rng.randrange(12_000)) for _ in range(6))) for i in range(2000)]
+    extra = [(3000 + i, "\n".join([line(rng.randrange(12_000)), line(20_000 + i), line(20_000 + i // 2)])) for i in range(20)]
+    extra += [(rows[5][0], line(30_000)), (rows[6][0], rows[6][1])]  # a known document with a new line, and one as it was
+    first = line_dedup.LineIndex.build(frame(spark, rows))
+    before = state(first)
+    more = first.insert(frame(spark, extra))
+    keys = {line_dedup.line_key(x) for _, t in extra[:-1] for x in t.split("\n")}
+    assert {bytes(r.key) for r in more.touched.collect()} == keys
+    whole = {}
+    for i, t in rows + extra:
+        whole[i] = f"{whole[i]}\n{t}" if i in whole else t
+    after, fresh = state(more), state(line_dedup.LineIndex.build(frame(spark, list(whole.items()))))
+    assert after[:2] == fresh[:2]
+    shards = {r.shard for r in more.touched.filter("(was >= 2) <> (refs >= 2)").select(line_dedup._shard(more.shards)).collect()}
+    assert 0 < len(shards) <= 40
+    assert {k: v for k, v in after[2].items() if k not in shards} == {k: v for k, v in before[2].items() if k not in shards}
+
+    ids = [r[0] for r in rows[::100]] + [3000, 3001]
+    less = more.delete(spark.createDataFrame([(i,) for i in ids], "id long"))
+    left = {i: t for i, t in whole.items() if i not in ids}
+    gone = {line_dedup.line_key(x) for i in ids for x in whole[i].split("\n")}
+    assert {bytes(r.key) for r in less.touched.collect()} == gone
+    assert state(less)[:2] == state(line_dedup.LineIndex.build(frame(spark, list(left.items()))))[:2]
+    assert (less.held, less.changes) == (len(state(less)[1]), 2)
+    got = line_dedup.dedup_lines(frame(spark, list(left.items())), less).select("doc_id", "kept_text", "n_lines").collect()
+    assert sorted(map(tuple, got), key=str) == brute_lines(list(left.items()))
+
+
+def test_many_changes_are_written_together_and_full_filters_made_anew(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "COMPACT", 2)
+    monkeypatch.setattr(line_dedup, "MIN_SHARDS", 2)
+    line = lambda k: f"line number {k} of the corpus"
+    index, held = line_dedup.LineIndex.build(frame(spark, [(0, line(0)), (1, line(0))])), [(0, line(0)), (1, line(0))]
+    for k in range(1, 4):  # each adds far more shared keys than the filters have room for
+        new = [(10 * k + j, "\n".join(line(1000 * k + x) for x in range(60 * k))) for j in range(2)]
+        index, held = index.insert(frame(spark, new)), held + new
+    assert index.changes == 1
+    got = line_dedup.dedup_lines(frame(spark, held), index).select("doc_id", "kept_text", "n_lines").collect()
+    assert sorted(map(tuple, got), key=str) == brute_lines(held)
+    nothing = index.delete(spark.createDataFrame([(i,) for i, _ in held], "id long"))
+    assert nothing.held == 0 and nothing.refs.count() == nothing.postings.count() == 0
