@@ -3,7 +3,7 @@
 A word has a feature for itself and one for each of its character n-grams, hashed into
 buckets with a learned vector each. A document is the average of all its features' vectors;
 a softmax layer gives the class probabilities. Trained by stochastic gradient descent in
-numpy on a bounded sample of labelled documents, applied to all.
+numpy on a bounded sample of labelled documents, in a task, applied to all.
 """
 
 from __future__ import annotations
@@ -183,8 +183,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Se
     """Model of the labelled rows that are not held out, by a bounded sample.
 
     The sample is the ``sample_docs`` labelled documents of the smallest id hashes among
-    those of at most ``sample_bytes`` bytes, so the driver gets at most the product of the
-    two. Null ids, null labels and labels other than 0 and 1 do not train.
+    those of at most ``sample_bytes`` bytes, so one task gets at most the product of the
+    two; the driver gets the model alone. Null ids, null labels and labels other than 0 and 1 do not train.
     """
     s = settings or Settings()
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -192,8 +192,24 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", settings: Se
     short = docs.select("doc_id", "text").filter(F.octet_length(F.coalesce("text", F.lit(""))) <= s.sample_bytes)
     # Twice the ids, as long documents fall out; the ids are few enough to broadcast.
     picked = usable.groupBy("doc_id").agg(F.min(label).alias("label")).orderBy(*order).limit(2 * s.sample_docs)
-    rows = short.join(F.broadcast(picked), "doc_id").orderBy(*order, "text").limit(s.sample_docs).collect()
-    return train([r["text"] for r in rows], [int(r["label"]) for r in rows], s)
+    rows = short.join(F.broadcast(picked), "doc_id").orderBy(*order, "text").limit(s.sample_docs).select("text", F.col("label").cast("int"))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, marks = [], []
+        for b in batches:
+            texts += b.column("text").to_pylist()
+            marks += b.column("label").to_pylist()
+        if texts:
+            m = train(texts, marks, s)
+            parts = [pa.array([x.tobytes()], pa.binary()) for x in (m.vectors, m.layer, m.bias)]
+            yield pa.RecordBatch.from_arrays(parts, names=["vectors", "layer", "bias"])
+
+    # The limit leaves one partition in its order; coalesce holds that fast.
+    made = rows.coalesce(1).mapInArrow(learn, "vectors binary, layer binary, bias binary").collect()
+    if not made:
+        return train([], [], s)
+    vectors, layer, bias = (np.frombuffer(x, np.float32) for x in made[0])
+    return Model(s, vectors.reshape(s.buckets, s.dim), layer.reshape(s.dim, -1), bias)
 
 
 def with_scores(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:

@@ -1,9 +1,11 @@
 """Line dedup, classifier, Jaccard join, decontamination and the pipeline by brute force."""
 
+import os
 import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from notifyq.llm import decontaminate, jaccard_join, line_dedup, quality
 from notifyq.llm.common import components
@@ -133,6 +135,25 @@ def test_classifier_learns_on_kept_out_rows(spark):
     assert quality.quality_report(frame(spark, rows).limit(0), labels).count() == 0
 
 
+def test_quality_model_is_learned_in_a_task(spark, monkeypatch, workdir):
+    """The driver neither holds the sample nor trains; the model is that of the same rows in the same order."""
+    train = quality.train
+
+    def spied(*given):
+        with open(f"{workdir}/{os.getpid()}", "w"):
+            return train(*given)
+
+    docs = frame(spark, [(i, f"word{i % 7} {'good' if i % 3 else 'bad'} text {i}") for i in range(200)] + [(5, None)])
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(200)], "doc_id long, quality int").repartition(7)
+    used = docs.filter(~quality.held_out(F.col("doc_id"))).join(labels, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(50).collect()
+    settings = quality.Settings(sample_docs=50)
+    monkeypatch.setattr(quality, "train", spied)
+    got, want = quality.fit(docs.repartition(9), labels, settings=settings), train([r.text for r in used], [r.quality for r in used], settings)
+    assert len(os.listdir(workdir)) == 1 and str(os.getpid()) not in os.listdir(workdir)
+    for part in ("vectors", "layer", "bias"):
+        assert np.array_equal(getattr(got, part), getattr(want, part))
+
+
 def test_leaks_copies_and_paraphrases(spark):
     rnd = random.Random(4)
     word = lambda: "".join(rnd.choices("abcdefghij", k=5))
