@@ -5,8 +5,9 @@ A page is cut into text blocks, each labelled by where it stands: in the page's
 loose. The token streams of a host's pages are concatenated in runs and sorted by suffix, which
 gives each run's distinct windows and their pages; Spark counts them over all runs. Windows
 that stand in several distinct pages of the host are boilerplate. Furniture goes; of loose blocks the
-unique runs stay; blocks of a marked article stay whole, because copies of an article on
-one host repeat as boilerplate does and are no boilerplate.
+unique runs stay. Of a marked article those blocks go that lie whole in windows of at least half of the host's
+distinct articles, unless little else is left: copies of an article on one host repeat as boilerplate
+does and are no boilerplate.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ MAIN, LOOSE, FURNITURE = 0, 1, 2
 WINDOW = 8
 #: Distinct pages that must hold a window to make it boilerplate.
 PAGES = 3
+#: One of so many distinct articles of a host must hold a window to make it boilerplate inside articles, and PAGES at least.
+ARTICLE_SHARE = 2
 #: Pages and characters of one suffix array; they do not change what is found.
 ARRAY_PAGES, ARRAY_CHARS = 256, 4_000_000
 #: Hosts with this share of all pages or more are at most so many; they are broadcast.
@@ -271,6 +274,37 @@ def run_windows(pages: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(made)[first[some]], name[pairs[some] % len(name)]
 
 
+def often_windows(articles: list[list[str]], least: int) -> np.ndarray:
+    """Digests of the windows that stand in ``least`` of these distinct articles or more."""
+    made = [window_digests(a) for a in articles]
+    if not sum(map(len, made)):
+        return np.zeros(0, np.int64)
+    rank, page, whole = _ranked(articles, WINDOW)
+    pairs, first = np.unique(rank[whole] * len(articles) + page[whole], return_index=True)
+    _, at, held = np.unique(pairs // len(articles), return_index=True, return_counts=True)
+    return np.concatenate(made)[first[at[held >= least]]]
+
+
+def article_tokens(page: list[tuple[int, str]]) -> list[str]:
+    return [t for label, text in page if label == MAIN for t in text.split(" ")]
+
+
+def without_common(page: list[tuple[int, str]], common: np.ndarray) -> list[tuple[int, str]]:
+    """A page without the blocks of its article that lie whole in ``common`` windows, or as it
+    is if they are more than half of the article's tokens."""
+    tokens = article_tokens(page)
+    gone = covered(len(tokens), np.flatnonzero(np.isin(window_digests(tokens), common)))
+    kept, at, dropped = [], 0, 0
+    for label, text in page:
+        n = text.count(" ") + 1 if label == MAIN else 0
+        if n and gone[at : at + n].all():
+            dropped += n
+        else:
+            kept.append((label, text))
+        at += n
+    return kept if 2 * dropped <= len(tokens) else page
+
+
 def loose_windows(page: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
     """(place, digest) of the windows of a page that reach into its loose blocks."""
     words = [text.split(" ") for _, text in page]
@@ -300,13 +334,14 @@ def extract_main_text(pages: DataFrame, url: str = "url", page_html: str = "html
 
     Null and empty html give the empty text; a null url makes a host of its own; repeated
     rows are extracted alike; other columns, whatever their names, pass through; an existing
-    column ``out`` is replaced. Pages are parsed once and kept as compressed blocks. If
+    column ``out`` is replaced. Pages are parsed once and kept as compressed blocks. The articles of a host meet
+    in runs too, so that those of all pages are sorted by suffix. If
     a host has loose blocks, its pages are worked on in runs of ARRAY_PAGES pages, hosts of
     many runs dealt over many tasks; distinct pages of a window are counted over all runs.
     """
     names = others(pages, out, page_html)
     kept = pages.select(*names).schema.fields
-    packed_name, loose_name, starts_name, host_name, form_name = fresh(pages, "blocks", "loose", "starts", "host", "form")
+    packed_name, loose_name, starts_name, host_name, form_name, common_name = fresh(pages, "blocks", "loose", "starts", "host", "form", "common")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(3)
@@ -323,28 +358,119 @@ def extract_main_text(pages: DataFrame, url: str = "url", page_html: str = "html
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, packed_name):
-            both = zip(b.column(packed_name).to_pylist(), b.column(starts_name).to_pylist(), strict=True)
-            texts = [main_text(_unpacked(raw), starts) for raw, starts in both]
+            texts = []
+            for raw, starts, common in zip(*(b.column(c).to_pylist() for c in (packed_name, starts_name, common_name)), strict=True):
+                page = _unpacked(raw)
+                texts.append(main_text(without_common(page, np.array(common, np.int64)) if common else page, starts))
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(texts, pa.string())], names=[*names, out])
 
-    none = F.lit(None).cast("array<int>").alias(starts_name)
-    plain = parsed.filter(~F.col(loose_name)).select(*names, packed_name, none).mapInArrow(extract, made)
+    none, no_common = F.lit(None).cast("array<int>").alias(starts_name), F.lit(None).cast("array<long>").alias(common_name)
+    host, packed = url_host(F.col(url)), F.col(packed_name).alias("_blocks")
+    # A page with a marked article has no loose blocks.
+    plain = parsed.filter(~F.col(loose_name)).select(*names, packed_name, none)
+    common = common_windows(parsed.filter(~F.col(loose_name)).select(host.alias("_host"), packed))
+    if common is None:
+        plain = plain.select("*", no_common)
+    else:
+        common = common.select(F.col("_host").alias(host_name), F.col("_common").alias(common_name))
+        plain = plain.withColumn(host_name, host).join(common, host_name, "left").drop(host_name)
+    plain = plain.select(*names, packed_name, starts_name, common_name).mapInArrow(extract, made)
     loose = parsed.filter(F.col(loose_name))
     if loose.isEmpty():
         return plain
     # Equal blocks have equal bytes, so a digest of them names a page of a host.
-    host, form, packed = url_host(F.col(url)), F.sha2(packed_name, 256), F.col(packed_name).alias("_blocks")
+    form = F.sha2(packed_name, 256)
     asked = loose.select(host.alias("_host"), form.alias("_form"), packed).dropDuplicates(["_host", "_form"])
     starts = boilerplate(parsed.select(host.alias("_host"), packed), asked)
     starts = starts.select(F.col("_host").alias(host_name), F.col("_form").alias(form_name), F.col("_starts").alias(starts_name))
     full = loose.select(*names, packed_name, host.alias(host_name), form.alias(form_name)).join(starts, [host_name, form_name], "left")
-    return plain.unionAll(full.select(*names, packed_name, starts_name).mapInArrow(extract, made))
+    return plain.unionAll(full.select(*names, packed_name, starts_name, no_common).mapInArrow(extract, made))
 
 
 def _unpacked(raw: bytes) -> list[tuple[int, str]]:
     return [(label, text) for label, text in json.loads(zstandard.ZstdDecompressor().decompress(raw))]
 
 
+def _hot(held: DataFrame, total: int) -> DataFrame:
+    """(_hot, _parts): hosts of very many of ``total`` rows, and the parts they are dealt to."""
+    hosts = held.groupBy("_host").agg(F.count("*").alias("n"))
+    # At most HOT_HOSTS hosts have that share, so their number is bounded for any input.
+    return hosts.filter((F.col("n") * HOT_HOSTS >= total) & (F.col("n") > ARRAY_PAGES)).select(
+        F.col("_host").alias("_hot"), F.ceil(F.col("n") / ARRAY_PAGES).cast("int").alias("_parts")
+    )
+
+
+def common_windows(pages: DataFrame) -> DataFrame | None:
+    """(_host, _common): the windows that stand in one of ARTICLE_SHARE distinct articles of a host or
+    more, and in PAGES of them at least. None if there are none.
+
+    A host's distinct articles are dealt to runs; a window with that share of all has it in one
+    run at least, so the runs' suffix arrays give few candidates, which are then counted over all.
+    """
+
+    def articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(3)
+        for b in slices(batches, "_blocks"):
+            made = [article_tokens(_unpacked(raw)) for raw in b.column("_blocks").to_pylist()]
+            digests = pa.array([page_digest(t) for t in made], pa.int64())
+            packed = pa.array([pack.compress(" ".join(t).encode()) for t in made], pa.binary())
+            long = pa.array([len(t) >= WINDOW for t in made], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column("_host"), digests, packed], names=["_host", "_page", "_article"]).filter(long)
+
+    def tokens(raw: bytes) -> list[str]:
+        return zstandard.ZstdDecompressor().decompress(raw).decode().split(" ")
+
+    held = pages.filter("_host IS NOT NULL").mapInArrow(articles, "_host string, _page long, _article binary")
+    dealt = (
+        held.join(F.broadcast(_hot(pages, max(1, pages.count()))), F.col("_host") == F.col("_hot"), "left")
+        .select("_host", "_page", "_article", F.coalesce(F.pmod("_page", F.col("_parts")), F.lit(-1)).cast("int").alias("_part"))
+        .repartition("_host", "_part")
+        .sortWithinPartitions("_host", "_part", "_page")
+    )
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run: list[list[str]] = []
+        now, last, chars, cut = None, None, 0, False
+
+        def flush(whole: bool) -> Iterator[pa.RecordBatch]:
+            share = -(-len(run) // ARTICLE_SHARE)
+            found = often_windows(run, max(PAGES, share) if whole else share) if len(run) >= PAGES or not whole else np.zeros(0, np.int64)
+            parts = [pa.array([now[0]], pa.string()), pa.array([len(run)], pa.int64()), pa.array([found.tolist()], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(parts, names=["_host", "_n", "_windows"])
+
+        for b in slices(batches, "_article"):
+            rows = zip(*(b.column(c).to_pylist() for c in ("_host", "_part", "_page", "_article")), strict=True)
+            for host, part, page, raw in rows:
+                key, full = (host, part), chars > ARRAY_CHARS
+                if key == now and page == last:
+                    continue  # a copy of the article
+                if run and (key != now or full):
+                    cut = cut or key == now
+                    yield from flush(now[1] < 0 and not cut)
+                    run, chars, cut = [], 0, cut and key == now
+                run.append(tokens(raw))
+                now, last, chars = key, page, chars + sum(map(len, run[-1])) + len(run[-1])
+        if run:
+            yield from flush(now[1] < 0 and not cut)
+
+    runs = dealt.mapInArrow(candidates, "_host string, _n long, _windows array<long>")
+    hosts = runs.groupBy("_host").agg(F.sum("_n").alias("_n"), F.array_distinct(F.flatten(F.collect_list("_windows"))).alias("_windows"))
+    hosts = stored(hosts.filter((F.col("_n") >= PAGES) & (F.size("_windows") > 0)))
+    if hosts.isEmpty():
+        return None
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "_article"):
+            for k, (raw, windows) in enumerate(zip(b.column("_article").to_pylist(), b.column("_windows").to_pylist(), strict=True)):
+                found = np.intersect1d(window_digests(tokens(raw)), np.array(windows, np.int64))
+                own = [pa.repeat(b.column(c)[k], len(found)) for c in ("_host", "_n", "_page")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(found)], names=["_host", "_n", "_page", "_window"])
+
+    found = held.join(hosts, "_host").mapInArrow(hits, "_host string, _n long, _page long, _window long").distinct()
+    counts = found.groupBy("_host", "_n", "_window").count().filter((F.col("count") >= PAGES) & (F.col("count") * ARTICLE_SHARE >= F.col("_n")))
+    return counts.groupBy("_host").agg(F.collect_list("_window").alias("_common"))
+
+
 def boilerplate(pages: DataFrame, asked: DataFrame) -> DataFrame:
     """(_host, _form, _starts): where windows begin, in the pages ``asked`` for, that reach
     into loose blocks and stand in PAGES distinct pages of the host or more.
@@ -353,12 +479,7 @@ def boilerplate(pages: DataFrame, asked: DataFrame) -> DataFrame:
     with loose blocks.
     """
     held = pages.join(asked.select("_host").distinct(), "_host", "left_semi")
-    hosts = held.groupBy("_host").agg(F.count("*").alias("n"))
-    total = max(1, pages.count())
-    # At most HOT_HOSTS hosts have that share, so their number is bounded for any input.
-    hot = hosts.filter((F.col("n") * HOT_HOSTS >= total) & (F.col("n") > ARRAY_PAGES)).select(
-        F.col("_host").alias("_hot"), F.ceil(F.col("n") / ARRAY_PAGES).cast("int").alias("_parts")
-    )
+    hot = _hot(held, max(1, pages.count()))
     order = F.xxhash64("_blocks")
     dealt = (
         held.join(F.broadcast(hot), F.col("_host") == F.col("_hot"), "left")

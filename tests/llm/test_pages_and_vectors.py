@@ -83,6 +83,32 @@ def test_rare_boilerplate_of_a_large_host(spark, monkeypatch):
     assert found[0][5] == " ".join(["Page 5", *(f"w5x{i}" for i in range(9))]) and found[0][2000] == "Body"
 
 
+def test_boilerplate_inside_articles_goes(spark, monkeypatch):
+    """A notice in most articles of a host goes, however they are dealt to runs; text that few articles
+    share, copies and near copies of an article, and small hosts keep all."""
+    notice, few, body = (" ".join(f"{x}{k}" for k in range(12)) for x in ("Notice", "Few", "Body"))
+    own = lambda k: f"<p>Page {k} {' '.join(f'w{k}x{i}' for i in range(30))}</p>"
+    art = lambda *x: f"<nav>menu {len(x)}</nav><article>{''.join(x)}</article>"
+    shared = {k: (f"<p>{few}</p>" if k < 100 else "") + (f"<div>{notice}</div>" if k % 3 else "") for k in range(600)}
+    rows = [(k, f"http://big.example/{k}", art(own(k), x, own(k + 5000))) for k, x in shared.items()]
+    rows += [(1000 + k, f"http://copies.example/{k}", art(own(7), f"<p>{body}</p>", f"<p>{'near ' * (k // 3)}</p>")) for k in range(9)]
+    rows += [(2000 + k, f"http://small.example/{k}", art(own(k), f"<p>{notice}</p>")) for k in range(2)]
+    rows += [(3000 + k, None, art(own(k), f"<p>{notice}</p>")) for k in range(2)]
+    rows += [(4000, "http://big.example/1", art(own(1), shared[1], own(5001)))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = []
+    for array_pages, chars in ((256, 4_000_000), (1000, 4_000_000), (50, 9000)):
+        monkeypatch.setattr(html_text, "ARRAY_PAGES", array_pages)
+        monkeypatch.setattr(html_text, "ARRAY_CHARS", chars)
+        found.append({r.page_id: r.text for r in html_text.extract_main_text(pages).collect()})
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+    plain = {k: html_text.main_text(html_text.blocks(h), None) for k, _, h in rows}
+    for k, text in found[0].items():
+        want = [x for x in plain[k].split("\n\n") if x != notice or not (k < 1000 or k == 4000)]
+        assert text == "\n\n".join(want), k
+    assert any("Notice" in x for x in plain.values()) and few in found[0][5]
+
+
 URLS = [
     "https://a.example.org/es/1", "http://EXAMPLE.org/en/12?x", "http://x.org", "http://x.org/", "http://x.com/de/1#f", "http://x.com/fr/", "https://net",
     "ftp://u@b.co.com/de/", None, "", "no scheme", "http://notexample.org/es/", "//a", "http://a://b.org/", "http://.org/x", "http://y.com/De/", "http://x.org/",
