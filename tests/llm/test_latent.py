@@ -109,3 +109,54 @@ def test_recall_of_a_space_fitted_on_a_sample(spark):
         assert all(not got[k] for k in range(10_000))
     print(recall)
     assert recall["sample"] >= 0.9 * max(recall["whole"], 1e-9) and recall["sample"] >= 0.9, recall
+
+
+def test_the_space_is_fitted_to_all_windows_of_all_documents(spark):
+    import math
+    from collections import Counter
+
+    import xxhash
+
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 90, n)) for n in (64 * 40, 64 * 17 + 5, 1, 63, 64, 65, 200, 200)] + [None, "", "w1 " * 70]
+    texts += texts[:2]
+    d = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    r = replace(D.Rules(), latent_terms=1 << 4)
+    idf = np.linspace(1, 2, r.terms)
+    p = D._passages(spark.createDataFrame([(1, "w1 w2 w3"), (2, "w4 w5")], "item_id long, text string"), idf, r)
+    names = {w: k for k, w in enumerate(p.vocabulary)}
+    wanted = []
+    for words in [D.words_of(t)[at : at + 64] for t in texts for at in range(0, len(D.words_of(t)), 64)] + [*p.texts]:
+        row = Counter()
+        for w in words:
+            h = xxhash.xxh3_64_intdigest(w) % r.terms
+            row[names[w] if w in names else len(names) + h % r.latent_terms] += p.idf[names[w] if w in names else len(names) + h]
+        norm = math.sqrt(sum(x * x for x in row.values()))
+        wanted.append([(c, round(x / norm, 9)) for c, x in sorted(row.items())])
+    # As many documents in all as make a sample, if there were one, leave most of these out.
+    got = [
+        [*zip(np.frombuffer(x["ids"], np.int64).tolist(), np.frombuffer(x["weights"], np.float64).round(9).tolist())]
+        for x in D._context_rows(d, p, 1 << 40, r).collect()
+    ]
+    assert sorted(got) == sorted(wanted)
+
+
+def test_leaks_fit_the_space_to_every_document(spark, monkeypatch):
+    seen, fit = [], D.fit_latent
+    monkeypatch.setattr(D, "_product", lambda rows, q, product=D._product: seen.append(rows.count()) or product(rows, q))
+    rows = [(k, " ".join(f"d{k}x{x}" for x in range(64 * 20))) for k in range(50)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    b = spark.createDataFrame([(7, "one two three")], "item_id long, text string")
+    monkeypatch.setattr(D, "fit_latent", lambda docs, p, n, *a: fit(docs, p, 1 << 20, *a))
+    assert all(not x.contaminated for x in D.leak_report(d, b).collect())
+    assert seen and set(seen) == {50 * 20 + 1}
+
+
+def test_document_frequencies_count_each_document_once(spark):
+    import xxhash
+
+    texts = ["a b a", "B c", None, "", "c", "c"]
+    r = D.Rules()
+    counts, n = D.document_frequencies(D.word_hashes(spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)), r)
+    of = {w: int(counts[xxhash.xxh3_64_intdigest(w.encode()) % r.terms]) for w in "abc"}
+    assert n == 6 and of == {"a": 1, "b": 2, "c": 3} and counts.sum() == 6
